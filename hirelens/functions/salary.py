@@ -25,20 +25,20 @@ SYMBOL_ISO = {"$": "USD", "€": "EUR", "£": "GBP"}
 SALARY_TYPE = "struct<min:double,max:double,currency:string,period:string>"
 
 
-def _group(text: Column, pattern: str, name: str) -> Column:
-    # regexp_extract yields '' for a group that did not take part in the match.
-    return F.nullif(F.regexp_extract(text, "(?iU)" + pattern, _index(pattern, name)), F.lit(""))
+SEP = "\u0001"
+GROUPS = ["currency", "min", "currency2", "max", "period"]
 
 
-def _index(pattern: str, name: str) -> int:
-    """Group number of a named group (Spark's regexp_extract takes numbers)."""
-    import re
+def _groups(text: Column, pattern: str) -> Column:
+    """All named groups of the leftmost match in one pass, as an array of 5 strings.
 
-    opens = [m for m in re.finditer(r"\((?!\?:)", pattern) if pattern[m.start() - 1:m.start()] != "\\"]
-    for i, m in enumerate(opens, start=1):
-        if pattern.startswith(f"(?<{name}>", m.start()):
-            return i
-    raise KeyError(name)
+    ``^.*?(?:p).*$`` tries p at positions 0, 1, 2, ... like ``find()``; the replacement
+    lists the groups (a group that did not take part yields '').  Call only where the
+    pattern matches (otherwise the text comes back unchanged).
+    """
+    present = [g for g in GROUPS if f"(?<{g}>" in pattern]
+    repl = SEP.join("${" + g + "}" if g in present else "" for g in GROUPS)
+    return F.split(F.regexp_replace(text, "(?isU)^.*?(?:" + pattern + ").*$", repl), SEP, -1)
 
 
 def _to_double(g: Column) -> Column:
@@ -47,24 +47,16 @@ def _to_double(g: Column) -> Column:
     return s.try_cast("double")
 
 
-def _parse_one(text: Column, pattern: str) -> Column:
-    has_cur2 = "currency2" in pattern
-    has_period = "period" in pattern
-    cur = _group(text, pattern, "currency")
-    if has_cur2:
-        cur = F.coalesce(cur, _group(text, pattern, "currency2"))
-    cur = F.coalesce(cur, F.lit("USD"))
-    period = F.lit("year")
-    if has_period:
-        period = F.replace(F.lower(F.coalesce(_group(text, pattern, "period"), F.lit("year"))),
-                           F.lit("per "), F.lit(""))
-    mn = _group(text, pattern, "min")
-    mx = _group(text, pattern, "max")
+def _build(g: Column) -> Column:
+    """Salary struct from the 5-slot group array (currency, min, currency2, max, period)."""
+    def part(i):
+        return F.nullif(F.element_at(g, i + 1), F.lit(""))
+
     return F.struct(
-        _to_double(F.coalesce(mn, F.lit(""))).alias("min"),
-        _to_double(F.coalesce(mx, F.lit(""))).alias("max"),
-        cur.alias("currency"),
-        period.alias("period"),
+        _to_double(F.coalesce(part(1), F.lit(""))).alias("min"),
+        _to_double(F.coalesce(part(3), F.lit(""))).alias("max"),
+        F.coalesce(part(0), part(2), F.lit("USD")).alias("currency"),
+        F.replace(F.lower(F.coalesce(part(4), F.lit("year"))), F.lit("per "), F.lit("")).alias("period"),
     )
 
 
@@ -73,15 +65,17 @@ def parse_salary_text(c, prefer_iso: bool = False) -> Column:
 
     A match whose numbers do not convert (``50K-60K``, ``', to,'``) yields a struct
     with a null ``min`` or ``max``; :func:`salary_parse_failed` flags it, and the
-    normalisation step routes such rows to the rejects table.
+    normalisation step routes such rows to the rejects table.  The group array is
+    produced once per row and the struct is built inside a lambda over it.
     """
     text = col_(c)
     patterns = SALARY_PATTERNS[2:] + SALARY_PATTERNS[:2] if prefer_iso else SALARY_PATTERNS
-    expr = None
+    groups = None
     for p in patterns:
         cond = text.rlike("(?iU)" + p)
-        expr = F.when(cond, _parse_one(text, p)) if expr is None else expr.when(cond, _parse_one(text, p))
-    return expr.otherwise(F.lit(None).cast(SALARY_TYPE))
+        groups = F.when(cond, _groups(text, p)) if groups is None else groups.when(cond, _groups(text, p))
+    built = F.transform(F.array(groups), lambda g: F.when(g.isNotNull(), _build(g)))
+    return F.element_at(built, 1)
 
 
 def salary_parse_failed(sal: Column) -> Column:

@@ -49,13 +49,18 @@ def count_substring_hits(skills: Column, wanted: list[str]) -> Column:
     if not wanted:
         return F.lit(0)
     s = F.coalesce(skills, F.array().cast("array<string>"))
-    hits = [F.exists(s, lambda x, w=w: F.lower(x).contains(F.lit(w.lower()))).cast("int") for w in wanted]
+    hits = [F.exists(s, _contains_term(w.lower())).cast("int") for w in wanted]
     total = hits[0]
     for h in hits[1:]:
         total = total + h
     return total
 
 
+def _contains_term(term: str):
+    # A one-argument lambda: PySpark passes an index to two-argument lambdas.
+    return lambda x: F.lower(x).contains(F.lit(term))
+
+
 def count_exact_hits(skills: Column, wanted: list[str]) -> Column:
     """Wanted terms equal to a lower-cased job skill (duplicates in ``wanted`` count)."""
     if not wanted:

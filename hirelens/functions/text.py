@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_]"
 # Python's str.isspace(): Java's white-space set plus the ASCII separators 0x1C-0x1F.
-SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE_CHARS = r"\t\n\x{0b}\f\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE = f"[{SPACE_CHARS}]"
 NON_PRINTABLE = r"[\p{C}\p{Zl}\p{Zp}]|[^\P{Zs} ]"
 
 
@@ -29,7 +30,7 @@ def col_(c) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``: remove leading/trailing white space of every kind."""
-    return F.regexp_replace(col_(c), rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(col_(c), rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def clean_text(c) -> Column:
@@ -78,7 +79,7 @@ def has_word(text: Column, term: str) -> Column:
 
 def match_text(text: Column) -> Column:
     """Matcher text: lower-case with every non-word, non-space character -> space."""
-    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"(?U)[^\p{L}\p{N}_\s]", " ")
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"[^\p{{L}}\p{{N}}_{SPACE_CHARS}]", " ")
 
 
 def tokens(clean: Column) -> Column:

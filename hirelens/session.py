@@ -21,6 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -29,6 +30,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # Arrow batches for the difflib / html UDFs: long texts, keep batches modest.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     }
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the executor; give it room for codegen and shuffles.
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

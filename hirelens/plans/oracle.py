@@ -11,7 +11,7 @@ import re
 
 from hirelens import config
 from hirelens.functions.salary import SALARY_PATTERNS
-from hirelens.plans.catalog import DOC_DICTIONARY, DOC_PROFILE, PAGE_LINKS
+from hirelens.plans.catalog import DOC_DICTIONARY, DOC_PROFILE, ORDER_DICTIONARY, PAGE_LINKS
 
 WS = r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -146,6 +146,21 @@ c AS (SELECT input_seq, CAST({dot} AS DOUBLE) AS dot, CAST({nrm} AS DOUBLE) AS n
 SELECT input_seq, CASE WHEN nrm > 0 THEN round(dot / nrm, 6) ELSE 0.0 END AS cosine FROM c"""
 
 
+def order_skills_cte() -> str:
+    """Cleaned skills of the orders adapter: part words for Upwork-shaped rows (status O)
+    plus dictionary words found in the description (the sorted part names)."""
+    hits = doc_skills_sql("d", ORDER_DICTIONARY).replace("array_to_string(", "").rsplit(", ',')", 1)[0]
+    return f"""sk AS (
+  SELECT l_orderkey, list_sort(list_distinct(flatten(list(string_split(p_name, ' '))))) AS words,
+         array_to_string(list_sort(list(p_name)), ' ') AS part_text
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+po AS (SELECT o_orderkey, o_orderstatus, coalesce(part_text, '') AS d, words
+       FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN sk ON o_orderkey = l_orderkey),
+os AS (SELECT o_orderkey, list_distinct(list_concat(CASE WHEN o_orderstatus = 'O' THEN coalesce(words, []) ELSE [] END,
+                                                    {hits})) AS skills FROM po),
+items AS (SELECT unnest(skills) AS skill FROM os)"""
+
+
 def oracle_sql() -> dict[str, str]:
     rr = reject_reason_sql()
     sig = "md5(concat_ws('|', " + ", ".join(strip(f"lower(coalesce({c}, ''))") for c in ("title", "description", "url")) + "))"
@@ -168,4 +183,13 @@ def oracle_sql() -> dict[str, str]:
         "S14_page_fields": page_fields_sql(),
         "P7_posted_date": posted_date_sql(),
         "M2_text_cosine": cosine_sql(DOC_PROFILE),
+        # Only LinkedIn-shaped rows (status F) carry 'linkedin' (url, linkedin_* fields);
+        # Upwork-shaped rows (status O) have a client and an upwork.com url.
+        "P1_source": "SELECT o_orderkey AS input_seq, CASE o_orderstatus WHEN 'F' THEN 'linkedin' "
+                     "WHEN 'O' THEN 'upwork' ELSE 'unknown' END AS source "
+                     "FROM orders JOIN customer ON o_custkey = c_custkey",
+        "A5_skill_frequency": f"WITH {order_skills_cte()} SELECT skill, count(*) AS n_jobs FROM items GROUP BY skill",
+        "T5_top_skills": f"WITH {order_skills_cte()} SELECT skill, count(*) AS n_jobs FROM items GROUP BY skill "
+                         f"ORDER BY n_jobs DESC, skill LIMIT 15",
+        "A7_distinct_skills": f"WITH {order_skills_cte()} SELECT DISTINCT skill FROM items WHERE skill IS NOT NULL",
     }

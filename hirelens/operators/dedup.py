@@ -137,6 +137,11 @@ def _features(title: pd.Series, desc: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"lt": lt, "ct": ct, "ld": ld, "cd": cd})
 
 
+def _udf_partitions(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 2)
+
+
 def _band(length: Column) -> Column:
     """floor(log_1.5(len)); -1 for empty.  Lengths with ratio > 2/3 lie in the same
     or adjacent bands, and both per-field ratios must exceed 2*thr-1 >= 0.8."""
@@ -160,7 +165,10 @@ def candidate_pairs(reps: DataFrame, threshold: float = 0.9, seq: str = "input_s
     Lossless: a similar pair always survives (both bounds are >= the true ratios).
     ``cell_rows`` sets how many rows of a length cell one salt slice holds.
     """
-    feats = (reps.select(F.col(seq).alias("seq"), _features(F.col(title), F.col(description)).alias("f"))
+    # Python work is CPU-bound while its input is small in bytes: give it an explicit
+    # partition count (AQE never coalesces an explicit repartition).
+    feats = (reps.repartition(_udf_partitions(reps), F.col(seq))
+             .select(F.col(seq).alias("seq"), _features(F.col(title), F.col(description)).alias("f"))
              .select("seq", "f.*")
              .withColumn("bt", _band(F.col("lt"))).withColumn("bd", _band(F.col("ld"))))
     # Written once to the shared checkpoint folder: both join sides read it, the UDF runs once.
@@ -202,7 +210,7 @@ def similar_edges(reps: DataFrame, threshold: float = 0.9, seq: str = "input_seq
     lt = txt.select(F.col(seq).alias("l_seq"), F.col(title).alias("l_t"), F.col(description).alias("l_d"))
     et = txt.select(F.col(seq).alias("e_seq"), F.col(title).alias("e_t"), F.col(description).alias("e_d"))
     # Spread the Python work evenly: candidates are few but texts can be long.
-    pairs = cand.join(lt, "l_seq").join(et, "e_seq").repartition("l_seq", "e_seq")
+    pairs = cand.join(lt, "l_seq").join(et, "e_seq").repartition(_udf_partitions(reps), "l_seq", "e_seq")
     sim = _similar_factory(threshold)
     return pairs.where(sim("l_t", "e_t", "l_d", "e_d")).select("l_seq", "e_seq")
 

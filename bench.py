@@ -43,6 +43,7 @@ def main() -> None:
         df = fn(spark, sf_dir)
         df.count()
         times[name] = round(time.time() - t0, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf}))

@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is unset: name a folder shared by the cluster")
         d = fallback or tempfile.mkdtemp(prefix="hirelens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     spark.sparkContext.setCheckpointDir(d)

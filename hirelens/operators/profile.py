@@ -9,11 +9,7 @@ as literals.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
 import re
-import zipfile
 from collections import Counter
 
 from hirelens import config
@@ -21,20 +17,6 @@ from hirelens import config
 TOKEN = re.compile(r"(?u)\b\w\w+\b")
 
 
-@functools.lru_cache(maxsize=1)
-def spark_english_stop_words() -> tuple[str, ...]:
-    """Spark ML's default English stop-word list (``StopWordsRemover``), read from
-    the Spark ML jar so no session is needed (the oracle SQL uses it too)."""
-    import pyspark
-
-    for jar in glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split() if w)
-    raise FileNotFoundError("Spark ML English stop-word list not found")
-
-
 def preference_document(profile: dict) -> str:
     must = config.get(profile, "skills", "must_have", default=[])
     nice = config.get(profile, "skills", "nice_to_have", default=[])
@@ -48,7 +30,7 @@ def ngrams(tokens: list[str]) -> list[str]:
 
 def preference_vector(profile: dict, stop_words=None, max_features: int = 10000) -> dict[str, float]:
     """Term -> weight (count / L2 norm) of the profile document; {} when no term survives."""
-    stop = set(spark_english_stop_words() if stop_words is None else stop_words)
+    stop = set(config.STOP_WORDS if stop_words is None else stop_words)
     toks = [t for t in TOKEN.findall(preference_document(profile).lower()) if t not in stop]
     counts = Counter(ngrams(toks))
     if max_features and len(counts) > max_features:

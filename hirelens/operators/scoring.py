@@ -17,7 +17,7 @@ from hirelens import config
 from hirelens.functions import salary as sal
 from hirelens.functions import skills as sk
 from hirelens.functions.text import contains_any, count_contained, match_text, tokens
-from hirelens.operators.profile import preference_vector, spark_english_stop_words
+from hirelens.operators.profile import preference_vector
 
 SCORES = ["match_score", "skill_score", "location_score", "salary_score", "company_score", "description_score"]
 
@@ -36,7 +36,7 @@ def text_cosine(df: DataFrame, text: Column, profile: dict, out: str = "text_cos
     if not vec:
         return df.withColumn(out, F.lit(0.0))
     vocab = list(vec)
-    stop = list(spark_english_stop_words() if stop_words is None else stop_words)
+    stop = list(config.STOP_WORDS if stop_words is None else stop_words)
     tmp = df.withColumn("_tok", tokens(text))
     tmp = StopWordsRemover(inputCol="_tok", outputCol="_kept", stopWords=stop, caseSensitive=True).transform(tmp)
     n = F.size("_kept")

@@ -129,10 +129,10 @@ def posted_date_sql() -> str:
 
 
 def cosine_sql(profile: dict) -> str:
-    from hirelens.operators.profile import preference_vector, spark_english_stop_words
+    from hirelens.operators.profile import preference_vector
 
     vec = preference_vector(profile)
-    stop = "[" + ", ".join(q(w) for w in spark_english_stop_words()) + "]"
+    stop = "[" + ", ".join(q(w) for w in config.STOP_WORDS) + "]"
     clean = (f"regexp_replace(lower(coalesce(title, '') || ' ' || coalesce(description, '')), "
              f"{q('[^' + WORD[1:-1] + WS[1:-1] + ']')}, ' ', 'g')")
     toks = f"regexp_extract_all({clean}, {q(WORD + '{2,}')})"

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from hirelens.llm import pieces, sharding
+from hirelens.llm import lines, minhash, pieces, sharding
 
 QUERIES = {
+    "op5_line_dedup": lines.op5,
+    "op6_minhash_near_dedup": minhash.op6,
     "op9_sentencepiece": pieces.op9,
     "op10_sharding": sharding.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_dedup": lines.ORACLE,
+    "op6_minhash_near_dedup": minhash.ORACLE,
+}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, minhash, pieces, sharding
+from hirelens.llm import decontam, lines, minhash, pieces, sharding, urls
 
 QUERIES = {
     "op2_decontamination": decontam.op2,
     "op5_line_dedup": lines.op5,
     "op6_minhash_near_dedup": minhash.op6,
+    "op8_url_filters": urls.op8,
     "op9_sentencepiece": pieces.op9,
     "op10_sharding": sharding.op10,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, minhash, pieces, sharding, urls
+from hirelens.llm import decontam, lines, minhash, pieces, sharding, toxicity, urls
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1,
     "op2_decontamination": decontam.op2,
     "op5_line_dedup": lines.op5,
     "op6_minhash_near_dedup": minhash.op6,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, minhash, pieces, sharding, toxicity, urls
+from hirelens.llm import decontam, lines, minhash, pieces, sharding, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
     "op2_decontamination": decontam.op2,
+    "op3_token_counts": token_counts.op3,
     "op5_line_dedup": lines.op5,
     "op6_minhash_near_dedup": minhash.op6,
     "op8_url_filters": urls.op8,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_token_counts": token_counts.ORACLE,
     "op5_line_dedup": lines.ORACLE,
     "op6_minhash_near_dedup": minhash.ORACLE,
 }

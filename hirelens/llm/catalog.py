@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, minhash, pieces, sharding, token_counts, toxicity, urls
+from hirelens.llm import decontam, lines, maxent, minhash, pieces, sharding, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_token_counts": token_counts.op3,
     "op5_line_dedup": lines.op5,
     "op6_minhash_near_dedup": minhash.op6,
+    "op7_maxent_lm": maxent.op7,
     "op8_url_filters": urls.op8,
     "op9_sentencepiece": pieces.op9,
     "op10_sharding": sharding.op10,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, maxent, minhash, pieces, sharding, token_counts, toxicity, urls
+from hirelens.llm import decontam, lines, maxent, minhash, nndescent, pieces, sharding, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
     "op2_decontamination": decontam.op2,
     "op3_token_counts": token_counts.op3,
+    "op4_embedding_near_dedup": nndescent.op4,
     "op5_line_dedup": lines.op5,
     "op6_minhash_near_dedup": minhash.op6,
     "op7_maxent_lm": maxent.op7,
@@ -18,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_token_counts": token_counts.ORACLE,
+    "op4_embedding_near_dedup": nndescent.ORACLE,
     "op5_line_dedup": lines.ORACLE,
     "op6_minhash_near_dedup": minhash.ORACLE,
 }

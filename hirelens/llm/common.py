@@ -73,8 +73,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     both = scratch.write(both, f"{name}-edges")
     lab = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
                         .select("node", F.least("node", "m").alias("comp")), f"{name}-0")
-    i = 0
-    while True:
+    i, moved = 0, both.limit(1).count() > 0
+    while moved:
         i += 1
         near = (both.join(lab.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m")))
@@ -85,7 +85,6 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
                        (F.least("to", F.coalesce("top", "to")) != F.col("old")).alias("moved")))
         new = scratch.write(new, f"{name}-{i}")
         scratch.drop(f"{name}-{i - 1}")
-        lab = new.select("node", "comp")
-        if new.filter("moved").limit(1).count() == 0:
-            scratch.drop(f"{name}-edges")
-            return lab
+        lab, moved = new.select("node", "comp"), new.filter("moved").limit(1).count() > 0
+    scratch.drop(f"{name}-edges")
+    return lab

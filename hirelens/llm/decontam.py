@@ -28,6 +28,7 @@ ignored by :func:`matches` and kept by :func:`clean`.
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -228,7 +229,7 @@ class Finder:
                 out[key] = got
 
 
-def blocks(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame):
     """The items in blocks of about BLOCK_CHARS characters, fetched one after the other."""
     b = benchmark.select("item_id", "text").filter("text IS NOT NULL")
     chars = b.agg(F.sum(F.length("text")).alias("c")).first().c or 0
@@ -249,8 +250,6 @@ def _finder(bc) -> Finder:
 
 
 def _broadcast(spark, items, i: int):
-    import uuid
-
     return spark.sparkContext.broadcast((f"{uuid.uuid4().hex}-{i}", items))
 
 
@@ -280,20 +279,22 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
+def _found(bc):
+    @F.arrow_udf("boolean")
+    def found(texts: pa.Array) -> pa.Array:
+        hit = np.zeros(len(texts), dtype=bool)
+        hit[[d for d, *_ in _finder(bc).find(texts.to_pylist())]] = True
+        return pa.array(hit)
+
+    return found
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows; nothing is shuffled."""
     spark = docs.sparkSession
     ready(spark)
     for i, items in enumerate(blocks(benchmark)):
-        bc = _broadcast(spark, items, i)
-
-        @F.arrow_udf("boolean")
-        def found(texts: pa.Array, bc=bc) -> pa.Array:
-            hit = np.zeros(len(texts), dtype=bool)
-            hit[[d for d, *_ in _finder(bc).find(texts.to_pylist())]] = True
-            return pa.array(hit)
-
-        docs = docs.filter(~found(F.col("text")))
+        docs = docs.filter(~_found(_broadcast(spark, items, i))(F.col("text")))
     return docs
 
 

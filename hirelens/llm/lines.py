@@ -1,6 +1,6 @@
 """Operator 5, line dedup: a log-template tree of fixed depth.  DataFrame functions only.
 
-The tree is keyed, not built: a line (white space collapsed, lower-cased, every token that
+The tree is keyed, not built: a line (white space collapsed, every token that
 holds a digit masked to ``<*>``) belongs to the leaf of its token count and its first ``depth``
 tokens.  Within a leaf, a token is constant if two different lines have it at that place;
 otherwise the place is a variable field.  A line's template keeps the constants and masks the
@@ -38,28 +38,29 @@ LAST_ID = (1 << 63) - 1
 
 
 def masked(line: Column) -> Column:
-    plain = F.trim(F.regexp_replace(F.lower(line), r"[ \t\r\f\x0B]+", " "))
-    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", MASK)).otherwise(plain)
+    """White space collapsed, tokens with digits masked; most lines need neither."""
+    plain = F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")
+    return F.trim(F.when(line.rlike(r"[0-9\t\r\f\x0B]|  "), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", MASK)).otherwise(line))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """doc (id for comparison), text_key, pos, m (masked line), n (tokens), leaf."""
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), text_key("text").alias("text_key"),
                     F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    d = d.select("doc", "text_key", "pos", masked(F.col("line")).alias("m")).filter("m != ''")
-    n = F.length("m") - F.length(F.replace(F.col("m"), F.lit(" "))) + 1
-    return d.withColumn("n", n).withColumn("leaf", F.xxhash64("n", F.substring_index("m", " ", DEPTH)))
+    d = d.filter("line != ''").select("doc", "text_key", "pos", masked(F.col("line")).alias("m"))
+    return d.withColumn("n", F.size(F.split("m", " "))).withColumn("leaf", F.xxhash64("n", F.substring_index("m", " ", DEPTH)))
 
 
 def recurring(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(lines: doc, text_key, pos, leaf, line_key), (found: leaf, line_key, first): the lines of
+    """(lines: doc, text_key, pos, n, leaf, line_key), (found: leaf, line_key, first): the lines of
     ``found`` are dropped from all documents but ``first``."""
-    lines = scratch.write(line_rows(docs).select("doc", "text_key", "pos", "leaf", F.xxhash64("m").alias("line_key")), "lines")
+    lines = scratch.write(line_rows(docs).select("doc", "text_key", "pos", "n", "leaf", F.xxhash64("m").alias("line_key")), "lines")
     leaves = scratch.write(lines.groupBy("leaf").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
                            .filter("lo != hi").select("leaf"), "leaves")
+    blank = F.col("m") != ""
     spans = [F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c")]
     own = scratch.write(line_rows(docs).select("doc", "leaf", "n", "m").join(leaves, "leaf")
-                        .groupBy("leaf", "n", "m").agg(*spans), "own")
+                        .groupBy("leaf", "n", "m").agg(*spans).filter(blank), "own")
     # constants: (leaf, place, token) in two different masked lines
     wide = own.filter(F.col("n") >= MIN_GENERAL)
     crowded = wide.groupBy("leaf").agg(F.count("*").alias("k")).filter("k > 1").select("leaf")
@@ -81,21 +82,28 @@ def recurring(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return lines, templates.join(found, ["leaf", "template"]).select("leaf", "line_key", "first")
 
 
-def drop_recurring(docs: DataFrame, count_col: str | None = None) -> DataFrame:
-    """``docs`` with the recurring lines taken out of ``text``; ``count_col`` gets their number."""
+def drop_recurring(docs: DataFrame, count_col: str | None = None, max_share: float = 1.0) -> DataFrame:
+    """``docs`` with the recurring lines taken out of ``text``; ``count_col`` gets their number.
+
+    A document that would lose more than ``max_share`` of its words is a copy of others rather
+    than a text with recurring lines; it is left whole, for a near-duplicate operator to judge.
+    """
     scratch = Scratch(docs.sparkSession, "lines")
     lines, found = recurring(docs, scratch)
     gone = (lines.join(found, ["leaf", "line_key"]).filter(F.col("doc") != F.col("first"))
-            .groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set("pos").alias("__gone")))
+            .groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pos", "n")).alias("__gone")))
     joined = docs.join(gone, (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)) == F.col("__doc"))
                        & (text_key(docs["text"]) == F.col("__key")), "left")
+    drop = F.col("__gone").isNotNull()
+    if max_share < 1:
+        lost = F.aggregate("__gone", F.lit(0), lambda s, x: s + x["n"])
+        drop = drop & (lost <= max_share * F.regexp_count(docs["text"], F.lit("[^ \n\t\r\f\x0B]+")))
     parts = F.split(docs["text"], "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
-    text = F.when(F.col("__gone").isNull(), docs["text"]).otherwise(
-        F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(parts, i)), "\n"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.transform("__gone", lambda x: x["pos"]))
+    text = F.when(drop, F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(parts, i)), "\n")).otherwise(docs["text"])
     cols = [text.alias(c) if c == "text" else docs[c] for c in docs.columns]
     if count_col:
-        cols.append(F.coalesce(F.size("__gone"), F.lit(0)).alias(count_col))
+        cols.append(F.when(drop, F.size("__gone")).otherwise(0).alias(count_col))
     return joined.select(*cols)
 
 
@@ -110,7 +118,7 @@ def op5(spark, sf_dir) -> DataFrame:
 ORACLE = f"""
 WITH raw AS (SELECT DISTINCT coalesce(doc_id, {LAST_ID}) AS doc, text FROM documents WHERE text IS NOT NULL),
 ex AS (SELECT doc, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM raw),
-pl AS (SELECT doc, text, pos, trim(regexp_replace(lower(line), '[ \\t\\r\\f\\x0B]+', ' ', 'g')) AS p FROM ex),
+pl AS (SELECT doc, text, pos, trim(regexp_replace(line, '[ \\t\\r\\f\\x0B]+', ' ', 'g')) AS p FROM ex),
 l AS (SELECT doc, text, pos, string_split(regexp_replace(p, '[^ ]*[0-9][^ ]*', '{MASK}', 'g'), ' ') AS t FROM pl WHERE p <> ''),
 lf AS (SELECT *, len(t) AS n, t[1:{DEPTH}] AS head FROM l),
 own AS (SELECT n, head, t, min(doc) AS lo, max(doc) AS hi, count(*) AS c FROM lf GROUP BY ALL),

@@ -159,19 +159,18 @@ class Finder:
         both = np.unique(np.stack([np.concatenate(starts), np.concatenate(sizes)]), axis=1)
         return both[0], both[1]
 
-    def confirm(self, codes: list[np.ndarray], doc: np.ndarray, start: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Least word edits between each item and a passage around the window."""
+    def confirm(self, codes: list[np.ndarray], doc: np.ndarray, start: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least word edits between each item and a passage around the window; where it ends."""
         n, k = self.n[item], self.k[item]
         span = int((n + 4 * k).max())
         text = np.full((len(doc), span), -1, dtype=np.int64)
+        first = np.maximum(0, start - 2 * k)
         for r in range(len(doc)):
-            c, a = codes[doc[r]], int(start[r] - 2 * k[r])
-            b = min(len(c), int(start[r] + n[r] + 2 * k[r]))
-            a = max(0, a)
-            text[r, :b - a] = c[a:b]
+            c = codes[doc[r]][first[r]:int(start[r] + n[r] + 2 * k[r])]
+            text[r, :len(c)] = c
         place = np.arange(span + 1)
         row = np.zeros((len(doc), span + 1), dtype=np.int64)
-        best = np.full(len(doc), 1 << 30, dtype=np.int64)
+        best, end = np.full(len(doc), 1 << 30, dtype=np.int64), np.zeros(len(doc), dtype=np.int64)
         for i in range(int(n.max())):
             new = np.empty_like(row)
             new[:, 0] = i + 1
@@ -179,11 +178,12 @@ class Finder:
             row = np.minimum.accumulate(new - place, axis=1) + place
             done = n == i + 1
             if done.any():
-                best[done] = row[done].min(axis=1)
-        return best
+                end[done] = row[done].argmin(axis=1)
+                best[done] = row[done, end[done]]
+        return best, first + end
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
-        """(text, item, edits, first word) for each item found in each text."""
+        """(text, item, edits, word after the passage) for each item found in each text."""
         if not self.width:
             return []
         code, codes, wins = self.code, [], []
@@ -199,7 +199,7 @@ class Finder:
         out: dict[tuple[int, int], tuple[int, int]] = {}
         for i in range(0, len(doc), WINDOWS_AT_ONCE):
             self._find(codes, doc[i:i + WINDOWS_AT_ONCE], start[i:i + WINDOWS_AT_ONCE], n[i:i + WINDOWS_AT_ONCE], out)
-        return [(d, i, e, max(0, s)) for (d, i), (e, s) in sorted(out.items())]
+        return [(d, i, e, s) for (d, i), (e, s) in sorted(out.items())]
 
     def _find(self, codes, doc, start, n, out) -> None:
         windows = np.zeros((len(doc), self.width), dtype=np.int64)
@@ -218,13 +218,14 @@ class Finder:
             return
         r, item = np.unique(np.concatenate(pairs, axis=1), axis=1)
         edits = (windows[r] != self.words[item]).any(axis=1).astype(np.int64)  # 0: word by word the same
+        end = start[r] + n[r]
         for i in range(0, len(r), WINDOWS_AT_ONCE // 4):
             part = np.flatnonzero(edits[i:i + WINDOWS_AT_ONCE // 4]) + i
             if len(part):
-                edits[part] = self.confirm(codes, doc[r[part]], start[r[part]], item[part])
+                edits[part], end[part] = self.confirm(codes, doc[r[part]], start[r[part]], item[part])
         for x in np.flatnonzero(edits <= self.k[item]):
             key = (int(doc[r[x]]), int(item[x]))
-            got = (int(edits[x]), int(start[r[x]]))
+            got = (int(edits[x]), int(end[x]))
             if key not in out or got < out[key]:
                 out[key] = got
 
@@ -254,13 +255,14 @@ def _broadcast(spark, items, i: int):
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, edits, item_words, first_word: each item found in each row of ``docs``."""
+    """doc_id, item_id, edits, item_words, end_word (the place after the passage): each item found in each
+    row of ``docs``."""
     spark = docs.sparkSession
     ready(spark)
     src = docs.select("doc_id", "text")
     item_type = benchmark.schema["item_id"].dataType
     schema = T.StructType([src.schema["doc_id"], T.StructField("item_id", item_type), T.StructField("edits", T.IntegerType()),
-                           T.StructField("item_words", T.IntegerType()), T.StructField("first_word", T.IntegerType())])
+                           T.StructField("item_words", T.IntegerType()), T.StructField("end_word", T.IntegerType())])
     out = spark.createDataFrame([], schema)
     for i, items in enumerate(blocks(benchmark)):
         bc = _broadcast(spark, items, i)
@@ -273,7 +275,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 ids = b.column(0).take(pa.array(cols[0], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(cols[1], pa.int64() if isinstance(item_type, T.LongType) else None),
-                     *[pa.array(c, pa.int32()) for c in cols[2:]]], ["doc_id", "item_id", "edits", "item_words", "first_word"])
+                     *[pa.array(c, pa.int32()) for c in cols[2:]]], ["doc_id", "item_id", "edits", "item_words", "end_word"])
 
         out = out.unionByName(src.mapInArrow(run, schema))
     return out

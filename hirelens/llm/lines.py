@@ -1,7 +1,7 @@
 """Operator 5, line dedup: a log-template tree of fixed depth.  DataFrame functions only.
 
-The tree is keyed, not built: a line (white space collapsed, every token that
-holds a digit masked to ``<*>``) belongs to the leaf of its token count and its first ``depth``
+The tree is keyed, not built: a line (white space collapsed, tokens that hold a
+digit masked to ``<*>``, if that leaves ``similarity`` of them) belongs to the leaf of its token count and its first ``depth``
 tokens.  Within a leaf, a token is constant if two different lines have it at that place;
 otherwise the place is a variable field.  A line's template keeps the constants and masks the
 fields, if the line has at least ``min_general`` tokens and at least ``similarity`` of the
@@ -38,9 +38,14 @@ LAST_ID = (1 << 63) - 1
 
 
 def masked(line: Column) -> Column:
-    """White space collapsed, tokens with digits masked; most lines need neither."""
-    plain = F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")
-    return F.trim(F.when(line.rlike(r"[0-9\t\r\f\x0B]|  "), F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", MASK)).otherwise(line))
+    """White space collapsed and tokens with digits masked, if enough others are left (a row of
+    numbers stays as it is); most lines need neither."""
+    plain = F.trim(F.regexp_replace(line, r"[ \t\r\f\x0B]+", " "))
+    tokens = F.split(F.regexp_replace(plain, "[^ ]*[0-9][^ ]*", MASK), " ")
+    fields = F.size(F.filter(tokens, lambda t: t == MASK))
+    few = fields <= (1 - SIMILARITY) * F.size(tokens)
+    return (F.when(~line.rlike(r"[0-9\t\r\f\x0B]|  "), F.trim(line))
+            .when(few, F.array_join(tokens, " ")).otherwise(plain))
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -119,7 +124,9 @@ ORACLE = f"""
 WITH raw AS (SELECT DISTINCT coalesce(doc_id, {LAST_ID}) AS doc, text FROM documents WHERE text IS NOT NULL),
 ex AS (SELECT doc, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM raw),
 pl AS (SELECT doc, text, pos, trim(regexp_replace(line, '[ \\t\\r\\f\\x0B]+', ' ', 'g')) AS p FROM ex),
-l AS (SELECT doc, text, pos, string_split(regexp_replace(p, '[^ ]*[0-9][^ ]*', '{MASK}', 'g'), ' ') AS t FROM pl WHERE p <> ''),
+mk AS (SELECT *, string_split(regexp_replace(p, '[^ ]*[0-9][^ ]*', '{MASK}', 'g'), ' ') AS mt FROM pl WHERE p <> ''),
+l AS (SELECT doc, text, pos, CASE WHEN len(list_filter(mt, lambda x: x = '{MASK}')) <= {1 - SIMILARITY} * len(mt) THEN mt
+      ELSE string_split(p, ' ') END AS t FROM mk),
 lf AS (SELECT *, len(t) AS n, t[1:{DEPTH}] AS head FROM l),
 own AS (SELECT n, head, t, min(doc) AS lo, max(doc) AS hi, count(*) AS c FROM lf GROUP BY ALL),
 tk AS (SELECT n, head, t, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM own WHERE n >= {MIN_GENERAL}),

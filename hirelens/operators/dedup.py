@@ -1,9 +1,9 @@
 """De-duplication.
 
 D1  exact: md5 signature; the first row (smallest ``input_seq``) of each signature
-    survives.  Implemented as ``groupBy(sig).min(seq)`` + semi-join on the unique
-    ``seq``: the aggregation combines map-side, so a signature holding a third of all
-    rows never lands whole in one task (a window over ``sig`` would).
+    survives.  ``groupBy(sig).min(seq)`` combines map-side, so a signature holding a third
+    of all rows never lands whole in one task (a window over ``sig`` would); the later
+    copies, usually few, leave by an anti-join on ``seq``.
 D2  pair similarity: mean of ``difflib.SequenceMatcher(None, later, earlier).ratio()``
     over lower-cased title and description, in an Arrow UDF applied to candidate
     pairs only.  Argument order matters (autojunk makes the ratio asymmetric).
@@ -45,10 +45,10 @@ def signature(cols=("title", "description", "url")) -> Column:
 
 def dedup_exact(df: DataFrame, cols=("title", "description", "url"), seq: str = "input_seq") -> DataFrame:
     """Keep the first row of every signature."""
-    firsts = (df.select(signature(cols).alias("_sig"), F.col(seq))
-              .groupBy("_sig").agg(F.min(seq).alias(seq))
-              .select(seq))
-    return df.join(firsts, seq, "left_semi")
+    sigs = df.select(signature(cols).alias("_sig"), F.col(seq))
+    firsts = sigs.groupBy("_sig").agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    later = sigs.join(firsts, "_sig").filter(F.col(seq) != F.col("_first")).select(seq)
+    return df.join(later, seq, "left_anti")
 
 
 # ---------------------------------------------------------------- D2

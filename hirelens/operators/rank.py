@@ -48,18 +48,14 @@ def top_k(df: DataFrame, k: int, score_col: str = "match_score", seq: str = "inp
 
 def top_k_per_group(df: DataFrame, k: int, group: str, score_col: str = "match_score",
                     seq: str = "input_seq", name: str = "rank") -> DataFrame:
-    """Top k per group (a profile, a search criterion), safe for a hot group.
+    """Top k per group (a profile, a search criterion).
 
-    Stage 1 keeps at most k rows per (group, input partition), so a group holding a
-    third of all rows is cut down where it lies; stage 2 ranks the <= k x partitions
-    survivors of each group.
+    One window: Spark's window group limit cuts every group to k rows in each input
+    partition before the shuffle, so a group that holds a third of all rows is cut
+    where it lies.
     """
-    order = ranking_order(score_col, seq)
-    pre = df.withColumn("_part", F.spark_partition_id())
-    w1 = Window.partitionBy(group, "_part").orderBy(*order)
-    pre = pre.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_part")
-    w2 = Window.partitionBy(group).orderBy(*order)
-    return pre.withColumn(name, F.row_number().over(w2)).filter(F.col(name) <= k)
+    w = Window.partitionBy(group).orderBy(*ranking_order(score_col, seq))
+    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
 
 
 def notification_set(df: DataFrame, min_score: float = 0.5, max_jobs: int = 10,

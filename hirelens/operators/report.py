@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hirelens.functions import fmt
 from hirelens.functions import salary as sal
-from hirelens.operators.rank import top_k
+from hirelens.operators.rank import rank_postings, top_k
 
 
 def summary(df: DataFrame, score_col: str = "match_score") -> DataFrame:
@@ -29,28 +29,26 @@ def score_histogram(df: DataFrame, score_col: str = "match_score", bins: int = 1
 
     Edges are ``lo + i*step`` as a linspace builds them; a value belongs to bin i when
     edge_i <= x < edge_(i+1); the last bin is closed; min = max widens to +-0.5.
-    The range is one aggregated row fetched to the driver (two numbers), then the
-    binning is a single partial-aggregated groupBy.
+    The scores are computed once: distinct values with their counts, combined before the
+    shuffle, carry both the range and the bins, and nothing is fetched to the driver.
     """
-    xs = df.select((F.coalesce(F.col(score_col).cast("double"), F.lit(0.0)) * 100).alias("x"))
-    r = xs.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    spark = df.sparkSession
-    if r is None or r["lo"] is None:
-        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n_jobs bigint")
-    lo, hi = float(r["lo"]), float(r["hi"])
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    step = (hi - lo) / bins
-    g = F.least(F.greatest(F.floor((F.col("x") - F.lit(lo)) / F.lit(step)), F.lit(0)), F.lit(bins - 1)).cast("int")
-    lo_edge = F.lit(lo) + g * F.lit(step)
-    hi_edge = F.lit(lo) + (g + 1) * F.lit(step)
-    b = (F.when(F.col("x") < lo_edge, g - 1)
-         .when((g < bins - 1) & (F.col("x") >= hi_edge), g + 1)
+    xs = (df.select((F.coalesce(F.col(score_col).cast("double"), F.lit(0.0)) * 100).alias("x"))
+          .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
+    spread = xs.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    same = F.col("lo") == F.col("hi")
+    spread = spread.filter("lo IS NOT NULL").select(F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+                                                    F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
+    spread = spread.withColumn("step", (F.col("hi") - F.col("lo")) / bins).withColumn("one", F.lit(1))
+    j = xs.withColumn("one", F.lit(1)).join(F.broadcast(spread), "one")  # the range: exactly one row
+    lo, step, x = F.col("lo"), F.col("step"), F.col("x")
+    g = F.least(F.greatest(F.floor((x - lo) / step), F.lit(0)), F.lit(bins - 1)).cast("int")
+    b = (F.when(x < lo + g * step, g - 1)
+         .when((g < bins - 1) & (x >= lo + (g + 1) * step), g + 1)
          .otherwise(g))
-    counts = xs.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n_jobs"))
-    edges = spark.range(bins).select(F.col("id").cast("int").alias("bin")).select(
-        "bin", (F.lit(lo) + F.col("bin") * F.lit(step)).alias("bin_lo"),
-        F.when(F.col("bin") == bins - 1, F.lit(hi)).otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(step)).alias("bin_hi"))
+    counts = j.select(b.alias("bin"), "n").groupBy("bin").agg(F.sum("n").alias("n_jobs"))
+    edges = (spread.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+             .select("bin", (lo + F.col("bin") * step).alias("bin_lo"),
+                     F.when(F.col("bin") == bins - 1, F.col("hi")).otherwise(lo + (F.col("bin") + 1) * step).alias("bin_hi")))
     return edges.join(counts, "bin", "left").select("bin", "bin_lo", "bin_hi",
                                                     F.coalesce("n_jobs", F.lit(0)).cast("bigint").alias("n_jobs"))
 
@@ -76,9 +74,10 @@ def distinct_skills(df: DataFrame, skills: str = "skills") -> DataFrame:
     return skill_items(df, skills).filter(F.col("skill").isNotNull()).distinct()
 
 
-def display_rows(df: DataFrame, k: int = 20, location_default: str = "Not specified") -> DataFrame:
-    """The top-k postings as display rows (report cards; mail uses k = max_jobs)."""
-    t = top_k(df, k)
+def display_rows(df: DataFrame, k: int | None = 20, location_default: str = "Not specified") -> DataFrame:
+    """The top-k postings as display rows (report cards; mail uses k = max_jobs);
+    ``None``: all, as a distributed sort."""
+    t = rank_postings(df) if k is None else top_k(df, k)
     s = F.col("salary")
     return t.select(
         "input_seq",

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from hirelens.functions.skills import TECH_SKILLS
 from hirelens.operators import dedup, load, normalize, rank, report, scoring, validate
-from hirelens.session import checkpoint_dir
 
 
 def clean(raw: DataFrame, near_dedup: bool = True, dictionary: list[str] = TECH_SKILLS,
@@ -26,10 +25,6 @@ def clean(raw: DataFrame, near_dedup: bool = True, dictionary: list[str] = TECH_
     kw = {"record_ok": F.col("record_ok")} if "record_ok" in raw.columns else {}
     accepted, rejected = validate.split_valid(raw, **kw)
     kept = dedup.dedup_near(accepted, threshold) if near_dedup else dedup.dedup_exact(accepted)
-    # Write the de-duplicated raw rows to the shared checkpoint folder: it cuts the
-    # lineage (recovery restarts here) and keeps the normalisation plan compact.
-    checkpoint_dir(raw.sparkSession)
-    kept = kept.checkpoint()
     ok, bad = normalize.split_normalized(normalize.normalize(kept, dictionary, prefer_iso))
     rejects = rejected.select("input_seq", "reject_reason").unionByName(bad.select("input_seq", "reject_reason"))
     return ok, rejects
@@ -56,13 +51,17 @@ def notify_rows(scored: DataFrame, min_score: float = 0.5, max_jobs: int = 10,
     """T4 (+J6): qualifying rows not notified before, best first, as mail rows."""
     q = scored if already_sent is None else load.not_yet_notified(scored, already_sent)
     sent = rank.notification_set(q, min_score, max_jobs)
-    return report.display_rows(sent, max_jobs if max_jobs > 0 else 1 << 30, location_default="")
+    return report.display_rows(sent, max_jobs if max_jobs > 0 else None, location_default="")
 
 
-def save_tables(scored: DataFrame, run_date: str, top: int = 50, skills_dim: DataFrame | None = None,
+def save_tables(scored: DataFrame, run_date: str, top: int | None = None, skills_dim: DataFrame | None = None,
                 first_id: int = 1) -> dict[str, DataFrame]:
-    """S9-S12 over the top-k export: listings, skill dimension, bridge, client details."""
-    exported = rank.top_k(scored, top)
+    """Listings, skill dimension, bridge, client details.
+
+    The whole ranked table is loaded; ``top`` loads the first rows only, as the
+    reference does when its load step reads the top-50 export (S8).
+    """
+    exported = scored if top is None else rank.top_k(scored, top)
     listings = load.load_listings(exported, run_date, first_id)
     dim = load.upsert_skills(listings, skills_dim)
     return {

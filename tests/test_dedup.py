@@ -36,7 +36,7 @@ def test_similarity_values(spark):
 
 def test_order_dependence(spark):
     a, b, c = ("alpha beta gamma delta", "x" * 40), ("alpha beta gamma delts", "x" * 40), ("alpha beta gamma dflts", "x" * 40)
-    assert sim(b, a) > 0.9 and sim(c, b) > 0.9 and sim(c, a) <= 0.9 or True
+    assert sim(b, a) > 0.9 and sim(c, b) > 0.9
     rows = [(1, *a), (2, *b), (3, *c)]
     df = spark.createDataFrame(rows, "input_seq bigint, title string, description string")
     got = sorted(r[0] for r in dedup.dedup_near(df).select("input_seq").collect())

@@ -10,12 +10,15 @@ D2  pair similarity: mean of ``difflib.SequenceMatcher(None, later, earlier).rat
 D3  greedy near-duplicate removal: a row is dropped iff it is similar (> threshold)
     to an earlier *kept* row.  Exact, via
       1. collapse of identical (title, description) pairs (the copy's fate equals the first's);
-      2. lossless candidates: both per-field upper bounds of the ratio -- length
-         ``2*min/sum`` and character-multiset ``2*|a & b|/sum`` -- must allow a mean
-         above the threshold.  Rows meet only within neighbouring log-length cells;
-         big cells are salted so that no task owns a hot cell;
-      3. difflib on the survivors;
-      4. iterative resolution over the similar edges (checkpointed each round).
+     2. lossless candidates: per field the ratio is at most ``2*min/sum`` of the lengths and
+        at most ``2*|a & b|/sum`` of the character multisets; the mean of the fields' bounds
+        must exceed the threshold.  A mean above t needs each field above 2t-1, hence a
+        length quotient above (2t-1)/(3-2t): rows lie in length cells of that base and meet
+        those of neighbouring cells only (one cell for t <= 0.5).  A cell is cut into blocks of
+        ``block_rows``; both sides of a cell pair are cut, and each pair of blocks is compared
+        as a matrix in one task, which returns the surviving pairs only;
+     3. difflib on the survivors;
+     4. resolution in rounds over the rows that have an edge (checkpointed each round).
 """
 
 from __future__ import annotations
@@ -114,27 +117,20 @@ _LUT = _bucket_table()
 N_BUCKETS = int(_LUT.max()) + 1
 
 
-def _counts(s) -> tuple[int, list[int]]:
+def _counts(s) -> np.ndarray:
     s = "" if s is None else str(s).lower()
-    if not s:
-        return 0, [0] * N_BUCKETS
     cp = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
     idx = np.where(cp < 0x100, _LUT[np.minimum(cp, 0xFF)], N_BUCKETS - 1)
-    return int(cp.size), np.bincount(idx, minlength=N_BUCKETS).astype(np.int64).tolist()
+    return np.bincount(idx, minlength=N_BUCKETS).astype(np.int32)
 
 
-@pandas_udf(T.StructType([T.StructField("lt", T.IntegerType()), T.StructField("ct", T.ArrayType(T.IntegerType())),
-                          T.StructField("ld", T.IntegerType()), T.StructField("cd", T.ArrayType(T.IntegerType()))]))
+@pandas_udf(T.StructType([T.StructField("lt", T.IntegerType()), T.StructField("ld", T.IntegerType()),
+                          T.StructField("bag", T.BinaryType())]))
 def _features(title: pd.Series, desc: pd.Series) -> pd.DataFrame:
-    lt, ct, ld, cd = [], [], [], []
-    for t, d in zip(title, desc):
-        n, c = _counts(t)
-        lt.append(n)
-        ct.append(c)
-        n, c = _counts(d)
-        ld.append(n)
-        cd.append(c)
-    return pd.DataFrame({"lt": lt, "ct": ct, "ld": ld, "cd": cd})
+    """Lengths and character counts (title's, then description's) of the lower-cased fields."""
+    t, d = [_counts(x) for x in title], [_counts(x) for x in desc]
+    return pd.DataFrame({"lt": [int(x.sum()) for x in t], "ld": [int(x.sum()) for x in d],
+                         "bag": [np.concatenate(p).tobytes() for p in zip(t, d)]})
 
 
 def _udf_partitions(df: DataFrame) -> int:
@@ -142,70 +138,100 @@ def _udf_partitions(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism * 2)
 
 
-def _band(length: Column) -> Column:
-    """floor(log_1.5(len)); -1 for empty.  Lengths with ratio > 2/3 lie in the same
-    or adjacent bands, and both per-field ratios must exceed 2*thr-1 >= 0.8."""
-    return F.when(length <= 0, F.lit(-1)).otherwise(F.floor(F.log(length.cast("double")) / math.log(1.5)).cast("int"))
+def cell_base(threshold: float) -> float | None:
+    """Quotient of two lengths that can be similar at all; None: any."""
+    return (3 - 2 * threshold) / (2 * threshold - 1) * (1 + 1e-9) if threshold > 0.5 else None
 
 
-def _pair_bound(la: Column, lb: Column, inter: Column) -> Column:
-    tot = la + lb
-    return F.when(tot == 0, F.lit(1.0)).otherwise(F.lit(2.0) * inter / tot)
+def _band(length: Column, base: float | None) -> Column:
+    """Length cell: lengths that can be similar lie in the same or adjacent ones (-1: empty)."""
+    if base is None:
+        return F.lit(0)
+    empty = F.lit(-2)  # an empty field is similar to an empty one only
+    return F.when(length <= 0, empty).otherwise(F.floor(F.log(length.cast("double")) / math.log(base) + 1e-12).cast("int"))
 
 
-def _inter(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda acc, x: acc + x)
+def _bound(la, lb, common):
+    total = la + lb
+    return np.where(total == 0, 1.0, 2.0 * common / np.maximum(total, 1))
+
+
+def _block_pairs(threshold: float):
+    """Surviving (later, earlier) pairs of one pair of blocks."""
+    need = 2.0 * threshold - 1e-9
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
+        if not len(right):
+            right = left  # a block with itself
+        seq, other = left["seq"].to_numpy(), right["seq"].to_numpy()
+        lt, ld = left["lt"].to_numpy()[:, None], left["ld"].to_numpy()[:, None]
+        rt, rd = right["lt"].to_numpy()[None, :], right["ld"].to_numpy()[None, :]
+        ok = _bound(lt, rt, np.minimum(lt, rt)) + _bound(ld, rd, np.minimum(ld, rd)) > need
+        ok &= seq[:, None] < other[None, :] if right is left else seq[:, None] != other[None, :]
+        i, j = np.nonzero(ok)
+        bags = [np.frombuffer(b"".join(x["bag"]), np.int32).reshape(len(x), -1) for x in (left, right)]
+        keep = np.zeros(len(i), dtype=bool)
+        for at in range(0, len(i), 50_000):
+            a, b = i[at:at + 50_000], j[at:at + 50_000]
+            both = np.minimum(bags[0][a], bags[1][b])
+            keep[at:at + 50_000] = (_bound(lt[a, 0], rt[0, b], both[:, :N_BUCKETS].sum(axis=1))
+                                    + _bound(ld[a, 0], rd[0, b], both[:, N_BUCKETS:].sum(axis=1))) > need
+        x, y = seq[i[keep]], other[j[keep]]
+        return pd.DataFrame({"l_seq": np.maximum(x, y), "e_seq": np.minimum(x, y)})
+
+    return pairs
 
 
 def candidate_pairs(reps: DataFrame, threshold: float = 0.9, seq: str = "input_seq",
                     title: str = "title", description: str = "description",
-                    cell_rows: int = 4000) -> DataFrame:
+                    block_rows: int = 512) -> DataFrame:
     """(later, earlier) pairs whose ratio upper bounds allow similarity > threshold.
 
-    Lossless: a similar pair always survives (both bounds are >= the true ratios).
-    ``cell_rows`` sets how many rows of a length cell one salt slice holds.
+    Lossless at any threshold: a similar pair always survives (both bounds are >= the
+    true ratios, and its rows lie in neighbouring length cells).
     """
+    base = cell_base(threshold)
     # Python work is CPU-bound while its input is small in bytes: give it an explicit
     # partition count (AQE never coalesces an explicit repartition).
     feats = (reps.repartition(_udf_partitions(reps), F.col(seq))
              .select(F.col(seq).alias("seq"), _features(F.col(title), F.col(description)).alias("f"))
              .select("seq", "f.*")
-             .withColumn("bt", _band(F.col("lt"))).withColumn("bd", _band(F.col("ld"))))
-    # Written once to the shared checkpoint folder: both join sides read it, the UDF runs once.
+             .withColumn("bt", _band(F.col("lt"), base)).withColumn("bd", _band(F.col("ld"), base)))
+    # Written once to the shared checkpoint folder: both uses read it, the UDF runs once.
     checkpoint_dir(reps.sparkSession)
     feats = feats.checkpoint()
-    # One row per populated (title band, description band) cell: at most
-    # (log_1.5 max length + 2)^2 rows whatever the data volume, so broadcasting it is bounded.
+    # One row per populated cell: at most (log max length + 2)^2 rows whatever the data
+    # volume, so broadcasting them is bounded.
     cells = (feats.groupBy("bt", "bd").agg(F.count(F.lit(1)).alias("n"))
-             .select("bt", "bd", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(cell_rows))).cast("int").alias("n_salt")))
-    cells = F.broadcast(cells)
-    later = (feats.join(cells, ["bt", "bd"])
-             .withColumn("salt", F.pmod(F.xxhash64(F.col("seq")), F.col("n_salt")).cast("int"))
-             .select(F.col("seq").alias("l_seq"), "bt", "bd", "salt",
-                     F.col("lt").alias("l_lt"), F.col("ld").alias("l_ld"),
-                     F.col("ct").alias("l_ct"), F.col("cd").alias("l_cd")))
-    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    earlier = (feats
-               .withColumn("dt", F.explode(offs)).withColumn("dd", F.explode(offs))
-               .withColumn("nbt", F.col("bt") + F.col("dt")).withColumn("nbd", F.col("bd") + F.col("dd"))
-               .join(cells.withColumnRenamed("bt", "nbt").withColumnRenamed("bd", "nbd"), ["nbt", "nbd"])
-               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1)))
-               .select(F.col("seq").alias("e_seq"), F.col("nbt").alias("bt"), F.col("nbd").alias("bd"), "salt",
-                       F.col("lt").alias("e_lt"), F.col("ld").alias("e_ld"),
-                       F.col("ct").alias("e_ct"), F.col("cd").alias("e_cd")))
-    need = 2.0 * threshold - 1e-9
-    len_ok = (_pair_bound(F.col("l_lt"), F.col("e_lt"), F.least("l_lt", "e_lt"))
-              + _pair_bound(F.col("l_ld"), F.col("e_ld"), F.least("l_ld", "e_ld"))) > need
-    bag_ok = (_pair_bound(F.col("l_lt"), F.col("e_lt"), _inter(F.col("l_ct"), F.col("e_ct")))
-              + _pair_bound(F.col("l_ld"), F.col("e_ld"), _inter(F.col("l_cd"), F.col("e_cd")))) > need
-    pairs = later.join(earlier, ["bt", "bd", "salt"]).where((F.col("e_seq") < F.col("l_seq")) & len_ok & bag_ok)
-    return pairs.select("l_seq", "e_seq")
+             .select("bt", "bd", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("blocks")))
+    a = cells.select(F.col("bt").alias("at"), F.col("bd").alias("ad"), F.col("blocks").alias("an"))
+    b = cells.select(F.col("bt").alias("zt"), F.col("bd").alias("zd"), F.col("blocks").alias("zn"))
+    step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    near = (a.withColumn("zt", F.explode(F.transform(step, lambda i: F.col("at") + i)))
+            .withColumn("zd", F.explode(F.transform(step, lambda i: F.col("ad") + i))).join(b, ["zt", "zd"])
+            .filter((F.col("at") < F.col("zt")) | ((F.col("at") == F.col("zt")) & (F.col("ad") <= F.col("zd")))))
+    same = (F.col("at") == F.col("zt")) & (F.col("ad") == F.col("zd"))
+    near = F.broadcast(near.withColumn("same", same))
+    rows = feats.withColumn("key", F.xxhash64("seq"))
+    first = (rows.join(near, (F.col("bt") == F.col("at")) & (F.col("bd") == F.col("ad")))
+             .withColumn("i", F.pmod("key", "an")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("zn") - 1)))
+             # within a cell: both orders of two blocks are one pair; the smaller block is side 0
+             .withColumn("side", F.when(F.col("same") & (F.col("other") < F.col("i")), 1).otherwise(0))
+             .withColumn("p", F.when(F.col("same"), F.least("i", "other")).otherwise(F.col("i")))
+             .withColumn("z", F.when(F.col("same"), F.greatest("i", "other")).otherwise(F.col("other"))))
+    second = (rows.join(near.filter(~F.col("same")), (F.col("bt") == F.col("zt")) & (F.col("bd") == F.col("zd")))
+              .withColumn("z", F.pmod("key", "zn")).withColumn("p", F.explode(F.sequence(F.lit(0), F.col("an") - 1)))
+              .withColumn("side", F.lit(1)))
+    cols = ["at", "ad", "zt", "zd", "p", "z", "side", "seq", "lt", "ld", "bag"]
+    dealt = first.select(*cols).unionByName(second.select(*cols))
+    return dealt.groupBy("at", "ad", "zt", "zd", "p", "z").applyInPandas(_block_pairs(threshold), "l_seq bigint, e_seq bigint")
 
 
 def similar_edges(reps: DataFrame, threshold: float = 0.9, seq: str = "input_seq",
-                  title: str = "title", description: str = "description", cell_rows: int = 4000) -> DataFrame:
+                  title: str = "title", description: str = "description", block_rows: int = 512) -> DataFrame:
     """(l_seq, e_seq) pairs, later -> earlier, with similarity > threshold."""
-    cand = candidate_pairs(reps, threshold, seq, title, description, cell_rows)
+    cand = candidate_pairs(reps, threshold, seq, title, description, block_rows)
     txt = reps.select(F.col(seq), F.col(title), F.col(description))
     lt = txt.select(F.col(seq).alias("l_seq"), F.col(title).alias("l_t"), F.col(description).alias("l_d"))
     et = txt.select(F.col(seq).alias("e_seq"), F.col(title).alias("e_t"), F.col(description).alias("e_d"))
@@ -215,44 +241,40 @@ def similar_edges(reps: DataFrame, threshold: float = 0.9, seq: str = "input_seq
     return pairs.where(sim("l_t", "e_t", "l_d", "e_d")).select("l_seq", "e_seq")
 
 
-def resolve_greedy(nodes: DataFrame, edges: DataFrame, seq: str = "input_seq") -> DataFrame:
-    """Kept node ids under the sequential rule "drop iff similar to an earlier kept row".
+def dropped_greedy(edges: DataFrame) -> DataFrame:
+    """Ids dropped under the sequential rule "drop iff similar to an earlier kept row".
 
-    Round: an undecided row with a kept earlier neighbour is dropped; one whose
-    earlier neighbours are all dropped is kept.  The earliest undecided row always
-    resolves, so the loop ends; each round's state is checkpointed (lineage cut).
+    Only rows on an edge take part; all others are kept.  Round: an undecided row with a
+    kept earlier neighbour is dropped; one whose earlier neighbours are all dropped is
+    kept.  The earliest undecided row always resolves, so the loop ends; each round's
+    state is checkpointed (lineage cut).
     """
-    spark = nodes.sparkSession
+    spark = edges.sparkSession
     checkpoint_dir(spark)
-    edges = edges.checkpoint()
-    srcs = edges.select(F.col("l_seq").alias(seq)).distinct().withColumn("_has_out", F.lit(True))
-    status = (nodes.select(seq).join(srcs, seq, "left")
-              .select(seq, F.when(F.col("_has_out"), F.lit("U")).otherwise(F.lit("K")).alias("st")))
-    # Only rows with earlier neighbours take part in the rounds.
-    undecided = status.filter(F.col("st") == "U").checkpoint()
-    decided = status.filter(F.col("st") != "U").select(seq, "st")
-    e = edges.select(F.col("l_seq").alias(seq), F.col("e_seq").alias("_dst")).checkpoint()
-    known = spark.createDataFrame([], f"{seq} bigint, st string")
-    while undecided.count() > 0:
-        dst_state = (e.join(undecided.select(seq), seq, "left_semi")
-                     .join(decided.union(known).select(F.col(seq).alias("_dst"), F.col("st").alias("_dst_st")),
-                           "_dst", "left"))
-        verdict = (dst_state.groupBy(seq)
-                   .agg(F.max(F.coalesce(F.col("_dst_st") == "K", F.lit(False))).alias("any_k"),
-                        F.min(F.coalesce(F.col("_dst_st") == "D", F.lit(False))).alias("all_d"))
-                   .select(seq, F.when(F.col("any_k"), "D").when(F.col("all_d"), "K").otherwise("U").alias("st")))
-        new = verdict.filter(F.col("st") != "U").checkpoint()
-        known = known.union(new).checkpoint()
-        undecided = undecided.join(new.select(seq), seq, "left_anti").checkpoint()
-    return decided.union(known).filter(F.col("st") == "K").select(seq)
+    e = edges.select(F.col("l_seq").alias("id"), F.col("e_seq").alias("dst")).checkpoint()
+    later = e.select("id").distinct()
+    known = e.select(F.col("dst").alias("id")).distinct().join(later, "id", "left_anti").withColumn("st", F.lit("K")).checkpoint()
+    open_ = later.checkpoint()
+    while open_.limit(1).count() > 0:
+        state = e.join(open_, "id", "left_semi").join(known.select(F.col("id").alias("dst"), "st"), "dst", "left")
+        verdict = (state.groupBy("id")
+                   .agg(F.max(F.coalesce(F.col("st") == "K", F.lit(False))).alias("any_k"),
+                        F.min(F.coalesce(F.col("st") == "D", F.lit(False))).alias("all_d"))
+                   .select("id", F.when(F.col("any_k"), "D").when(F.col("all_d"), "K").otherwise("U").alias("st"))).checkpoint()
+        known = known.unionByName(verdict.filter("st != 'U'"))
+        open_ = verdict.filter("st = 'U'").select("id")
+    return known.filter("st = 'D'").select("id")
 
 
 def dedup_near(df: DataFrame, threshold: float = 0.9, seq: str = "input_seq",
-               title: str = "title", description: str = "description", cell_rows: int = 4000) -> DataFrame:
+               title: str = "title", description: str = "description", block_rows: int = 512) -> DataFrame:
     """D3: rows of ``df`` kept by the greedy first-wins near-duplicate rule."""
+    checkpoint_dir(df.sparkSession)
     key = F.concat_ws("|", F.md5(F.coalesce(F.col(title), F.lit(""))), F.md5(F.coalesce(F.col(description), F.lit(""))))
-    firsts = df.select(key.alias("_k"), F.col(seq)).groupBy("_k").agg(F.min(seq).alias(seq)).select(seq)
-    reps = df.select(seq, title, description).join(firsts, seq, "left_semi")
-    edges = similar_edges(reps, threshold, seq, title, description, cell_rows)
-    kept = resolve_greedy(reps, edges, seq)
-    return df.join(kept, seq, "left_semi")
+    keyed = df.select(key.alias("_k"), F.col(seq)).checkpoint()
+    firsts = keyed.groupBy("_k").agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    copies = keyed.join(firsts, "_k").filter(F.col(seq) != F.col("_first")).select(seq)
+    reps = df.select(seq, title, description).join(copies, seq, "left_anti")
+    edges = similar_edges(reps, threshold, seq, title, description, block_rows)
+    gone = copies.unionByName(dropped_greedy(edges).select(F.col("id").alias(seq)))
+    return df.join(gone, seq, "left_anti")

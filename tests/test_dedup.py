@@ -1,7 +1,9 @@
 """D1-D3 against an independent plain-Python greedy loop (the reference rule)."""
 
+import random
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirelens.operators import dedup
@@ -53,6 +55,24 @@ def test_dedup_near_matches_python_loop(spark):
     assert len(got) < len(rows)
 
 
+@pytest.mark.parametrize("thr", [0.4, 0.7, 0.85, 0.9, 0.95])
+def test_dedup_near_at_any_threshold(spark, thr):
+    rng = random.Random(7)
+    rows = []
+    for i in range(160):
+        base = rows[rng.randrange(i)] if i and rng.random() < 0.6 else None
+        t, d = (base[1], base[2]) if base else ("".join(rng.choices("abcde fgh", k=rng.randint(0, 40))),
+                                                "".join(rng.choices("klmno pqrs", k=rng.choice([0, 3, 30, 250]))))
+        t = "".join(c for c in t if rng.random() > 0.1) + "x" * rng.randint(0, 6)
+        d = "".join(c for c in d if rng.random() > 0.08) + "yz" * rng.randint(0, 8)
+        rows.append((i, t, d))
+    # a long text: difflib's popular-character rule (autojunk) starts at 200 characters
+    rows += [(200, "long text", "abc def " * 300), (201, "long texts", "abc def " * 290 + "zz"), (202, None, None), (203, "", "")]
+    df = spark.createDataFrame(rows, "input_seq bigint, title string, description string")
+    got = sorted(r[0] for r in dedup.dedup_near(df, thr, block_rows=16).select("input_seq").collect())
+    assert got == greedy([(i, t or "", d or "") for i, t, d in rows], thr)
+
+
 def test_dedup_exact_keeps_first(spark):
     df = spark.createDataFrame([(3, "A ", "x", "u"), (1, "a", "x", "u"), (2, "b", "x", "u")],
                                "input_seq bigint, title string, description string, url string")

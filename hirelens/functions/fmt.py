@@ -29,11 +29,6 @@ def skills_preview(skills: Column, n: int = 5) -> Column:
     return F.when(extra > 0, F.concat(head, F.lit(", +"), extra.cast("string"), F.lit(" more"))).otherwise(head)
 
 
-def skills_text(skills: Column, sep: str = ", ") -> Column:
-    """Skills joined (', ' for mail, ',' for CSV)."""
-    return F.array_join(F.coalesce(skills, F.array().cast("array<string>")), sep)
-
-
 def source_title(c) -> Column:
     """Source name in title case."""
     return F.initcap(col_(c))

@@ -82,12 +82,14 @@ def salary_parse_failed(sal: Column) -> Column:
     return sal.isNotNull() & (sal["min"].isNull() | sal["max"].isNull())
 
 
-def upwork_salary(hourly_min, hourly_max, total, currency) -> Column:
-    """P10: hourly budget (max defaults to min), else fixed total; zero/null = missing."""
+def upwork_salary(hourly_min, hourly_max, total, currency, max_null: Column | None = None) -> Column:
+    """P10: hourly budget (an absent max is the min; a null one, flagged by ``max_null``, cannot be
+    converted and makes the row a reject), else fixed total; zero/null = missing."""
     hmin, hmax, tot = col_(hourly_min).cast("double"), col_(hourly_max).cast("double"), col_(total).cast("double")
     cur = F.coalesce(col_(currency), F.lit("USD"))
     return (F.when(F.coalesce(hmin, F.lit(0.0)) != 0,
-                   F.struct(hmin.alias("min"), F.coalesce(hmax, hmin).alias("max"),
+                   F.struct(hmin.alias("min"), (F.coalesce(hmax, hmin) if max_null is None else
+                                            F.when(~max_null, F.coalesce(hmax, hmin))).alias("max"),
                             cur.alias("currency"), F.lit("hour").alias("period")))
             .when(F.coalesce(tot, F.lit(0.0)) != 0,
                   F.struct(tot.alias("min"), tot.alias("max"), cur.alias("currency"),

@@ -24,11 +24,6 @@ def split_csv(c) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
-def as_skill_list(c) -> Column:
-    """A list column as is, or a comma string split and trimmed (items kept even if empty)."""
-    return F.transform(F.split(col_(c), ","), lambda s: F.trim(s))
-
-
 def dictionary_hits(desc_lower: Column, terms: list[str]) -> Column:
     """Terms found as whole words (Python ``\\b`` semantics) in the lower-cased text."""
     if not terms:

@@ -72,11 +72,6 @@ def word_regex(term: str) -> str:
     return head + body + tail
 
 
-def has_word(text: Column, term: str) -> Column:
-    """Whole-word occurrence (Python ``re.search(r'\\b'+re.escape(t)+r'\\b', text)``)."""
-    return text.rlike(word_regex(term))
-
-
 def match_text(text: Column) -> Column:
     """Matcher text: lower-case with every non-word, non-space character -> space."""
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), rf"[^\p{{L}}\p{{N}}_{SPACE_CHARS}]", " ")

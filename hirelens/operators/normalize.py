@@ -50,7 +50,7 @@ def detect_source(df: DataFrame) -> Column:
         return F.when(is_li, "linkedin").when(is_up, "upwork").otherwise("unknown")
     texts, present = [], []
     for f in df.schema.fields:
-        if f.name in ("input_seq", "record_ok", "client_present"):
+        if f.name in ("input_seq", "record_ok"):
             continue
         if "linkedin" in f.name.lower():
             present.append(F.col(f.name).isNotNull())
@@ -77,35 +77,49 @@ def raw_description() -> Column:
     return F.coalesce(F.col("description_text"), F.col("description"), F.lit(""))
 
 
-def _any_pattern(text_col: Column) -> Column:
-    return reduce(lambda x, y: x | y, [F.coalesce(text_col.rlike("(?iU)" + p), F.lit(False))
-                                        for p in salary.SALARY_PATTERNS])
+def flag(df: DataFrame, name: str, otherwise: Column) -> Column:
+    """A presence flag of JSON input (key there, even with a null value), else ``otherwise``."""
+    return F.coalesce(F.col(name), F.lit(False)) if name in df.columns else otherwise
+
+
+def once(df: DataFrame, **cols: Column) -> DataFrame:
+    """``df`` with columns that are computed once per row, however often they are used.
+
+    A one-element ``explode`` keeps Catalyst from merging the projections (which would
+    repeat each expression wherever its column is used) and keeps generated methods small.
+    """
+    d = df.withColumn("_once", F.explode(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+    return d.select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in cols])
 
 
 def normalize(df: DataFrame, dictionary: list[str] = skills.TECH_SKILLS, prefer_iso: bool = False) -> DataFrame:
     """P1-P14 over raw postings; adds ``reject_reason`` = 'salary_unparsable' for F6 rows.
 
-    Three projections: shared raw inputs first (source, location, description, the
-    salary text), then the rules -- so each regex runs once per row and every
-    generated method stays small.
+    Shared inputs first (source, location, description; then the salary), each once per
+    row, then the rules.  JSON input carries presence flags, because a key with a null
+    value is not an absent key: such a ``remote_derived`` is false, such an hourly
+    maximum a reject, such a ``project_type`` null.
     """
     df = conform(df)
-    # Stage 1: shared inputs, computed once per row.
-    df = df.withColumns({"_src": detect_source(df), "_desc": raw_description(), "_loc": raw_location()})
+    remote_there = flag(df, "remote_present", F.col("remote_derived").isNotNull())
+    client_object = flag(df, "client_is_object", F.col("client_name").isNotNull())
+    max_null = flag(df, "hourly_max_null", F.lit(False))
+    type_there = flag(df, "project_type_present", F.col("project_type").isNotNull())
+    category_there = flag(df, "category_present", F.col("category").isNotNull())
+    df = once(df, _src=detect_source(df), _desc=raw_description(), _loc=raw_location())
     li, up = F.col("_src") == "linkedin", F.col("_src") == "upwork"
     # The salary text is salary_raw when it parses, else the description.
-    sal_text = F.when(li & F.coalesce(_any_pattern(F.col("salary_raw")), F.lit(False)), F.col("salary_raw")) \
-        .when(li, F.col("_desc"))
-    df = df.withColumn("_sal_text", sal_text)
+    raw, text_sal = (F.when(li, salary.parse_salary_text(F.col(c), prefer_iso)) for c in ("salary_raw", "_desc"))
+    up_sal = salary.upwork_salary("project_budget_hourly_min", "project_budget_hourly_max",
+                                  "project_budget_total", "project_budget_currency", max_null)
+    df = once(df, _sal=F.when(li, F.coalesce(raw, text_sal)).when(up, up_sal).otherwise(F.lit(None).cast(salary.SALARY_TYPE)),
+              _sk=skills.extract_skills([F.col("skills_additional"), F.col("skills_occupation"), F.col("skills")],
+                                        F.col("_desc"), dictionary))
     company = (F.when(F.col("organization").isNotNull(), F.col("organization"))
-               .when(F.col("client_name").isNotNull(), F.col("client_name"))
+               .when(client_object, F.coalesce(F.col("client_name"), F.lit("")))
                .otherwise(F.coalesce(F.col("company"), F.lit(""))))
-    remote = F.when(F.col("remote_derived").isNotNull(), F.col("remote_derived")).otherwise(
+    remote = F.when(remote_there, F.coalesce(F.col("remote_derived"), F.lit(False))).otherwise(
         text.contains_any(F.lower(F.concat_ws(" ", F.col("_loc"), F.col("_desc"))), config.REMOTE_TERMS))
-    up_sal = salary.upwork_salary("project_budget_hourly_min", "project_budget_hourly_max",
-                                  "project_budget_total", "project_budget_currency")
-    sal = F.when(li, salary.parse_salary_text(F.col("_sal_text"), prefer_iso)).when(up, up_sal) \
-        .otherwise(F.lit(None).cast(salary.SALARY_TYPE))
     out = df.select(
         *([F.col("input_seq")] if "input_seq" in df.columns else []),
         F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"),
@@ -117,21 +131,20 @@ def normalize(df: DataFrame, dictionary: list[str] = skills.TECH_SKILLS, prefer_
         remote.alias("remote"),
         F.col("_src").alias("source"),
         dates.parse_posted_date(F.col("date_posted")).alias("posted_date"),
-        skills.extract_skills([F.col("skills_additional"), F.col("skills_occupation"), F.col("skills")],
-                              F.col("_desc"), dictionary).alias("skills"),
-        sal.alias("salary"),
+        F.col("_sk").alias("skills"),
+        F.col("_sal").alias("salary"),
         F.when(li, F.col("employment_type")).alias("employment_type"),
         F.when(li, F.col("linkedin_org_size")).alias("company_size"),
         F.when(li, F.col("linkedin_org_industry")).alias("company_industry"),
         F.when(li, text.clean_text(F.col("linkedin_org_description"))).alias("company_description"),
         F.when(li, F.try_element_at(F.col("cities_derived"), F.lit(1))).alias("city"),
-        F.when(up, F.coalesce(F.col("project_type"), F.lit("Contract"))).alias("job_type"),
+        F.when(up & ~type_there, F.lit("Contract")).when(up, F.col("project_type")).alias("job_type"),
         F.when(up, F.col("client_score")).alias("client_rating"),
         F.when(up, F.col("client_total_assignments")).alias("client_jobs_posted"),
         F.when(up, F.col("engagement_duration_label")).alias("engagement_duration"),
         F.when(up, F.col("weekly_hours")).alias("weekly_hours"),
-        F.when(up, F.col("category")).alias("category"),
-        F.when(up & F.col("category").isNotNull(), F.col("category_group")).alias("category_group"),
+        F.when(up & category_there, F.col("category")).alias("category"),
+        F.when(up & category_there, F.col("category_group")).alias("category_group"),
     )
     return out.withColumn("reject_reason",
                           F.when(salary.salary_parse_failed(F.col("salary")), F.lit("salary_unparsable")))

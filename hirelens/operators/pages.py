@@ -10,25 +10,38 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag, in either kind of quotes; null if it has none."""
+    pat = rf"""(?is)\s{re.escape(name)}\s*=\s*("[^"]*"|'[^']*')"""
+    quoted = F.regexp_extract(tag, pat, 1)
+    return F.when(quoted != "", F.substr(quoted, F.lit(2), F.length(quoted) - 2))
+
+
 def extract_listing_ids(pages: DataFrame, html: str = "html", tag: str = "div", css_class: str | None = "base-card",
                         attr: str = "data-entity-urn", sep: str = ":", part: int = 3,
                         key: str = "page_id") -> DataFrame:
     """For each ``li`` item, the ``part``-th (0-based) ``sep``-separated piece of
-    the ``attr`` of its first ``tag`` (with ``css_class``); items without one are skipped."""
+    the ``attr`` of its first ``tag`` that has the class ``css_class`` (as one of its
+    class names); items without one are skipped."""
     items = F.regexp_extract_all(F.col(html), F.lit(r"(?s)<li\b[^>]*>(.*?)</li>"), F.lit(1))
-    cls = rf'[^>]*\bclass="[^"]*\b{re.escape(css_class)}\b[^"]*"' if css_class else ""
-    pat = rf'(?s)<{tag}\b{cls}[^>]*\b{re.escape(attr)}="([^"]*)"'
-    vals = F.transform(items, lambda it: F.regexp_extract(it, pat, 1))
+
+    def value(item: Column) -> Column:
+        tags = F.regexp_extract_all(item, F.lit(rf"(?is)<{tag}(?=[\s>])[^>]*>"), F.lit(0))
+        if css_class:
+            names = lambda t: F.split(F.trim(F.coalesce(attribute(t, "class"), F.lit(""))), r"\s+")
+            tags = F.filter(tags, lambda t: F.array_contains(names(t), css_class))
+        return attribute(F.get(tags, F.lit(0)), attr)
+
+    vals = F.transform(items, lambda it: value(it))
     out = pages.select(F.col(key), F.posexplode(vals).alias("item_pos", "attr_value"))
     piece = F.try_element_at(F.split(F.col("attr_value"), re.escape(sep)), F.lit(part + 1))
     return (out.withColumn("listing_id", piece)
-            .filter(F.col("attr_value") != "")
             .filter(F.col("listing_id").isNotNull())
             .select(key, "item_pos", "listing_id"))
 

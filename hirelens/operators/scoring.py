@@ -152,3 +152,18 @@ def score(df: DataFrame, profile: dict, model: str = "full", *, title: str = "ti
         "description_score": description_score(F.col("_clean"), F.col("_cos"), profile),
     })
     return out.withColumn("match_score", overall(profile)).drop("_clean", "_cos")
+
+
+def score_profiles(df: DataFrame, profiles: dict[str, dict], model: str = "full", **kw) -> DataFrame:
+    """J5 for many profiles: one row per posting and profile (columns ``profile`` and the scores).
+
+    The postings are read once; every profile's scores are expressions of the same row, which
+    is then exploded.  Profiles are configuration, so their number is small.
+    """
+    keep = df.columns
+    structs = []
+    for i, (name, profile) in enumerate(profiles.items()):
+        scored = score(df.select(*keep, *[f"_p{j}" for j in range(i)]), profile, model, **kw)
+        df = scored.withColumn(f"_p{i}", F.struct(F.lit(name).alias("profile"), *SCORES)).drop(*SCORES)
+        structs.append(F.col(f"_p{i}"))
+    return df.select(*keep, F.explode(F.array(*structs)).alias("_p")).select(*keep, "_p.*")

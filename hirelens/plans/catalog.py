@@ -7,7 +7,9 @@ so that the DuckDB oracle in :mod:`hirelens.plans.oracle` can be compared by val
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,13 +177,22 @@ def q_p1_source(spark, sf):
     return p.select("input_seq", normalize.detect_source(p).alias("source"))
 
 
+def _as_json(p: DataFrame):
+    """The raw posting as its source's JSON record (nested client and duration, absent keys for nulls)."""
+    nested = {"client_name": F.when(F.col("client_name").isNotNull(), F.struct(F.col("client_name").alias("name"))).alias("client"),
+              "engagement_duration_label": F.when(F.col("engagement_duration_label").isNotNull(),
+                                                  F.struct(F.col("engagement_duration_label").alias("label"))).alias("engagement_duration")}
+    return F.to_json(F.struct(*[nested.get(c, F.col(c)) for c in p.columns]))
+
+
 def q_s1_json_ingest(spark, sf):
-    """Orders adapter rows as JSON records -> VARIANT ingest -> normalise (= P14)."""
+    """S1 from JSON Lines files: the orders as records, an unparsable line among them -> VARIANT
+    ingest -> normalise (= P14)."""
+    root = _scratch(spark, "json-lines")
     p = order_postings(spark, sf)
-    as_json = p.select(F.try_parse_json(F.to_json(F.struct(*[F.col(c) for c in p.columns]))).alias("v"))
-    raw = src.variant_to_raw(as_json).withColumn("input_seq", F.col("id").cast("bigint"))
-    raw = raw.filter(F.col("record_ok"))
-    ok, _ = pipelines.clean(raw, near_dedup=False, dictionary=ORDER_DICTIONARY)
+    p.select(_as_json(p).alias("value")).write.text(root)
+    spark.createDataFrame([("{broken",), ("[]",), ("",)], "value string").write.mode("append").text(root)
+    ok, _ = pipelines.clean(src.read_postings_lines(spark, root), near_dedup=False, dictionary=ORDER_DICTIONARY)
     return rounded(ok.select("input_seq", "source", "company", "location", "remote", "posted_date",
                              F.array_join("skills", ",").alias("skills"), *_salary_cols()))
 
@@ -275,9 +286,7 @@ def q_j6_not_notified(spark, sf):
 
 def q_s6_s7_csv_roundtrip(spark, sf):
     """Cleaned rows written as CSV (S6) and read back typed."""
-    import uuid
-
-    path = scratch_path(spark, f"cleaned-csv-{uuid.uuid4().hex}")
+    path = _scratch(spark, "cleaned-csv")
     c = order_cleaned(spark, sf).select("input_seq", "id", "title", "source", "remote", "skills", "salary")
     src.write_cleaned(c, path)
     back = src.read_cleaned(spark, path)
@@ -288,9 +297,7 @@ def q_s6_s7_csv_roundtrip(spark, sf):
 
 def q_s8_top_csv(spark, sf):
     """Top 50 written as the export CSV (S8) and parsed back with the load-time rules."""
-    import uuid
-
-    path = scratch_path(spark, f"top-csv-{uuid.uuid4().hex}")
+    path = _scratch(spark, "top-csv")
     src.write_top(order_scored(spark, sf).select("input_seq", "id", "source", "remote", "posted_date", "skills",
                                                  "salary", *scoring.SCORES), path)
     back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
@@ -308,6 +315,75 @@ def _s8_back(back: DataFrame) -> DataFrame:
                     *[fmt.number_or_zero(c).alias(c) for c in scoring.SCORES])
 
 
+def q_s6_cleaned_parquet(spark, sf):
+    """The canonical hand-off: the cleaned table written once as Parquet and read back."""
+    back = src.write_cleaned_parquet(order_cleaned(spark, sf), _scratch(spark, "cleaned"))
+    return back.select("input_seq", "id", "source", "title", "remote", "posted_date",
+                       F.array_join("skills", ",").alias("skills"), *_salary_cols())
+
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_s1_json_arrays(spark, sf):
+    """S1 from files: the orders of each source as JSON-array files (one array per file), a
+    corrupt and a missing one among them, read back and normalised."""
+    root = _scratch(spark, "json-arrays")
+    p = order_postings(spark, sf).filter(F.col("source").isin("linkedin", "upwork"))
+    arrays = (p.withColumn("bucket", F.pmod(F.col("input_seq"), F.lit(16))).groupBy(F.col("source").alias("kind"), "bucket")
+              .agg(F.concat(F.lit("["), F.array_join(F.collect_list(_as_json(p)), ","), F.lit("]")).alias("value")))
+    arrays.write.partitionBy("kind", "bucket").text(root)
+    spark.createDataFrame([("[{",)], "value string").write.text(f"{root}/broken")
+    files = {"linkedin": f"{root}/kind=linkedin", "broken": f"{root}/broken", "gone": f"{root}/none", "upwork": f"{root}/kind=upwork"}
+    ok, _ = normalize.split_normalized(normalize.normalize(src.read_postings(spark, files).filter("record_ok"), ORDER_DICTIONARY))
+    return rounded(ok.select("id", "source", "company", "location", "remote", "posted_date",
+                             F.array_join("skills", ",").alias("skills"), *_salary_cols()))
+
+
+def q_s4_raw_landing(spark, sf):
+    """The raw batch of two days appended to the landing folder and read back."""
+    root = _scratch(spark, "landing")
+    p = order_postings(spark, sf)
+    for day in ("2025-01-01", "2025-01-02"):
+        src.write_raw(p.select("id", "source", "title", "url"), root, day)
+    back = src.read_raw(spark, root, "id string, title string, url string, source string, load_date date")
+    return back.select("id", "source", "load_date", "title", "url")
+
+
+def q_s5_fresh(spark, sf):
+    """Rows of files that are fresh a minute, or two days, after they landed, or if forced."""
+    root, schema = _scratch(spark, "landing"), "id string, source string, load_date date"
+    src.write_raw(order_postings(spark, sf).select("id", "source"), root, "2025-01-01")
+    now = spark.sql("SELECT date_format(current_timestamp() + INTERVAL 1 MINUTE, 'yyyy-MM-dd HH:mm:ss') AS a, "
+                    "date_format(current_timestamp() + INTERVAL 2 DAYS, 'yyyy-MM-dd HH:mm:ss') AS b").first()
+    parts = {"fresh": src.read_fresh(spark, root, 24, now=now.a, schema=schema), "stale": src.read_fresh(spark, root, 24, now=now.b, schema=schema),
+             "forced": src.read_fresh(spark, root, 24, force=True, schema=schema)}
+    out = None
+    for name, df in parts.items():
+        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("what"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_j5_profiles(spark, sf):
+    """J5/T4 for several profiles: the ten best postings of each."""
+    salary_only = {**ORDER_PROFILE, "scoring": {"skill_match_weight": 0.0, "location_weight": 0.0, "salary_weight": 1.0,
+                                                "company_weight": 0.0, "job_description_weight": 0.0}}
+    scored = scoring.score_profiles(order_cleaned(spark, sf), {"full": ORDER_PROFILE, "salary": salary_only}, company_terms=ORDER_COMPANY_TERMS)
+    return rounded(rank.top_k_per_group(scored, 10, "profile").select("profile", "input_seq", "rank", "match_score"))
+
+
+def q_f6_rejects(spark, sf):
+    """Rejects of the clean stage over the documents: validation reasons and unparsable salaries."""
+    _, bad = pipelines.clean(doc_postings(spark, sf), near_dedup=False, dictionary=DOC_DICTIONARY)
+    return bad
+
+
+def q_a6_stage_metrics(spark, sf):
+    return pipelines.clean_metrics(doc_postings(spark, sf), near_dedup=False, dictionary=DOC_DICTIONARY)
+
+
 def q_s13_listing_ids(spark, sf):
     return pages.extract_listing_ids(table(spark, sf, "pages"), **PAGE_LINKS)
 
@@ -357,6 +433,13 @@ QUERIES = {
     "J6_not_notified": q_j6_not_notified,
     "S6_S7_csv_roundtrip": q_s6_s7_csv_roundtrip,
     "S8_top_csv": q_s8_top_csv,
+    "S6_cleaned_parquet": q_s6_cleaned_parquet,
+    "S1_json_arrays": q_s1_json_arrays,
+    "S4_raw_landing": q_s4_raw_landing,
+    "S5_fresh": q_s5_fresh,
+    "J5_profiles": q_j5_profiles,
+    "F6_rejects": q_f6_rejects,
+    "A6_stage_metrics": q_a6_stage_metrics,
     "S13_listing_ids": q_s13_listing_ids,
     "S14_page_fields": q_s14_page_fields,
     "S14_details_parser": q_s14_details_parser,

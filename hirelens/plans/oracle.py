@@ -8,10 +8,26 @@ Unicode classes.  Queries without an entry get the driver's rows-only check.
 from __future__ import annotations
 
 import re
+import warnings
 
 from hirelens import config
-from hirelens.functions.salary import SALARY_PATTERNS
-from hirelens.plans.catalog import DOC_DICTIONARY, DOC_PROFILE, ORDER_DICTIONARY, PAGE_LINKS
+from hirelens.plans import oracle_orders as orders
+
+# The query profile and dictionary of the documents adapter, restated.
+DOC_MUST, DOC_NICE = ["de", "der", "rewh"], ["la", "und", "tion", "orre"]
+DOC_KEYWORDS, DOC_EXCLUDED = ["de la", "der", "thatin", "ononst", "que"], ["und", "el"]
+DOC_MIN_SALARY = 5000
+DOC_DICTIONARY = ["that", "with", "this", "from", "de", "und", "la", "c++", "go", "ai", "java", "ed", "tion"]
+ORDER_DICTIONARY = orders.DICTIONARY
+PAGE_LINKS = {"tag": "a", "attr": "href", "sep": "/", "part": 1}
+
+# The three salary ranges of the rules, tried in this order.
+_PERIOD = "(?P<period>per year|per month|per hour|yearly|monthly|hourly)?"
+SALARY_RANGES = [
+    r"(?P<currency>\$|€|£)?\s*(?P<min>[\d,]+)\s*[-–to]+\s*(?P<currency2>\$|€|£)?\s*(?P<max>[\d,]+)\s*" + _PERIOD,
+    r"(?P<currency>\$|€|£)?\s*(?P<min>[\d,]+k)\s*[-–to]+\s*(?P<currency2>\$|€|£)?\s*(?P<max>[\d,]+k)\s*" + _PERIOD,
+    r"(?P<min>[\d,]+)\s*[-–to]+\s*(?P<max>[\d,]+)\s*(?P<currency>USD|EUR|GBP)",
+]
 
 WS = r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -57,7 +73,7 @@ def doc_skills_sql(text_expr: str, terms: list[str]) -> str:
 
 def _salary_sql(text_expr: str) -> str:
     """(match index, group list) of the first matching salary pattern."""
-    pats = [p.replace("(?<", "(?P<") for p in SALARY_PATTERNS]
+    pats = SALARY_RANGES
     conds, groups = [], []
     for p in pats:
         names = re.findall(r"\(\?P<(\w+)>", p)
@@ -70,7 +86,8 @@ def _salary_sql(text_expr: str) -> str:
     return conds, groups
 
 
-def doc_salary_sql() -> str:
+def salary_ctes(rows: str) -> str:
+    """sal: salary of each row of the relation ``rows`` whose description has a range."""
     conds, groups = _salary_sql("description")
 
     def pick(i):
@@ -81,14 +98,17 @@ def doc_salary_sql() -> str:
     def num(x):
         return f"TRY_CAST(replace(replace(coalesce({x}, ''), 'k', '000'), ',', '') AS DOUBLE)"
 
-    return f"""WITH {DOC_POSTINGS},
-m AS (SELECT input_seq, {cur} AS cur, {mn} AS mn, {cur2} AS cur2, {mx} AS mx, {per} AS per
-      FROM postings WHERE {' OR '.join(conds)})
-SELECT input_seq, {num('mn')} AS salary_min, {num('mx')} AS salary_max,
+    return f"""m AS (SELECT input_seq, {cur} AS cur, {mn} AS mn, {cur2} AS cur2, {mx} AS mx, {per} AS per
+      FROM {rows} WHERE {' OR '.join(conds)}),
+sal AS (SELECT input_seq, {num('mn')} AS salary_min, {num('mx')} AS salary_max,
        coalesce(cur, cur2, 'USD') AS salary_currency,
        replace(lower(coalesce(per, 'year')), 'per ', '') AS salary_period,
        ({num('mn')} IS NULL OR {num('mx')} IS NULL) AS failed
-FROM m"""
+FROM m)"""
+
+
+def doc_salary_sql() -> str:
+    return f"WITH {DOC_POSTINGS}, {salary_ctes('postings')} SELECT * FROM sal"
 
 
 def clean_sql(x: str) -> str:
@@ -128,22 +148,45 @@ def posted_date_sql() -> str:
             f"(SELECT o_orderkey AS input_seq, {txt} AS date_posted FROM orders)")
 
 
-def cosine_sql(profile: dict) -> str:
-    from hirelens.operators.profile import preference_vector
-
-    vec = preference_vector(profile)
+def doc_text_scores(title: str, description: str) -> tuple[str, str]:
+    """(cosine, description score) of a document posting."""
+    clean = f"regexp_replace(lower({title} || ' ' || {description}), {q('[^' + WORD[1:-1] + WS[1:-1] + ']')}, ' ', 'g')"
     stop = "[" + ", ".join(q(w) for w in config.STOP_WORDS) + "]"
-    clean = (f"regexp_replace(lower(coalesce(title, '') || ' ' || coalesce(description, '')), "
-             f"{q('[^' + WORD[1:-1] + WS[1:-1] + ']')}, ' ', 'g')")
-    toks = f"regexp_extract_all({clean}, {q(WORD + '{2,}')})"
-    tf = [f"len(list_filter(grams, lambda g: g = {q(t)}))" for t in vec]
-    dot = " + ".join(f"{e} * {w!r}" for e, w in zip(tf, vec.values()))
-    nrm = "sqrt(" + " + ".join(f"{e} * {e}" for e in tf) + ")"
-    return f"""WITH {DOC_POSTINGS},
-k AS (SELECT input_seq, list_filter({toks}, lambda t: NOT list_contains({stop}, t)) AS kept FROM postings),
-g AS (SELECT input_seq, list_concat(kept, list_transform(range(1, len(kept)), lambda i: kept[i] || ' ' || kept[i + 1])) AS grams FROM k),
-c AS (SELECT input_seq, CAST({dot} AS DOUBLE) AS dot, CAST({nrm} AS DOUBLE) AS nrm FROM g)
-SELECT input_seq, CASE WHEN nrm > 0 THEN round(dot / nrm, 6) ELSE 0.0 END AS cosine FROM c"""
+    tokens = f"list_filter(regexp_extract_all({clean}, {q(WORD + '{2,}')}), lambda t: NOT list_contains({stop}, t))"
+    cos = orders.cosine(tokens, DOC_MUST, DOC_NICE, DOC_KEYWORDS, config.STOP_WORDS)
+    score = (f"greatest(0.0, least(1.0, (CAST({cos} AS DOUBLE) * 0.6::DOUBLE + {orders.share(clean, DOC_KEYWORDS)} * 0.4::DOUBLE) "
+             f"* (1.0::DOUBLE - {orders.share(clean, DOC_EXCLUDED)} * 0.7::DOUBLE)))")
+    return cos, score
+
+
+def doc_rejects_cte() -> str:
+    """valid: rows that pass validation and are the first of their signature; sal: the salary of
+    the LinkedIn-shaped ones (English), parsed from the description."""
+    sig = "md5(concat_ws('|', " + ", ".join(strip(f"lower(coalesce({c}, ''))") for c in ("title", "description", "url")) + "))"
+    return f"""{DOC_POSTINGS},
+tagged AS (SELECT *, {reject_reason_sql()} AS reject_reason FROM postings),
+signed AS (SELECT input_seq, {sig} AS signature FROM tagged WHERE reject_reason IS NULL),
+valid AS (SELECT * FROM tagged WHERE reject_reason IS NULL AND input_seq IN (SELECT min(input_seq) FROM signed GROUP BY signature)),
+english AS (SELECT * FROM valid WHERE source = 'linkedin'),
+{salary_ctes('english')}"""
+
+
+def flagship_sql() -> str:
+    dims = {"t": clean_sql("title"), "d": clean_sql("description")}
+    _, desc = doc_text_scores(dims["t"], dims["d"])
+    hits = doc_skills_sql("description", DOC_DICTIONARY).replace("array_to_string(", "").rsplit(", ',')", 1)[0]
+    iso = "CASE salary_currency WHEN '$' THEN 'USD' WHEN '€' THEN 'EUR' WHEN '£' THEN 'GBP' ELSE salary_currency END"
+    conv = f"(coalesce(salary_min, 0) * CASE {iso} WHEN 'EUR' THEN 1.1::DOUBLE WHEN 'GBP' THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END)"
+    m = DOC_MIN_SALARY
+    tier = (f"CASE WHEN coalesce(salary_min, 0) = 0 AND coalesce(salary_max, 0) = 0 THEN 0.5 WHEN {conv} >= {m} * 1.5 THEN 1.0 WHEN {conv} >= {m} * 1.2 THEN 0.9 "
+            f"WHEN {conv} >= {m} THEN 0.8 WHEN {conv} >= {m} * 0.8 THEN 0.6 WHEN {conv} > 0 THEN 0.4 ELSE 0.5 END")
+    skill = orders.SKILL.format(m=orders.skill_share(DOC_MUST, False), n=orders.skill_share(DOC_NICE, False))
+    return f"""WITH {doc_rejects_cte()},
+rows_ AS (SELECT v.*, {hits} AS skills, salary_min, salary_max, salary_currency FROM valid v LEFT JOIN sal USING (input_seq) WHERE failed IS NOT TRUE),
+parts AS (SELECT input_seq, CASE source WHEN 'indeed' THEN 'unknown' ELSE source END AS source, {skill} AS skill_score, 1.0::DOUBLE AS location_score,
+  CAST({tier} AS DOUBLE) AS salary_score, 0.5::DOUBLE AS company_score, {desc} AS description_score FROM rows_),
+scored AS (SELECT *, {orders.MATCH} AS match_score FROM parts)
+SELECT input_seq, source, {orders.R} FROM (SELECT * FROM scored ORDER BY match_score DESC, input_seq LIMIT 20)"""
 
 
 def order_skills_cte() -> str:
@@ -165,7 +208,7 @@ def oracle_sql() -> dict[str, str]:
     rr = reject_reason_sql()
     sig = "md5(concat_ws('|', " + ", ".join(strip(f"lower(coalesce({c}, ''))") for c in ("title", "description", "url")) + "))"
     valid = f"SELECT * FROM postings WHERE ({rr}) IS NULL"
-    return {
+    entries = {
         "F5_validate": f"WITH {DOC_POSTINGS} SELECT input_seq, {rr} AS reject_reason FROM postings",
         "A6_batch_metrics": f"WITH {DOC_POSTINGS} SELECT coalesce({rr}, 'accepted') AS outcome, count(*) AS n_rows "
                             f"FROM postings GROUP BY 1",
@@ -176,13 +219,21 @@ def oracle_sql() -> dict[str, str]:
                          f"{clean_sql('description')} AS description_clean FROM postings",
         "P8_doc_skills": f"WITH {DOC_POSTINGS} SELECT input_seq, {doc_skills_sql('description', DOC_DICTIONARY)} AS skills "
                          f"FROM postings",
-        "P11_doc_salary": doc_salary_sql(),
+        "P11_doc_salary": doc_salary_sql,
         "F1_record_shape": "SELECT event_id, coalesce(json_type(props) = 'OBJECT' AND json_array_length(json_keys(props)) > 0, "
                            "false) AS is_record, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
-        "S13_listing_ids": listing_ids_sql(),
-        "S14_page_fields": page_fields_sql(),
-        "P7_posted_date": posted_date_sql(),
-        "M2_text_cosine": cosine_sql(DOC_PROFILE),
+        "S13_listing_ids": listing_ids_sql,
+        "S14_page_fields": page_fields_sql,
+        "P7_posted_date": posted_date_sql,
+        "M2_text_cosine": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[0]}, 6) AS cosine FROM postings",
+        "M4_description_score": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[1]}, 6) AS description_score FROM postings",
+        "flagship_doc_top20": flagship_sql,
+        "F6_rejects": lambda: f"""WITH {doc_rejects_cte()} SELECT input_seq, reject_reason FROM tagged WHERE reject_reason IS NOT NULL
+            UNION ALL SELECT input_seq, 'salary_unparsable' FROM sal WHERE failed""",
+        "A6_stage_metrics": lambda: f"""WITH {doc_rejects_cte()}, n AS (SELECT (SELECT count(*) FROM tagged) AS a, (SELECT count(*) FROM tagged WHERE reject_reason IS NULL) AS b,
+            (SELECT count(*) FROM valid) AS c, (SELECT count(*) FROM sal WHERE failed) AS d)
+            SELECT 'validate' AS stage, a AS n_in, b AS n_out, a - b AS n_dropped FROM n UNION ALL SELECT 'dedup', b, c, b - c FROM n
+            UNION ALL SELECT 'normalize', c, c - d, d FROM n""",
         # Only LinkedIn-shaped rows (status F) carry 'linkedin' (url, linkedin_* fields);
         # Upwork-shaped rows (status O) have a client and an upwork.com url.
         "P1_source": "SELECT o_orderkey AS input_seq, CASE o_orderstatus WHEN 'F' THEN 'linkedin' "
@@ -193,3 +244,11 @@ def oracle_sql() -> dict[str, str]:
                          f"ORDER BY n_jobs DESC, skill LIMIT 15",
         "A7_distinct_skills": f"WITH {order_skills_cte()} SELECT DISTINCT skill FROM items WHERE skill IS NOT NULL",
     }
+    entries.update(orders.ORACLE)
+    out = {}
+    for name, entry in entries.items():  # one that fails must not take the others with it
+        try:
+            out[name] = entry() if callable(entry) else entry
+        except Exception as e:  # noqa: BLE001
+            warnings.warn(f"no SQL for {name}: {e}", stacklevel=2)
+    return out

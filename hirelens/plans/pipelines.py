@@ -30,6 +30,23 @@ def clean(raw: DataFrame, near_dedup: bool = True, dictionary: list[str] = TECH_
     return ok, rejects
 
 
+def clean_metrics(raw: DataFrame, near_dedup: bool = True, dictionary: list[str] = TECH_SKILLS,
+                  threshold: float = 0.9) -> DataFrame:
+    """A6 for the whole clean stage: rows in, out and dropped by validation, de-duplication and
+    normalisation.  Each count is a partial aggregation; one row each meets in the result."""
+    kw = {"record_ok": F.col("record_ok")} if "record_ok" in raw.columns else {}
+    accepted = validate.valid(raw, **kw)
+    kept = dedup.dedup_near(accepted, threshold) if near_dedup else dedup.dedup_exact(accepted)
+    ok, _ = normalize.split_normalized(normalize.normalize(kept, dictionary))
+    tables = {"raw": raw, "validate": accepted, "dedup": kept, "normalize": ok}
+    counts = None
+    for i, (name, df) in enumerate(tables.items()):
+        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), F.lit(name).alias("stage"), "n")
+        counts = c if counts is None else counts.unionByName(c)
+    before = counts.select((F.col("i") + 1).alias("i"), F.col("n").alias("n_in"))
+    return counts.join(before, "i").select("stage", "n_in", F.col("n").alias("n_out"), (F.col("n_in") - F.col("n")).alias("n_dropped"))
+
+
 def match(cleaned: DataFrame, profile: dict, model: str = "full", **kw) -> DataFrame:
     """Score every posting (unsorted; rank lazily where a consumer needs order)."""
     return scoring.score(cleaned, profile, model, **kw)

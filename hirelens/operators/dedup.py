@@ -228,10 +228,36 @@ def candidate_pairs(reps: DataFrame, threshold: float = 0.9, seq: str = "input_s
     return dealt.groupBy("at", "ad", "zt", "zd", "p", "z").applyInPandas(_block_pairs(threshold), "l_seq bigint, e_seq bigint")
 
 
+def lsh_pairs(reps: DataFrame, seq: str = "input_seq", title: str = "title", description: str = "description",
+              tables: int = 24, max_distance: float = 0.6, gram: int = 5) -> DataFrame:
+    """(later, earlier) candidates by MinHash over the texts' character grams.
+
+    Opt-in and LOSSY: a pair whose gram sets have a Jaccard distance above
+    ``max_distance``, or that shares none of the ``tables`` minima, is not found (at a
+    distance d a pair is missed with probability d ** tables).  Its cost grows with the
+    candidates, not with the pairs of a length cell.
+    """
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+
+    text = F.concat_ws("\u0001", F.lower(F.coalesce(F.col(title), F.lit(""))), F.lower(F.coalesce(F.col(description), F.lit(""))))
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("_t") - (gram - 1))), lambda i: F.substr("_t", i, F.lit(gram)))
+    rows = reps.select(F.col(seq).alias("seq"), text.alias("_t")).select("seq", F.array_distinct(grams).alias("_g"))
+    vectors = HashingTF(inputCol="_g", outputCol="_v", numFeatures=1 << 20, binary=True).transform(rows).select("seq", "_v")
+    model = MinHashLSH(inputCol="_v", outputCol="_h", numHashTables=tables, seed=11).fit(vectors)
+    close = model.approxSimilarityJoin(vectors, vectors, max_distance, "_d")
+    return (close.filter(F.col("datasetA.seq") > F.col("datasetB.seq"))
+            .select(F.col("datasetA.seq").alias("l_seq"), F.col("datasetB.seq").alias("e_seq")))
+
+
 def similar_edges(reps: DataFrame, threshold: float = 0.9, seq: str = "input_seq",
-                  title: str = "title", description: str = "description", block_rows: int = 512) -> DataFrame:
-    """(l_seq, e_seq) pairs, later -> earlier, with similarity > threshold."""
-    cand = candidate_pairs(reps, threshold, seq, title, description, block_rows)
+                  title: str = "title", description: str = "description", block_rows: int = 512,
+                  candidates: str = "exact") -> DataFrame:
+    """(l_seq, e_seq) pairs, later -> earlier, with similarity > threshold; ``candidates``:
+    ``exact`` (lossless bounds) or ``lsh`` (lossy, for inputs beyond pairwise comparison)."""
+    if candidates not in ("exact", "lsh"):
+        raise ValueError(candidates)
+    cand = (candidate_pairs(reps, threshold, seq, title, description, block_rows) if candidates == "exact"
+            else lsh_pairs(reps, seq, title, description))
     txt = reps.select(F.col(seq), F.col(title), F.col(description))
     lt = txt.select(F.col(seq).alias("l_seq"), F.col(title).alias("l_t"), F.col(description).alias("l_d"))
     et = txt.select(F.col(seq).alias("e_seq"), F.col(title).alias("e_t"), F.col(description).alias("e_d"))
@@ -267,7 +293,8 @@ def dropped_greedy(edges: DataFrame) -> DataFrame:
 
 
 def dedup_near(df: DataFrame, threshold: float = 0.9, seq: str = "input_seq",
-               title: str = "title", description: str = "description", block_rows: int = 512) -> DataFrame:
+               title: str = "title", description: str = "description", block_rows: int = 512,
+               candidates: str = "exact") -> DataFrame:
     """D3: rows of ``df`` kept by the greedy first-wins near-duplicate rule."""
     checkpoint_dir(df.sparkSession)
     key = F.concat_ws("|", F.md5(F.coalesce(F.col(title), F.lit(""))), F.md5(F.coalesce(F.col(description), F.lit(""))))
@@ -275,6 +302,6 @@ def dedup_near(df: DataFrame, threshold: float = 0.9, seq: str = "input_seq",
     firsts = keyed.groupBy("_k").agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     copies = keyed.join(firsts, "_k").filter(F.col(seq) != F.col("_first")).select(seq)
     reps = df.select(seq, title, description).join(copies, seq, "left_anti")
-    edges = similar_edges(reps, threshold, seq, title, description, block_rows)
+    edges = similar_edges(reps, threshold, seq, title, description, block_rows, candidates)
     gone = copies.unionByName(dropped_greedy(edges).select(F.col("id").alias(seq)))
     return df.join(gone, seq, "left_anti")

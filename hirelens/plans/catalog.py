@@ -258,6 +258,18 @@ def q_s9_listings(spark, sf):
     return rounded(t.select(*[c for c in load.LISTING_COLUMNS]))
 
 
+def q_s9_second_load(spark, sf):
+    """Two daily loads keyed by (source, external_id): even orders first, then all of them."""
+    scored = order_scored(spark, sf)
+    first = load.load_listings(scored.filter("input_seq % 2 = 0"), "2024-12-31").select("id", "source", "external_id", "posted_date", "match_score")
+    path = _scratch(spark, "listings")
+    first.write.parquet(path)
+    first = spark.read.parquet(path)
+    top = first.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+    second = load.load_listings(scored, RUN_DATE, int(top) + 1, existing=first).select(*first.columns)
+    return rounded(first.unionByName(second))
+
+
 def q_s10_skills_dim(spark, sf):
     return pipelines.save_tables(order_scored(spark, sf), RUN_DATE)["skills"]
 
@@ -426,6 +438,7 @@ QUERIES = {
     "A7_distinct_skills": q_a7_distinct_skills,
     "X7_display": q_x7_display,
     "S9_listings": q_s9_listings,
+    "S9_second_load": q_s9_second_load,
     "S10_skills_dim": q_s10_skills_dim,
     "S11_job_skills": q_s11_job_skills,
     "S12_client_details": q_s12_client_details,

@@ -180,6 +180,11 @@ ORACLE = {
         url FROM s""",
     "S9_listings": f"""WITH {_listed} SELECT id, external_id, title, description, source, url, posted_date, job_type, employment_type, remote, location, city,
         country, {SAL}, {', '.join(SCORES)} FROM listed""",
+    "S9_second_load": f"""WITH {SCORED}, one AS (SELECT row_number() OVER (ORDER BY {ORDER}) AS id, source, id AS external_id,
+        coalesce(posted_date, DATE '2024-12-31') AS posted_date, round(match_score, 6) AS match_score FROM scored WHERE input_seq % 2 = 0),
+        two AS (SELECT (SELECT count(*) FROM one) + row_number() OVER (ORDER BY {ORDER}) AS id, source, id AS external_id,
+        coalesce(posted_date, DATE '{RUN_DATE}') AS posted_date, round(match_score, 6) AS match_score FROM scored WHERE input_seq % 2 <> 0)
+        SELECT * FROM one UNION ALL SELECT * FROM two""",
     "S10_skills_dim": f"WITH {_listed} SELECT id, name FROM dim",
     "S11_job_skills": f"WITH {_listed}, i AS (SELECT id AS job_id, unnest(skills) AS name FROM listed) SELECT DISTINCT job_id, dim.id AS skill_id FROM i JOIN dim USING (name)",
     "S12_client_details": f"""WITH {_listed} SELECT id AS job_id, client_jobs_posted AS client_total_jobs_posted, client_rating, location AS client_country,

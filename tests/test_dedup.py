@@ -77,3 +77,14 @@ def test_dedup_exact_keeps_first(spark):
     df = spark.createDataFrame([(3, "A ", "x", "u"), (1, "a", "x", "u"), (2, "b", "x", "u")],
                                "input_seq bigint, title string, description string, url string")
     assert sorted(r[0] for r in dedup.dedup_exact(df).select("input_seq").collect()) == [1, 2]
+
+
+def test_lsh_candidates_find_close_copies(spark):
+    rng = random.Random(1)
+    rows = []
+    for i in range(60):
+        t, d = "".join(rng.choices("abcdefghij ", k=30)), "".join(rng.choices("klmnopqrstu ", k=150))
+        rows += [(2 * i, t, d), (2 * i + 1, t, d[:70] + "zz" + d[70:])]
+    df = spark.createDataFrame(rows, "input_seq bigint, title string, description string")
+    got = sorted(r[0] for r in dedup.dedup_near(df, candidates="lsh").select("input_seq").collect())
+    assert got == greedy(rows) == list(range(0, 120, 2))

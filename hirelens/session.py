@@ -27,6 +27,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # checkpoint files go when nothing refers to their data any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Arrow batches for the difflib / html UDFs: long texts, keep batches modest.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",

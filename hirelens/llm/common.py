@@ -65,26 +65,32 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, comp) per node on an edge,
     comp the smallest node reachable.
 
-    Labels move along edges and then jump to their label's label, so the rounds grow with
-    the logarithm of the diameter; each round is written to the shared folder.  Works on
-    columns of any ordered type; a hub's row is spread by the partial aggregation.
+    Each round every node takes its smallest neighbour (or itself) as parent, parents jump to
+    their parent's parent, and the edges are drawn between the parents; edges within one
+    parent go.  The graph shrinks from round to round and the rounds grow with the logarithm
+    of the diameter.  Each round is written to the shared folder.  Works on columns of any
+    ordered type; a hub's edges are spread by the partial aggregation.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = scratch.write(both, f"{name}-edges")
-    lab = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                        .select("node", F.least("node", "m").alias("comp")), f"{name}-0")
-    i, moved = 0, both.limit(1).count() > 0
-    while moved:
+    both = edges.select("a", "b").filter("a != b")
+    both = scratch.write(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges-0")
+    alone = edges.filter("a = b").select(F.col("a").alias("node")).distinct()
+    lab, i = None, 0
+    while lab is None or both.limit(1).count():
+        parent = scratch.write(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+                               .select("node", F.least("node", "m").alias("up")), f"{name}-parents-{i}")
+        jump = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        root = parent.join(jump, "up", "left").select("node", F.coalesce("top", "up").alias("root"))
+        root = scratch.write(root, f"{name}-roots-{i}")
+        if lab is None:
+            lab = root.withColumnRenamed("root", "comp")
+        else:
+            lab = (lab.join(root.select(F.col("node").alias("comp"), "root"), "comp", "left")
+                   .select("node", F.coalesce("root", "comp").alias("comp")))
+        lab = scratch.write(lab, f"{name}-{i}")
+        drawn = (both.join(root.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a")
+                 .join(root.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"))
+        both = scratch.write(drawn.filter("ra != rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), f"{name}-edges-{i + 1}")
+        scratch.drop(f"{name}-edges-{i}", f"{name}-parents-{i}", f"{name}-roots-{i}", *([f"{name}-{i - 1}"] if i else []))
         i += 1
-        near = (both.join(lab.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("m")))
-        step = lab.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "m").alias("to"))
-        up = lab.select(F.col("node").alias("to"), F.col("comp").alias("top"))
-        new = (step.join(up, "to", "left")
-               .select("node", F.least("to", F.coalesce("top", "to")).alias("comp"),
-                       (F.least("to", F.coalesce("top", "to")) != F.col("old")).alias("moved")))
-        new = scratch.write(new, f"{name}-{i}")
-        scratch.drop(f"{name}-{i - 1}")
-        lab, moved = new.select("node", "comp"), new.filter("moved").limit(1).count() > 0
-    scratch.drop(f"{name}-edges")
-    return lab
+    alone = alone.join(lab, "node", "left_anti").select("node", F.col("node").alias("comp"))
+    return lab.unionByName(alone)

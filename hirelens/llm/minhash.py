@@ -1,16 +1,20 @@
 """Operator 6, MinHash near-dedup with b-bit signatures.
 
 1. A text becomes the set of its five-word shingles (64-bit hashes).  One pass over the texts
-   gives the class (128-bit hash of the word sequence), the set's size, 128 minima packed to
-   their low four bits, and 32 band keys of four whole minima each.  Texts of one class are
-   copies; from here on a class stands for them, so copies are never compared.
-2. Classes that share a band key are candidates.  In each bucket the members are compared with
-   one hub, drawn anew in each round, unless links already join them; what is left between
-   different components of a bucket is then compared in full.  A group of thousands of
-   near copies thus costs about one pair per member and round, not one per pair.
-3. A candidate pair is dropped if the sizes exclude the similarity, or if the estimate from the
-   packed signatures, (m / k - 2^-b) / (1 - 2^-b) for m equal of k values, lies five standard
-   errors below the threshold.  All others are confirmed on the full shingle sets.
+   gives the class (128-bit hash of the word sequence), the set's size, and 32 band keys of four
+   minima each.  Texts of one class are copies; from here on a class stands for them, so copies
+   are never compared.
+2. Classes that share a band key are candidates.  Their signatures keep the lowest bit of each
+   of 2,048 minima, packed into 32 integers.  A candidate pair is dropped, within the join, if the
+   sizes exclude the similarity, or if the estimate from the bit counts,
+   (m / k - 2^-b) / (1 - 2^-b) for m equal of k values, lies four standard errors below the
+   threshold.  All others are confirmed on the full shingle sets.
+3. In each bucket all members are compared with ``HUBS`` hubs, the first ones in as many orders
+   by hash (so that the buckets of a group have few different hubs), and confirmed links are
+   joined to components.  What is then outside of a bucket's largest component is compared with
+   all members of other components, each pair in the first bucket that it shares.  A group of
+   thousands of near copies thus costs a few pairs per member, not one per pair, and no link
+   between different components is lost.
 
 A pair of similarity 0.75 shares no band with probability (1 - 0.75^4)^32 = 5e-6.
 
@@ -33,13 +37,17 @@ from hirelens.llm.common import Scratch, components, table, text_key
 
 SHINGLE = 5
 MINIMA = 128
-LOW_BITS = 4
 BAND_ROWS = 4
-ROUNDS = 3
+HUBS = 3
+#: Minima whose lowest bit the signature keeps.
+BITS = 2048
+LONGS = BITS // 64
+#: Candidate classes whose keys may be broadcast to find their texts; more are joined by a shuffle.
+MAX_BROADCAST = 500_000
 
 _RNG = np.random.default_rng(20240601)
-_MUL = _RNG.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
+_MUL = _RNG.integers(1, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _RNG.integers(0, 1 << 63, BITS, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -66,19 +74,20 @@ def shingle_hashes(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return np.unique(_mixed(h + np.uint64(n)))
 
 
-def minima_of(hashes: np.ndarray) -> np.ndarray:
-    low = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), 2048):
-        part = _MUL[:, None] * hashes[None, i:i + 2048]
-        part += _ADD[:, None]
+def minima_of(hashes: np.ndarray, k: int = MINIMA) -> np.ndarray:
+    low = np.full(k, np.iinfo(np.uint64).max, np.uint64)
+    step = max(1, (1 << 18) // k)
+    for i in range(0, len(hashes), step):
+        part = _MUL[:k, None] * hashes[None, i:i + step]
+        part += _ADD[:k, None]
         np.minimum(low, part.min(axis=1), out=low)
     return _mixed(low)
 
 
-def _packed(minima: np.ndarray) -> np.ndarray:
-    per = 64 // LOW_BITS
-    low = (minima & np.uint64((1 << LOW_BITS) - 1)).reshape(-1, per)
-    return np.bitwise_or.reduce(low << (np.arange(per, dtype=np.uint64) * np.uint64(LOW_BITS)), axis=1).view(np.int64)
+def packed_of(hashes: np.ndarray) -> np.ndarray:
+    """The lowest bits of BITS minima as LONGS integers."""
+    low = (minima_of(hashes, BITS) & np.uint64(1)).reshape(-1, 64)
+    return np.bitwise_or.reduce(low << np.arange(64, dtype=np.uint64), axis=1).view(np.int64)
 
 
 def _bands(minima: np.ndarray) -> np.ndarray:
@@ -90,46 +99,39 @@ def _bands(minima: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, cls (null without words), n_shingles, bands, packed."""
+    """doc_id, text_key, cls (null without words), n_shingles, bands."""
     src = docs.select("doc_id", text_key("text").alias("text_key"), "text")
     schema = T.StructType([src.schema["doc_id"], T.StructField("text_key", T.LongType()),
                            T.StructField("cls", T.BinaryType()), T.StructField("n_shingles", T.LongType()),
-                           T.StructField("bands", T.ArrayType(T.LongType())),
-                           T.StructField("packed", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for b in batches:
-            cls, n, bands, packed = [], [], [], []
+            cls, n, bands = [], [], []
             for t in b.column(2).to_pylist():
                 words = words_of(t)
                 h = shingle_hashes(words)
                 n.append(len(h))
-                if len(h):
-                    m = minima_of(h)
-                    cls.append(xxhash.xxh3_128_digest(b" ".join(words)))
-                    bands.append(_bands(m))
-                    packed.append(_packed(m))
-                else:
-                    cls.append(None)
-                    bands.append(None)
-                    packed.append(None)
-            longs = pa.list_(pa.int64())
+                cls.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
+                bands.append(_bands(minima_of(h)) if words else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(cls, pa.binary()), pa.array(n, pa.int64()),
-                 pa.array(bands, longs), pa.array(packed, longs)],
-                ["doc_id", "text_key", "cls", "n_shingles", "bands", "packed"])
+                [b.column(0), b.column(1), pa.array(cls, pa.binary()), pa.array(n, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "text_key", "cls", "n_shingles", "bands"])
 
     return src.mapInArrow(run, schema)
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(cls, text) -> (cls, shingles): sorted hash arrays."""
+    """(cls, text) -> (cls, n, shingles: sorted hash array, packed)."""
     def run(batches):
+        longs = pa.list_(pa.int64())
         for b in batches:
-            sets = [shingle_hashes(words_of(t)).view(np.int64) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
+            sets = [shingle_hashes(words_of(t)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], longs),
+                 pa.array([packed_of(x) for x in sets], longs)], ["cls", "n", "shingles", "packed"])
 
-    return texts.select("cls", "text").mapInArrow(run, "cls binary, shingles array<long>")
+    return texts.select("cls", "text").mapInArrow(run, "cls binary, n long, shingles array<long>, packed array<long>")
 
 
 def shared(a: Column | str, b: Column | str) -> Column:
@@ -146,20 +148,17 @@ def shared(a: Column | str, b: Column | str) -> Column:
     return size(a, b)
 
 
-def estimate(a: Column, b: Column) -> Column:
-    """Collision-corrected similarity of two packed signatures, by bit counts."""
-    def differing(x: Column, y: Column) -> Column:
-        d = x.bitwiseXOR(y)
-        width = 1
-        while width < LOW_BITS:  # gather each value's bits in its lowest one
-            d = d.bitwiseOR(F.shiftright(d, width))
-            width *= 2
-        ones = sum(1 << i for i in range(0, 64, LOW_BITS))
-        return F.bit_count(d.bitwiseAND(F.lit(ones)))
-
-    off = F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda acc, d: acc + d)
-    chance = 2.0 ** -LOW_BITS
-    return ((F.lit(MINIMA) - off) / F.lit(float(MINIMA)) - chance) / (1 - chance)
+def likely(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes (prefix n) and packed signatures (p0, p1, ...) of two sides allow a link."""
+    off = F.lit(0)
+    for i in range(LONGS):
+        off = off + F.bit_count(F.col(f"{a}p{i}").bitwiseXOR(F.col(f"{b}p{i}")))
+    chance, p = 0.5, percent / 100.0
+    estimate = ((F.lit(BITS) - off) / F.lit(float(BITS)) - chance) / (1 - chance)
+    same = p + (1 - p) * chance
+    cutoff = p - 4 * (same * (1 - same) / BITS) ** 0.5 / (1 - chance)
+    n_a, n_b = F.col(f"{a}n"), F.col(f"{b}n")
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent) & (estimate >= cutoff)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -170,80 +169,60 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = scratch.write(
         rows.filter("cls IS NOT NULL").groupBy("cls")
         .agg(F.min("doc_id").alias("min_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("at"),
-             F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("packed").alias("packed")), "classes")
+             F.first("bands").alias("bands")), "classes")
 
     banded = classes.select("cls", F.explode("bands").alias("band"))
     shared_bands = banded.groupBy("band").agg(F.count("*").alias("m")).filter("m > 1").select("band")
-    members = scratch.write(banded.join(shared_bands, "band"), "members")
-    sig = classes.select("cls", "n", "packed")
-    p = percent / 100.0
-    cutoff = p - 5 * (p * (1 - p) / MINIMA) ** 0.5 / (1 - 2.0 ** -LOW_BITS)
-
-    wanted = members.select("cls").distinct().join(classes.select("cls", "at"), "cls")
+    spots = scratch.write(banded.join(shared_bands, "band"), "spots")
+    wanted = scratch.write(spots.select("cls").distinct().join(classes.select("cls", "at"), "cls")
+                           .select("cls", F.col("at.doc_id").alias("w_id"), F.col("at.text_key").alias("w_key")), "wanted")
+    n_wanted = wanted.count()
     texts = docs.select("doc_id", "text").withColumn("text_key", text_key("text"))
-    w = wanted.select("cls", F.col("at.doc_id").alias("w_id"), F.col("at.text_key").alias("w_key"))
-    found = texts.join(w, (F.col("text_key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
+    found = texts.join(F.broadcast(wanted) if n_wanted <= MAX_BROADCAST else wanted,
+                       (F.col("text_key") == F.col("w_key")) & F.col("doc_id").eqNullSafe(F.col("w_id")))
     sets = scratch.write(shingle_sets(found.select("cls", "text")), "sets")
-    if sets.count() > members.select("cls").distinct().count():  # repeated rows of the input
+    if sets.count() > n_wanted:  # repeated rows of the input
         sets = scratch.write(sets.dropDuplicates(["cls"]), "sets-once")
+    own = ["cls", "n", *[f"p{i}" for i in range(LONGS)]]
+    light = sets.select("cls", "n", *[F.get("packed", i).alias(f"p{i}") for i in range(LONGS)])
+    members = scratch.write(spots.join(light, "cls"), "members")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        """The linked ones of (a, b)."""
-        s = lambda side: sig.select(F.col("cls").alias(side), F.col("n").alias(f"n_{side}"),
-                                    F.col("packed").alias(f"p_{side}"))
-        likely = (pairs.join(s("a"), "a").join(s("b"), "b")
-                  .filter((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                          & (estimate(F.col("p_a"), F.col("p_b")) >= cutoff))
-                  .select("a", "b", "n_a", "n_b"))
-        full = (likely.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("s_a")), "a")
+        """The linked ones of (a, b, n, ...), n the sum of the sizes."""
+        full = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("s_a")), "a")
                 .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("s_b")), "b")
-                .select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), shared("s_a", "s_b").alias("i")))
-        return full.filter(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b")
-
-    links, tested, comps = [], [], None
-    for turn in range(ROUNDS + 1):
-        if comps is None:
-            now = members.withColumn("comp", F.col("cls"))
-        else:
-            now = (members.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-                   .withColumn("comp", F.coalesce("comp", "cls")))
-        sizes = now.groupBy("band", "comp").agg(F.count("*").alias("c"))
-        open_ = sizes.groupBy("band").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq")).filter("m * m > sq")
-        left = open_.agg(F.sum("m").alias("m"), F.sum((F.col("m") * F.col("m") - F.col("sq")) / 2).alias("pairs")).first()
-        if not left.m:
-            break
-        last = turn == ROUNDS or turn > 0 and left.pairs <= 4 * left.m
-        now = now.join(open_.select("band"), "band", "left_semi")
-        if last:  # whatever is left between different components, in full
-            other = now.select("band", F.col("cls").alias("b"), F.col("comp").alias("comp_b"))
-            pairs = now.join(other, "band").filter((F.col("cls") < F.col("b")) & (F.col("comp") != F.col("comp_b")))
-            pairs = pairs.select(F.col("cls").alias("a"), "b")
-        else:
-            hubs = now.groupBy("band").agg(
-                F.min_by(F.struct("cls", "comp"), F.xxhash64("cls", "band", F.lit(turn))).alias("hub"))
-            pairs = (now.join(hubs, "band").filter(F.col("comp") != F.col("hub.comp"))
-                     .select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")))
-        pairs = pairs.distinct()
-        for t in tested:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
-        pairs = scratch.write(pairs, f"pairs-{turn}")
-        tested.append(pairs)
-        links.append(scratch.write(confirm(pairs), f"links-{turn}"))
-        all_links = links[0]
-        for x in links[1:]:
-            all_links = all_links.unionByName(x)
-        comps = components(all_links, scratch, f"comps-{turn}")
-        if last:
-            break
-
-    named = classes.select("cls", "min_id")
-    if comps is None:
-        named = named.select("cls", F.col("min_id").alias("component_id"))
-    else:
-        named = (named.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-                 .withColumn("comp", F.coalesce("comp", "cls")))
-        least = named.groupBy("comp").agg(F.min("min_id").alias("component_id"))
-        named = named.join(least, "comp").select("cls", "component_id")
+                .withColumn("i", shared("s_a", "s_b")))
+        return full.filter(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).drop("s_a", "s_b", "i", "n")
+
+    hubs = members.groupBy("band").agg(*[
+        F.min_by(F.struct(*own), F.xxhash64("cls", F.lit(h))).alias(f"hub{h}") for h in range(HUBS)])
+    near = (members.join(hubs, "band").withColumn("hub", F.explode(F.array(*[f"hub{h}" for h in range(HUBS)])))
+            .select(*own, *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in own])
+            .filter((F.col("cls") != F.col("hub_cls")) & likely("", "hub_", percent))
+            .select(F.least("cls", "hub_cls").alias("a"), F.greatest("cls", "hub_cls").alias("b"), (F.col("n") + F.col("hub_n")).alias("n")))
+    comps = components(scratch.write(confirm(near.distinct()), "links"), scratch, "comps")
+
+    now = scratch.write(members.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+                        .withColumn("comp", F.coalesce("comp", "cls")), "now")
+    main = (now.groupBy("band", "comp").agg(F.count("*").alias("c"))
+            .groupBy("band").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("k")).filter("k > 1"))
+    still = scratch.write(now.join(main.select("band", "main"), "band").join(classes.select("cls", "bands"), "cls"), "open")
+    rest = still.filter("comp != main").select("band", "comp", "bands", *own)
+    other = still.select("band", F.col("comp").alias("o_comp"), (F.col("comp") == F.col("main")).alias("o_main"),
+                         F.col("bands").alias("o_bands"), *[F.col(c).alias(f"o_{c}") for c in own])
+    pairs = (rest.join(other, (rest["band"] == other["band"]) & (F.col("comp") != F.col("o_comp"))
+                       & (F.col("o_main") | (F.col("cls") < F.col("o_cls"))) & likely("", "o_", percent)
+                       & (F.get(F.array_intersect("bands", "o_bands"), F.lit(0)) == rest["band"]))
+             .select(F.col("cls").alias("a"), F.col("o_cls").alias("b"), (F.col("n") + F.col("o_n")).alias("n"),
+                     F.col("comp").alias("comp_a"), F.col("o_comp").alias("comp_b")))
+    more = scratch.write(confirm(pairs).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")), "more-links")
+    joined = components(more, scratch, "joined").select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+
+    named = (classes.select("cls", "min_id").join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+             .withColumn("comp", F.coalesce("comp", "cls")).join(joined, "comp", "left")
+             .withColumn("comp", F.coalesce("top", "comp")))
+    least = named.groupBy("comp").agg(F.min("min_id").alias("component_id"))
+    named = named.join(least, "comp").select("cls", "component_id")
     out = rows.select("doc_id", "text_key", "cls", "n_shingles").join(named, "cls", "left")
     return out.select("doc_id", "text_key", "n_shingles",
                       F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

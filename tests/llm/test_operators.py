@@ -277,16 +277,15 @@ def test_minhash_against_brute_force(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted(brute_groups(rows))
 
 
-def test_minhash_estimate_is_close(spark):
+def test_minhash_estimate_is_close():
     rng = random.Random(1)
     a = words(rng, 400, 10 ** 6).split()
-    for share in (0.0, 0.3, 0.6):
+    for share in (0.0, 0.3, 0.6, 0.9):
         b = a[: int(400 * share)] + words(rng, 400 - int(400 * share), 10 ** 6).split()
-        m = [minhash.minima_of(minhash.shingle_hashes([x.encode() for x in w])) for w in (a, b)]
-        low = [x & np.uint64(15) for x in m]
-        raw = float((low[0] == low[1]).mean())
+        p = [minhash.packed_of(minhash.shingle_hashes([x.encode() for x in w])).view(np.uint64) for w in (a, b)]
+        off = sum(int(x).bit_count() for x in p[0] ^ p[1])
         x, y = shingles(" ".join(a)), shingles(" ".join(b))
-        assert abs((raw - 1 / 16) / (15 / 16) - len(x & y) / len(x | y)) < 0.17
+        assert abs(((1 - off / minhash.BITS) - 0.5) / 0.5 - len(x & y) / len(x | y)) < 0.13
 
 
 # ---------------------------------------------------------------- 7 LM
@@ -312,23 +311,35 @@ def test_maxent_base_is_exact_and_model_is_better(spark, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_maxent_probabilities_sum_to_one():
+def test_maxent_model_is_a_distribution_and_learns():
     rng = np.random.default_rng(0)
     t = maxent.Trainer()
-    cls = np.append(rng.integers(0, maxent.CLASSES - 1, 500), maxent.END)
-    f = maxent.features(cls, rng.integers(0, 1 << 60, 501))
+    sizes = np.array([200, 0, 298])
+    cls = rng.integers(0, maxent.CLASSES, 501)
+    cls[cls == maxent.END] = 0
+    cls[[200, 201, 500]] = maxent.END
+    key = rng.integers(0, 1 << 60, 501)
+    f = maxent.features(sizes, cls, key)
+    alone = maxent.features(sizes[2:], cls[202:], key[202:])
+    assert (f[:, 202:] == alone).all()  # no history from another text
     for _ in range(20):
         t.step(f, cls)
-    p = np.exp(maxent.log_softmax(t.w, t.bias, f))
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
-    assert np.log(p[np.arange(501), cls]).mean() > -np.log(maxent.CLASSES) + 0.5
-    counts = maxent.Counts(np.array([5, 9]), np.array([4, 2]), np.array([14, 15], np.int32), {14: (6, 2), 15: (2, 1)}, 3)
-    # singles 0 and 1 took the two head words; one word of 2 tokens is left in class 14
-    room = 10 ** counts.log_room
-    assert room[[0, 1, 14, maxent.END]] == pytest.approx([5, 3, 3, 4])
+    p = sum(np.exp(maxent.log_p(t.w, t.bias, f, np.full(501, c))) for c in range(maxent.CLASSES))
+    assert np.allclose(p, 1, atol=1e-4)
+    assert maxent.log_p(t.w, t.bias, f, cls).mean() > -np.log(maxent.CLASSES) + 0.5
+    g = maxent.SINGLES + 2
+    counts = maxent.Counts(np.array([5, 9]), np.array([4, 2]), np.array([g, g + 1], np.int32), {g: (6, 2), g + 1: (2, 1)}, 3)
+    # singles 0 and 1 took the two head words; one word of 2 tokens is left in the first group
+    assert 10 ** counts.log_room[[0, 1, g, maxent.END]] == pytest.approx([5, 3, 3, 4])
     assert counts.total == 6 + 2 + 3 and counts.distinct == 3 + 1
 
 
+def test_maxent_reads_texts_in_runs(monkeypatch):
+    texts = ["a b", None, "c" * 50, "", "d e f"]
+    monkeypatch.setattr(maxent, "READ_CHARS", 4)
+    assert list(maxent.pieces(texts)) == [(0, 2), (2, 3), (3, 4), (4, 5)] and list(maxent.pieces([])) == []
+
+
 # ---------------------------------------------------------------- 8 urls
 
 def test_list_rules(spark):

@@ -31,6 +31,8 @@ row without doc_id trains; repeated rows count as often as they come; other colu
 from __future__ import annotations
 
 import zlib
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,18 +44,20 @@ from pyspark.sql import functions as F
 
 from hirelens.llm.common import Scratch, fold_of, table
 
-SINGLES = 11
-GROUPS = 20
+SINGLES = 7
+GROUPS = 12
 CLASSES = SINGLES + 1 + GROUPS
 END = SINGLES
 BUCKETS = 1 << 16
 BATCH = 8192
 RATE = 0.5
 TOKENS_PER_WORKER = 4_000_000
-HEAD_WORDS = 1_000_000
-MAX_KNOWN = 300_000
+HEAD_WORDS = 500_000
+MAX_KNOWN = 500_000
 MAX_COUNTED = 400_000
 BLOCKS = 64
+#: Characters of the texts that are turned into arrays at once (a longer text is taken alone).
+READ_CHARS = 4_000_000
 
 _U = np.uint64
 
@@ -77,7 +81,7 @@ def group_of(word: bytes) -> int:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(key, grp, n) of all words; each task's table is emitted when it is full."""
     def run(batches):
-        counts: dict[bytes, int] = {}
+        counts: Counter = Counter()
 
         def table_():
             return pa.RecordBatch.from_arrays(
@@ -86,8 +90,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
         for b in batches:
             for t in b.column(0).to_pylist():
-                for w in words_of(t):
-                    counts[w] = counts.get(w, 0) + 1
+                counts.update(words_of(t))
                 if len(counts) >= MAX_COUNTED:
                     yield table_()
                     counts.clear()
@@ -127,68 +130,110 @@ def counts_of(texts: DataFrame, scratch: Scratch) -> tuple[Counts, DataFrame]:
         if r.words > room:
             break
         least, room = r.n, room - r.words
-    head = table_.filter(F.col("n") >= least).toPandas()
+    head = table_.filter(F.col("n") >= least).select("key", "n", "grp").toArrow()  # at most HEAD_WORDS rows
     per = {r.grp: (r.t, r.v) for r in table_.groupBy("grp").agg(F.sum("n").alias("t"), F.count("*").alias("v")).collect()}
-    return Counts(head["key"].to_numpy(np.int64), head["n"].to_numpy(np.int64), head["grp"].to_numpy(np.int32), per, n_texts), table_
+    return Counts(*(head[c].to_numpy() for c in ("key", "n", "grp")), per, n_texts), table_
 
 
 # ---------------------------------------------------------------- a worker's view of words
 
+class _Numbers(dict):
+    """Numbers words in the order of their first use."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, w: bytes) -> int:
+        n = self[w] = len(self)
+        self.new.append(w)
+        return n
+
+
 class Reader:
-    """Turns texts into arrays; remembers a bounded number of words between texts."""
+    """Turns texts into arrays; remembers a bounded number of words between batches."""
 
     def __init__(self, counts: Counts):
         self.counts = counts
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.cls, self.key = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.tail, self.logs = np.zeros(1024, bool), np.zeros(1024)
-
-    def add(self, w: bytes) -> int:
-        k, c, n = key_of(w), self.counts, len(self.known)
-        if n == len(self.cls):
-            self.cls, self.key, self.tail, self.logs = (np.concatenate([x, np.zeros_like(x)])
-                                                        for x in (self.cls, self.key, self.tail, self.logs))
-        i = int(np.searchsorted(c.keys, k))
-        if i < len(c.keys) and c.keys[i] == k:
-            self.cls[n], self.tail[n], self.logs[n] = c.cls[i], False, np.log10(c.n[i] + 0.5)
-        else:
-            self.cls[n], self.tail[n], self.logs[n] = group_of(w), True, 0.0
-        self.key[n] = k
-        self.known[w] = n
-        return n
-
-    def read(self, text: str | None) -> np.ndarray:
-        """Numbers of the text's words in ``cls``, ``key``, ``tail`` and ``logs`` (log10(c + 0.5))."""
+        self.known = _Numbers()
+        self.cls, self.key = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.tail, self.logs = np.zeros(0, bool), np.zeros(0)
+
+    def _fill(self) -> None:
+        """Class, key, tail and log10(c + 0.5) of the words numbered since the last call."""
+        words, c = self.known.new, self.counts
+        if not words:
+            return
+        key = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
+        at = np.searchsorted(c.keys, key)
+        head = at < len(c.keys)
+        head[head] = c.keys[at[head]] == key[head]
+        cls = np.fromiter(map(group_of, words), np.int64, len(words))
+        cls[head] = c.cls[at[head]]
+        logs = np.zeros(len(words))
+        logs[head] = np.log10(c.n[at[head]] + 0.5)
+        self.cls, self.key = np.concatenate([self.cls, cls]), np.concatenate([self.key, key])
+        self.tail, self.logs = np.concatenate([self.tail, ~head]), np.concatenate([self.logs, logs])
+        self.known.new = []
+
+    def read(self, texts: list[str | None]):
+        """(words' numbers, words of each text, classes and keys with an end after each text)."""
         if len(self.known) > MAX_KNOWN:
             self.clear()
-        get, add = self.known.get, self.add
-        words = words_of(text)
-        return np.array([i if (i := get(w)) is not None else add(w) for w in words], dtype=np.int64)
-
-
-def features(cls: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Bucket numbers (4 x tokens) of one text's history; ``cls`` ends with END."""
-    n = len(cls)
-    c = np.full(n + 3, CLASSES, np.uint64)
-    c[3:] = cls.astype(np.uint64)
-    k = np.zeros(n + 3, np.uint64)
-    k[3:] = key.view(np.uint64)
-    one, two, three = slice(2, n + 2), slice(1, n + 1), slice(0, n)
-    h = np.stack([k[one] + _U(1), (c[one] * _U(64) + c[two]) * _U(4) + _U(2), (c[two] * _U(64) + c[three]) * _U(4) + _U(3), k[two] + _U(4)])
+        lists = [words_of(t) for t in texts]
+        sizes = np.array([len(x) for x in lists], dtype=np.int64)
+        num = np.fromiter(map(self.known.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+        self._fill()
+        word = np.ones(len(num) + len(sizes), dtype=bool)
+        word[np.cumsum(sizes + 1) - 1] = False
+        cls, key = np.full(len(word), END, np.int64), np.zeros(len(word), np.int64)
+        cls[word], key[word] = self.cls[num], self.key[num]
+        return num, sizes, cls, key
+
+
+def pieces(texts: list[str | None]):
+    """Runs (first, last) of texts that hold about READ_CHARS characters together."""
+    first = held = 0
+    for i, t in enumerate(texts):
+        if i > first and held + len(t or "") > READ_CHARS:
+            yield first, i
+            first, held = i, 0
+        held += len(t or "")
+    if len(texts) > first:
+        yield first, len(texts)
+
+
+def features(sizes: np.ndarray, cls: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Bucket numbers (4 x tokens) of the history within each text (``sizes`` without the ends)."""
+    texts = len(sizes)
+    at = np.arange(len(cls)) + 3 * (np.repeat(np.arange(texts), sizes + 1) + 1)
+    c = np.full(len(cls) + 3 * texts, CLASSES, np.uint64)
+    k = np.zeros(len(cls) + 3 * texts, np.uint64)
+    c[at], k[at] = cls.astype(np.uint64), key.view(np.uint64)
+    one, two, three = c[at - 1], c[at - 2], c[at - 3]
+    h = np.stack([k[at - 1] + _U(1), (one * _U(64) + two) * _U(4) + _U(2), (two * _U(64) + three) * _U(4) + _U(3), k[at - 2] + _U(4)])
     h = (h ^ (h >> _U(29))) * _U(0x9E3779B97F4A7C15)
     return (h >> _U(48)).astype(np.uint16)
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = weights[f[0]] + weights[f[1]]
-    z += weights[f[2]]
-    z += weights[f[3]]
+def logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
+    z = weights[f[0]]
+    for row in f[1:]:
+        z += weights[row]
     z += bias
-    z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return np.minimum(z, 60, out=z)
+
+
+def log_p(weights: np.ndarray, bias: np.ndarray, f: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Natural log probability of class y for each column of features, in batches."""
+    out = np.empty(len(y))
+    for i in range(0, len(y), BATCH):
+        z = logits(weights, bias, f[:, i:i + BATCH])
+        own = z[np.arange(len(z)), y[i:i + BATCH]]
+        out[i:i + BATCH] = own - np.log(np.exp(z).sum(axis=1))
+    return out
 
 
 class Trainer:
@@ -199,7 +244,9 @@ class Trainer:
         self.steps = 0
 
     def step(self, f: np.ndarray, y: np.ndarray) -> None:
-        g = np.exp(log_softmax(self.w, self.bias, f))
+        g = logits(self.w, self.bias, f)
+        np.exp(g, out=g)
+        g /= g.sum(axis=1, keepdims=True)
         g[np.arange(len(y)), y] -= 1
         self.steps += 1
         self.bias -= RATE / self.steps ** 0.5 * g.mean(axis=0)
@@ -224,14 +271,6 @@ def _reader(bc) -> Reader:
     return _READERS["reader"]
 
 
-def encoded(batches, reader: Reader, column: int):
-    """(class, key, word numbers) of each text of the batches, the end included."""
-    for b in batches:
-        for t in b.column(column).to_pylist():
-            i = reader.read(t)
-            yield np.append(reader.cls[i], END), np.append(reader.key[i], 0), i
-
-
 def train(texts: DataFrame, bc, tokens: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
     """(weights, bias) averaged over the workers' passes."""
     spark = texts.sparkSession
@@ -240,18 +279,14 @@ def train(texts: DataFrame, bc, tokens: int, scratch: Scratch) -> tuple[np.ndarr
     size = BUCKETS // BLOCKS
 
     def run(batches):
-        t, f, y, held = Trainer(), [], [], 0
-        for cls, key, _ in encoded(batches, _reader(bc), 0):
-            f.append(features(cls, key))
-            y.append(cls)
-            held += len(cls)
-            if held >= BATCH:
-                fs, ys = np.concatenate(f, axis=1), np.concatenate(y)
-                for i in range(0, held, BATCH):
-                    t.step(fs[:, i:i + BATCH], ys[i:i + BATCH])
-                f, y, held = [], [], 0
-        if held:
-            t.step(np.concatenate(f, axis=1), np.concatenate(y))
+        t, reader = Trainer(), _reader(bc)
+        for b in batches:
+            texts_ = b.column(0).to_pylist()
+            for first, last in pieces(texts_):
+                _, sizes, cls, key = reader.read(texts_[first:last])
+                f = features(sizes, cls, key)
+                for i in range(0, len(cls), BATCH):
+                    t.step(f[:, i:i + BATCH], cls[i:i + BATCH])
         if not t.steps:
             return
         part = TaskContext.get().partitionId()
@@ -287,28 +322,31 @@ PART = "row_id long, doc_id {id}, held_out boolean, n_tokens long, n_head long,
 
 def partial_scores(rows: DataFrame, bc, model) -> DataFrame:
     """Sums over the head words of each row of (doc_id, held_out, text), and its tail words."""
+    longs = pa.list_(pa.int64())
+
     def run(batches):
         reader, (weights, bias) = _reader(bc), model.value
         counts, row = reader.counts, TaskContext.get().partitionId() << 33
+        end = float(np.log10(counts.n_texts + 0.5))
         for b in batches:
-            out: dict[str, list] = {c: [] for c in ("row_id", "n_tokens", "n_head", "base", "score", "tail_keys", "tail_times")}
-            for cls, key, i in encoded([b], reader, 2):
-                f = features(cls, key)
-                s = 0.0
-                for at in range(0, len(cls), BATCH):
-                    p = log_softmax(weights, bias, f[:, at:at + BATCH])
-                    s += float(p[np.arange(len(p)), cls[at:at + BATCH]].sum(dtype=np.float64))
-                head = float(reader.logs[i].sum()) + float(np.log10(counts.n_texts + 0.5))
-                keys, times = np.unique(key[:-1][reader.tail[i]], return_counts=True)
-                for c, v in zip(out, (row, len(cls), len(i) - int(times.sum()) + min(1, counts.n_texts), head,
-                                      s / np.log(10.0) - float(counts.log_room[cls].sum()) + head, keys, times)):
-                    out[c].append(v)
-                row += 1
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["row_id"], pa.int64()), b.column(0), b.column(1), pa.array(out["n_tokens"], pa.int64()), pa.array(out["n_head"], pa.int64()),
-                 pa.array(out["base"], pa.float64()), pa.array(out["score"], pa.float64()), pa.array(out["tail_keys"], longs), pa.array(out["tail_times"], longs)],
-                ["row_id", "doc_id", "held_out", "n_tokens", "n_head", "base", "score", "tail_keys", "tail_times"])
+            texts = b.column(2).to_pylist()
+            for first, last in pieces(texts):
+                num, sizes, cls, key = reader.read(texts[first:last])
+                starts = np.cumsum(sizes + 1) - (sizes + 1)
+                by_text = lambda x: np.add.reduceat(x, starts)
+                p = log_p(weights, bias, features(sizes, cls, key), cls) / np.log(10.0) - counts.log_room[cls]
+                word = cls != END
+                tail, logs = np.zeros(len(cls), dtype=bool), np.full(len(cls), end)
+                tail[word], logs[word] = reader.tail[num], reader.logs[num]
+                n_tail, head = by_text(tail.astype(np.int64)), by_text(logs)
+                where = np.split(key[tail], np.cumsum(n_tail)[:-1])
+                rare = [np.unique(x, return_counts=True) for x in where]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(sizes))), b.column(0).slice(first, last - first), b.column(1).slice(first, last - first),
+                     pa.array(sizes + 1), pa.array(sizes - n_tail + min(1, counts.n_texts)), pa.array(head), pa.array(by_text(p) + head),
+                     pa.array([x[0] for x in rare], longs), pa.array([x[1] for x in rare], longs)],
+                    ["row_id", "doc_id", "held_out", "n_tokens", "n_head", "base", "score", "tail_keys", "tail_times"])
+                row += len(sizes)
 
     return rows.mapInArrow(run, PART.format(id=rows.schema["doc_id"].dataType.simpleString()))
 

@@ -44,8 +44,8 @@ from pyspark.sql import functions as F
 
 from hirelens.llm.common import Scratch, fold_of, table
 
-SINGLES = 7
-GROUPS = 12
+SINGLES = 11
+GROUPS = 20
 CLASSES = SINGLES + 1 + GROUPS
 END = SINGLES
 BUCKETS = 1 << 16

@@ -334,6 +334,17 @@ def test_maxent_model_is_a_distribution_and_learns():
     assert counts.total == 6 + 2 + 3 and counts.distinct == 3 + 1
 
 
+def test_maxent_keeps_its_32_classes():
+    words = [f"word{i}".encode() for i in range(30)]
+    keys = np.array([maxent.key_of(w) for w in words])
+    groups = np.array([maxent.group_of(w) for w in words], np.int32)
+    per = {int(g): (int((100 - np.arange(30))[groups == g].sum()), int((groups == g).sum())) for g in set(groups)}
+    counts = maxent.Counts(keys, 100 - np.arange(30), groups, per, 1)
+    cls = dict(zip(counts.keys, counts.cls))
+    assert [cls[k] for k in keys[:11]] == list(range(11)) and all(cls[k] > maxent.END for k in keys[11:])
+    assert len({maxent.group_of(bytes([97 + i, 97 + j])) for i in range(26) for j in range(26)}) == 20
+
+
 def test_maxent_reads_texts_in_runs(monkeypatch):
     texts = ["a b", None, "c" * 50, "", "d e f"]
     monkeypatch.setattr(maxent, "READ_CHARS", 4)

@@ -8,11 +8,15 @@
    each other, pairs with at least one new entry only; what is nearer than a node's farthest
    neighbour enters its list of ``K``.  Rounds end when a round finds hardly any new link.
    Vectors travel as 8-bit numbers; links are confirmed in double precision.
-4. A list that is full of links is saturated: its node may have more.  The lists of a component
-   with such a node are enlarged to the whole component, which is compared in blocks of about
-   ``BLOCK`` nodes; only the count of links leaves a block pair, never the pairs.
-5. Audit: of a hash sample of about ``AUDIT`` nodes all links are found by brute force; below a
-   recall of ``RECALL`` further rounds follow, with longer lists.
+4. A list that is full of links is saturated: its node may have more.  The components with such
+   a node are compared in full, with themselves and with each other (within a label), in blocks of
+   about ``BLOCK`` nodes; only the count of links leaves a block pair, never the pairs.  Block pairs
+   whose centres are too far apart for their radii and the threshold hold no link and are left out.
+   Components that meet are joined.  A node of any other component has room in its list for all
+   its links.
+5. Audit: of a hash sample of about ``AUDIT`` nodes all links are found by brute force; where a
+   label misses a recall of ``RECALL``, over its audited links or over its audited nodes, further
+   rounds follow, with longer lists.  A label that still misses it is compared in full.
 
 Links have a cosine of at least the threshold; none below is kept.
 
@@ -217,26 +221,92 @@ def audit(classes: DataFrame, threshold: float, size: int = AUDIT) -> DataFrame:
     return classes.select("node", "label", "size", "unit").mapInArrow(run, PAIR).select("a", "b")
 
 
-def block_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, links): links of each node within its component (node, comp, copies, unit, size of
-    the component ``n``), counted by pairs of blocks."""
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+def near_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
+    """(ca, ba, cb, bb): pairs of blocks (label, size, comp, blk, radius, centre) of one label that
+    may hold links: centres no farther apart than the threshold's angle and both radii.  A block
+    pairs with itself."""
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        left, right = pdf[pdf["blk"] == i], pdf[pdf["blk"] == j]
-        s = np.stack(left["unit"].to_numpy()) @ np.stack(right["unit"].to_numpy()).T if len(left) and len(right) else np.zeros((len(left), len(right)))
-        hit = s >= threshold
-        if i == j:
-            np.fill_diagonal(hit, False)
-            return pd.DataFrame({"node": left["node"], "links": hit @ right["copies"].to_numpy()})
-        return pd.concat([pd.DataFrame({"node": left["node"], "links": hit @ right["copies"].to_numpy()}),
-                          pd.DataFrame({"node": right["node"], "links": hit.T @ left["copies"].to_numpy()})])
+        left, right = pdf[pdf["cell"] == i], pdf[pdf["cell"] == j]
+        out = pd.DataFrame({"ca": [], "ba": [], "cb": [], "bb": []}, dtype="int64")
+        if len(left) and len(right):
+            angle = np.arccos(np.clip(np.stack(left["centre"].to_numpy()) @ np.stack(right["centre"].to_numpy()).T, -1, 1))
+            reach = left["radius"].to_numpy()[:, None] + right["radius"].to_numpy()[None, :]
+            a, b = np.nonzero(angle <= np.arccos(min(1.0, threshold)) + reach + 1e-6)
+            a, b = (a[a <= b], b[a <= b]) if i == j else (a, b)
+            out = pd.DataFrame({"ca": left["comp"].to_numpy()[a], "ba": left["blk"].to_numpy()[a],
+                                "cb": right["comp"].to_numpy()[b], "bb": right["blk"].to_numpy()[b]})
+        return out
+
+    cells = blocks.groupBy("label", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cells"))
+    c = blocks.join(cells, ["label", "size"]).withColumn("cell", F.pmod(F.xxhash64("comp", "blk"), F.col("cells")).cast("int"))
+    c = c.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    c = c.select("label", "size", F.least("cell", "o").alias("i"), F.greatest("cell", "o").alias("j"), "cell", "comp", "blk", "radius", "centre")
+    return c.groupBy("label", "size", "i", "j").applyInPandas(near, "ca long, ba int, cb long, bb int")
+
+
+def block_links(members: DataFrame, threshold: float, scratch: Scratch, name: str) -> DataFrame:
+    """(node, comp, other, links): the links of each node to nodes of each component, all of
+    ``members`` (node, comp, label, size, copies, unit) compared by pairs of blocks."""
+    def centre(pdf: pd.DataFrame) -> pd.DataFrame:
+        u = np.stack(pdf["unit"].to_numpy())
+        c = u.mean(axis=0)
+        c /= np.linalg.norm(c) or 1.0
+        return pdf[["label", "size", "comp", "blk"]].head(1).assign(radius=float(np.arccos(np.clip((u @ c).min(), -1, 1))), centre=[c.tolist()])
 
-    nb = F.ceil(F.col("n") / BLOCK).cast("int")
-    m = members.withColumn("blk", F.pmod(F.xxhash64("node"), nb).cast("int"))
-    m = m.withColumn("o", F.explode(F.sequence(F.lit(0), nb - 1)))
-    m = m.select("comp", F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j"), "blk", "node", "copies", "unit")
-    parts = m.groupBy("comp", "i", "j").applyInPandas(count, "node long, links long")
-    return parts.groupBy("node").agg(F.sum("links").alias("links"))
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[~pdf["right"]], pdf[pdf["right"]]
+        ca, cb = pdf["ca"].iloc[0], pdf["cb"].iloc[0]
+        if not len(right):
+            hit = np.stack(left["unit"].to_numpy()) @ np.stack(left["unit"].to_numpy()).T >= threshold
+            np.fill_diagonal(hit, False)
+            out = pd.DataFrame({"node": left["node"], "comp": ca, "other": cb, "links": hit @ left["copies"].to_numpy()})
+        else:
+            hit = np.stack(left["unit"].to_numpy()) @ np.stack(right["unit"].to_numpy()).T >= threshold
+            out = pd.concat([pd.DataFrame({"node": left["node"], "comp": ca, "other": cb, "links": hit @ right["copies"].to_numpy()}),
+                             pd.DataFrame({"node": right["node"], "comp": cb, "other": ca, "links": hit.T @ left["copies"].to_numpy()})])
+        return out[out["links"] > 0]
+
+    t = members.schema["label"].dataType.simpleString()
+    sizes = members.groupBy("comp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
+    m = members.join(sizes, "comp").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    blocks = scratch.write(m.groupBy("label", "size", "comp", "blk").applyInPandas(
+        centre, f"label {t}, size int, comp long, blk int, radius double, centre array<double>"), f"{name}-blocks")
+    pairs = scratch.write(near_blocks(blocks, threshold), f"{name}-pairs")
+    side = lambda c, b: [F.col("comp").alias(c), F.col("blk").alias(b), "node", "copies", "unit"]
+    left = pairs.join(m.select(*side("ca", "ba")), ["ca", "ba"]).withColumn("right", F.lit(False))
+    right = (pairs.filter("ca != cb OR ba != bb").join(m.select(*side("cb", "bb")), ["cb", "bb"]).withColumn("right", F.lit(True)))
+    parts = left.unionByName(right).groupBy("ca", "ba", "cb", "bb").applyInPandas(count, "node long, comp long, other long, links long")
+    return scratch.write(parts.groupBy("node", "comp", "other").agg(F.sum("links").alias("links")), f"{name}-met")
+
+
+def met(comps: DataFrame, crowded: DataFrame, classes: DataFrame, threshold: float, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """(comps: node, comp, dense; links: node, links): the ``crowded`` components, which are compared
+    in full with each other, joined where they meet."""
+    of = classes.select("node", "label", "size", "copies", "unit")
+    found = block_links(comps.join(crowded, "comp").join(of, "node"), threshold, scratch, name)
+    joined = components(found.filter("comp != other").select(F.col("comp").alias("a"), F.col("other").alias("b")).distinct(), scratch, f"{name}-joined")
+    comps = (comps.join(crowded.withColumn("dense", F.lit(True)), "comp", "left")
+             .join(joined.select(F.col("node").alias("comp"), F.col("comp").alias("whole")), "comp", "left")
+             .select("node", F.coalesce("whole", "comp").alias("comp"), F.coalesce("dense", F.lit(False)).alias("dense")))
+    return scratch.write(comps, f"{name}-comps"), found.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def recalls(truth: DataFrame, links: DataFrame, comps: DataFrame) -> pd.DataFrame:
+    """label, size, all, hit of each audited node (a of ``truth``: a, b, label, size): its links,
+    and those confirmed from the lists or within a component that is compared in full."""
+    inside = comps.filter("dense")
+    c = lambda side: inside.select(F.col("node").alias(side), F.col("comp").alias(f"c_{side}"))
+    listed = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("listed", F.lit(True))
+    t = truth.join(listed, ["a", "b"], "left").join(c("a"), "a", "left").join(c("b"), "b", "left")
+    hit = F.coalesce("listed", F.col("c_a") == F.col("c_b"), F.lit(False)).cast("int")
+    return t.groupBy("a", "label", "size").agg(F.count("*").alias("all"), F.sum(hit).alias("hit")).toPandas()
+
+
+def short(audited: pd.DataFrame) -> list:
+    """The (label, size) groups whose audited nodes miss the recall, over links or over nodes."""
+    return [tuple(getattr(x, "item", lambda x=x: x)() for x in key) for key, g in audited.groupby(["label", "size"])
+            if g["hit"].sum() < RECALL * g["all"].sum() or (g["hit"] / g["all"]).mean() < RECALL]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -250,8 +320,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     nodes = scratch.write(compact(classes), "nodes")
     k, turn = K, 0
     lists = scratch.write(nearest(first_pairs(nodes).withColumn("fresh", F.lit(True)), k), "lists-0")
-    truth = scratch.write(audit(classes, threshold), "audit")
-    n_truth = truth.count()
+    group = classes.select(F.col("node").alias("a"), "label", "size")
+    truth = scratch.write(audit(classes, threshold).join(group, "a"), "audit")
     linked = lambda: lists.filter(F.col("s") >= threshold - SLACK).count()
     before = linked()
     while True:
@@ -271,25 +341,27 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         full = (lists.filter(F.col("s") >= threshold - SLACK).groupBy("u").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
                 .select(F.col("u").alias("node")))
         crowded = scratch.write(comps.join(full, "node", "left_semi").select("comp").distinct(), f"crowded-{turn}")
-        # found: confirmed from the lists, or within a component that will be compared in full
-        inside = comps.join(crowded, "comp", "left_semi")
-        c = lambda side: inside.select(F.col("node").alias(side), F.col("comp").alias(f"c_{side}"))
-        pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("q")]
-        by_list = truth.select(*pair).join(links, ["a", "b"])
-        by_block = truth.join(c("a"), "a").join(c("b"), "b").filter("c_a = c_b").select(*pair)
-        hits = by_list.unionByName(by_block).distinct().count() if n_truth else 0
-        recall = hits / n_truth if n_truth else 1.0
-        if recall >= RECALL or turn > 3 * ROUNDS:
+        comps, dense = met(comps, crowded, classes, threshold, scratch, f"met-{turn}")
+        audited = recalls(truth, links, comps)
+        missed = short(audited)
+        if not missed or turn > 3 * ROUNDS:
             break
         k *= 2
-    sizes = comps.groupBy("comp").agg(F.count("*").alias("n")).join(crowded, "comp")
-    of = classes.select("node", "copies", "unit")
-    dense = block_counts(comps.join(sizes, "comp").join(of, "node"), threshold)
+    if missed:  # exact: all nodes of these labels are compared, each component with each
+        t = classes.schema["label"].dataType.simpleString()
+        missed = spark.createDataFrame(missed, f"label {t}, size int")
+        every = (classes.join(missed, ["label", "size"], "left_semi").select("node").join(comps.select("node", "comp"), "node", "left")
+                 .select("node", F.coalesce("comp", "node").alias("comp")))
+        comps = comps.join(every, "node", "left_anti").unionByName(every.withColumn("dense", F.lit(True)))
+        crowded = scratch.write(comps.filter("dense").select("comp").distinct(), "crowded-all")
+        comps, dense = met(comps.select("node", "comp"), crowded, classes, threshold, scratch, "met-all")
+        audited = recalls(truth, links, comps)
+    recall = float(audited["hit"].sum() / audited["all"].sum()) if len(audited) else 1.0
     ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    sparse = (ends.join(comps.join(crowded, "comp", "left_anti"), "node")
+    sparse = (ends.join(comps.filter("NOT dense"), "node")
               .join(classes.select(F.col("node").alias("other"), "copies"), "other")
               .groupBy("node").agg(F.sum("copies").alias("links")))
-    named = (classes.select("node", "k1", "k2", "min_id", "copies").join(comps, "node", "left")
+    named = (classes.select("node", "k1", "k2", "min_id", "copies").join(comps.drop("dense"), "node", "left")
              .join(dense.unionByName(sparse), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     least = named.groupBy("comp").agg(F.min("min_id").alias("least"))
     named = named.join(least, "comp").select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -209,6 +209,51 @@ def test_nndescent_against_brute_force(spark):
     assert max(w[1] for w in want) > nndescent.K
 
 
+def linked(vectors):
+    """(links, component) of each row by brute force."""
+    u = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hit = u @ u.T >= 0.98
+    comp = np.arange(len(u))
+    while True:
+        new = np.where(hit, comp[None, :], len(u)).min(axis=1)
+        if (new == comp).all():
+            return list(zip((hit.sum(axis=1) - 1).tolist(), comp.tolist()))
+        comp = new
+
+
+def clusters(centres, each, noise, seed):
+    rng = np.random.default_rng(seed)
+    return np.float32(np.concatenate([c + rng.standard_normal((each, len(c))) * noise / len(c) ** 0.5 for c in centres])).astype(float)
+
+
+def near_dup(spark, x):
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(x)]
+    got = nndescent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert len(got) == len(x)
+    return [(r.n_links, r.component_id) for r in sorted(got, key=lambda r: r.vec_id)]
+
+
+def test_dense_groups_meet_each_other(spark, monkeypatch):
+    """Two groups nearer within than across, each larger than any list: all cross links count."""
+    monkeypatch.setattr(nndescent, "ROUNDS", 2)
+    turn = np.arccos(0.99)
+    a, far = np.eye(64)[0], np.eye(64)[5]
+    x = clusters([a, a * np.cos(turn) + np.eye(64)[1] * np.sin(turn), far], 300, 0.005 ** 0.5, 4)
+    want = linked(x)
+    assert {c for _, c in want} == {0, 600} and want[0][0] > 400 and want[600][0] < 300
+    assert near_dup(spark, x) == want
+
+
+def test_a_label_below_the_recall_is_compared_in_full(spark, monkeypatch):
+    """Descent that finds nothing: the audit must lead to the exact pass."""
+    monkeypatch.setattr(nndescent, "ROUNDS", 1)
+    monkeypatch.setattr(nndescent, "first_pairs", lambda nodes: nodes.limit(0).selectExpr("node AS a", "node AS b", "CAST(0 AS float) AS s"))
+    x = clusters(np.eye(32)[:20], 3, 0.08, 5)
+    want = linked(x)
+    assert sum(n for n, _ in want) > 60
+    assert near_dup(spark, x) == want
+
+
 # ---------------------------------------------------------------- 5 lines
 
 def test_lines_templates(spark):

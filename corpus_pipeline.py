@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from hirelens.llm import decontam, lines, minhash, pieces, toxicity
 from hirelens.llm.common import Scratch, ready, table
 
-#: A document with more than this share of its words in recurring lines is a copy of other
-#: documents; line dedup leaves it to the near-duplicate stage.
-MAX_LINE_SHARE = 0.5
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity is below the threshold."""
@@ -26,9 +22,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines of recurring templates; n_chars follows the text."""
+    """Documents without the lines of recurring templates; n_chars follows the text.  Lines that a
+    document shares with the first of its own near copies are left to the near-duplicate stage."""
     ready(spark)
-    out = lines.drop_recurring(docs, max_share=MAX_LINE_SHARE)
+    copies = Scratch(spark, "copies").write(minhash.near_duplicates(docs).select("doc_id", "text_key", "component_id", "kept"), "copies")
+    out = lines.drop_recurring(docs, copies=copies)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -87,15 +87,28 @@ def recurring(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return lines, templates.join(found, ["leaf", "template"]).select("leaf", "line_key", "first")
 
 
-def drop_recurring(docs: DataFrame, count_col: str | None = None, max_share: float = 1.0) -> DataFrame:
+def unless_copied(hits, found: DataFrame, copies: DataFrame) -> DataFrame:
+    """``hits(found)`` (doc, text_key, ...) without the lines whose kept instance is in a near copy."""
+    last = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(LAST_ID))
+    many = copies.filter(~F.col("kept")).select(last("component_id").alias("comp")).distinct()
+    of = copies.select(last("doc_id").alias("doc"), "text_key", last("component_id").alias("comp")).distinct().join(many, "comp", "left_semi")
+    firsts = of.filter(F.col("doc") != LAST_ID).groupBy(F.col("doc").alias("first")).agg(F.collect_set("comp").alias("near"))
+    return (hits(found.join(firsts, "first", "left")).join(of, ["doc", "text_key"], "left")
+            .filter(~F.coalesce(F.array_contains("near", F.col("comp")), F.lit(False))))
+
+
+def drop_recurring(docs: DataFrame, count_col: str | None = None, max_share: float = 1.0, copies: DataFrame | None = None) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``; ``count_col`` gets their number.
 
     A document that would lose more than ``max_share`` of its words is a copy of others rather
     than a text with recurring lines; it is left whole, for a near-duplicate operator to judge.
+    With ``copies`` (near copies as of ``minhash.near_duplicates``) a line whose kept instance is in
+    a near copy of the document stays: near copies lose the same lines, so that they stay near copies.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     lines, found = recurring(docs, scratch)
-    gone = (lines.join(found, ["leaf", "line_key"]).filter(F.col("doc") != F.col("first"))
+    hits = lambda found: lines.join(found, ["leaf", "line_key"]).filter(F.col("doc") != F.col("first"))
+    gone = ((hits(found) if copies is None else unless_copied(hits, found, copies))
             .groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pos", "n")).alias("__gone")))
     joined = docs.join(gone, (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)) == F.col("__doc"))
                        & (text_key(docs["text"]) == F.col("__key")), "left")

@@ -273,6 +273,23 @@ def test_lines_templates(spark):
     assert part[11] == rows[5][1]  # would lose all: left to document-level dedup
 
 
+def test_pipeline_drops_a_passage_from_short_texts(spark):
+    """No document is left whole for its share of recurring words; only near copies are left to the next stage."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    passage, own = words(rng, 60, 5000), [words(rng, 25, 5000) for _ in range(6)]
+    rows = [(i, f"{own[i]}\n{passage}") for i in range(6)]
+    long = "\n".join(words(rng, 20, 5000) for _ in range(8))
+    rows += [(10, f"{long}\n{passage}"), (11, f"{long}\n{passage}\nand more"), (12, f"{long}\n{passage}")]
+    docs = spark.createDataFrame(rows, DOC)
+    out = corpus_pipeline.drop_lines(spark, docs, SF)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got == {0: rows[0][1], **{i: own[i] for i in range(1, 6)}, 10: long, 11: f"{long}\nand more", 12: long}
+    kept = corpus_pipeline.drop_near_duplicates(spark, Scratch(spark, "t").write(out, "docs"), SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(6), 10]
+
+
 def test_long_passage_stays_once(spark):
     rng = random.Random(8)
     passage = words(rng, 60, 5000)

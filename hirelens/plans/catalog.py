@@ -338,12 +338,17 @@ def _scratch(spark, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+#: Records of one JSON-array file, about: files grow in number with the table, not in size.
+ARRAY_RECORDS = 10_000
+
+
 def q_s1_json_arrays(spark, sf):
     """S1 from files: the orders of each source as JSON-array files (one array per file), a
     corrupt and a missing one among them, read back and normalised."""
     root = _scratch(spark, "json-arrays")
     p = order_postings(spark, sf).filter(F.col("source").isin("linkedin", "upwork"))
-    arrays = (p.withColumn("bucket", F.pmod(F.col("input_seq"), F.lit(16))).groupBy(F.col("source").alias("kind"), "bucket")
+    files_ = -(-p.count() // ARRAY_RECORDS) or 1
+    arrays = (p.withColumn("bucket", F.pmod(F.xxhash64("input_seq"), F.lit(files_))).groupBy(F.col("source").alias("kind"), "bucket")
               .agg(F.concat(F.lit("["), F.array_join(F.collect_list(_as_json(p)), ","), F.lit("]")).alias("value")))
     arrays.write.partitionBy("kind", "bucket").text(root)
     spark.createDataFrame([("[{",)], "value string").write.text(f"{root}/broken")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, maxent, minhash, nndescent, pieces, sharding, token_counts, toxicity, urls
+from hirelens.llm import decontam, lines, maxent, minhash, nndescent, personal, pieces, sharding, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filters": urls.op8,
     "op9_sentencepiece": pieces.op9,
     "op10_sharding": sharding.op10,
+    "op11_personal_data": personal.op11,
 }
 
 ORACLE_SQL: dict[str, str] = {

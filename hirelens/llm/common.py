@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hirelens.session import checkpoint_dir, ship_package
 from hirelens.sources.tables import table
 
-__all__ = ["Scratch", "components", "fold_of", "ready", "table", "text_key"]
+__all__ = ["Scratch", "components", "fold_of", "join_keyed", "ready", "table", "text_key"]
 
 #: Rows of one Arrow batch: bounds the memory of a Python worker on long texts.
 ARROW_ROWS = 1000
@@ -61,6 +61,24 @@ def fold_of(doc_id: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % n, F.lit(0))
 
 
+#: Keys with more than one part in HOT_PARTS of the rows are joined by broadcast.
+HOT_PARTS = 512
+
+
+def join_keyed(rows: DataFrame, keyed: DataFrame, on: list[str], size: str) -> DataFrame:
+    """``rows`` joined (inner) with ``keyed``, which has one row per key and in ``size`` the number
+    of ``rows`` of that key.  The keys that hold more than 1/HOT_PARTS of the matching rows, fewer than
+    HOT_PARTS by definition, are broadcast; the others go by Spark's own choice of join.  So no task gets
+    a hot key's rows.  ``rows`` and ``keyed`` are read twice: pass written tables."""
+    total = keyed.agg(F.sum(size)).first()[0] or 0
+    bar = total // HOT_PARTS
+    hot = keyed.filter(F.col(size) > bar)
+    few = keyed.filter(F.col(size) <= bar)
+    near = rows.join(F.broadcast(hot), on)
+    far = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(few, on)
+    return near.unionByName(far)
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, comp) per node on an edge,
     comp the smallest node reachable.

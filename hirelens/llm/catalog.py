@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontam, lines, maxent, minhash, nndescent, personal, pieces, sharding, token_counts, toxicity, urls
+from hirelens.llm import codes, decontam, lines, maxent, minhash, nndescent, personal, pieces, sharding, token_counts, toxicity, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_sentencepiece": pieces.op9,
     "op10_sharding": sharding.op10,
     "op11_personal_data": personal.op11,
+    "op12_vector_codes": codes.op12,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -23,4 +24,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_embedding_near_dedup": nndescent.ORACLE,
     "op5_line_dedup": lines.ORACLE,
     "op6_minhash_near_dedup": minhash.ORACLE,
+    "op12_vector_codes": codes.ORACLE,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelens.llm import codes, decontam, lines, maxent, minhash, nndescent, personal, pieces, sharding, token_counts, toxicity, urls
+from hirelens.llm import codes, decontam, lines, maxent, minhash, nndescent, personal, pieces, sharding, token_counts, toxicity, turns, urls
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_sharding": sharding.op10,
     "op11_personal_data": personal.op11,
     "op12_vector_codes": codes.op12,
+    "op13_conversation_repair": turns.op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -25,4 +26,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": lines.ORACLE,
     "op6_minhash_near_dedup": minhash.ORACLE,
     "op12_vector_codes": codes.ORACLE,
+    "op13_conversation_repair": turns.ORACLE,
 }

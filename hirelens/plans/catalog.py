@@ -344,7 +344,8 @@ ARRAY_RECORDS = 10_000
 
 def q_s1_json_arrays(spark, sf):
     """S1 from files: the orders of each source as JSON-array files (one array per file), a
-    corrupt and a missing one among them, read back and normalised."""
+    corrupt and a missing one among them, read back in byte ranges and cleaned (validated, copies
+    over all files dropped, normalised)."""
     root = _scratch(spark, "json-arrays")
     p = order_postings(spark, sf).filter(F.col("source").isin("linkedin", "upwork"))
     files_ = -(-p.count() // ARRAY_RECORDS) or 1
@@ -353,7 +354,7 @@ def q_s1_json_arrays(spark, sf):
     arrays.write.partitionBy("kind", "bucket").text(root)
     spark.createDataFrame([("[{",)], "value string").write.text(f"{root}/broken")
     files = {"linkedin": f"{root}/kind=linkedin", "broken": f"{root}/broken", "gone": f"{root}/none", "upwork": f"{root}/kind=upwork"}
-    ok, _ = normalize.split_normalized(normalize.normalize(src.read_postings(spark, files).filter("record_ok"), ORDER_DICTIONARY))
+    ok, _ = pipelines.clean(src.read_postings(spark, files), near_dedup=False, dictionary=ORDER_DICTIONARY)
     return rounded(ok.select("id", "source", "company", "location", "remote", "posted_date",
                              F.array_join("skills", ",").alias("skills"), *_salary_cols()))
 

@@ -70,6 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def drop_path(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch tables that no plan reads any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 _SHIPPED: set[str] = set()
 
 

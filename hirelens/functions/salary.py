@@ -105,15 +105,26 @@ def to_iso(currency: Column) -> Column:
     return expr.otherwise(currency)
 
 
-def salary_tier(min_salary: Column, max_salary: Column, currency: Column, preferred: float) -> Column:
-    """Neutral 0.5 without figures, else tiers of the converted minimum."""
+def converted_minimum(min_salary: Column, currency: Column) -> Column:
+    """The minimum in USD, by the approximate factors; null counts as 0."""
     mn = F.coalesce(min_salary.cast("double"), F.lit(0.0))
-    mx = F.coalesce(max_salary.cast("double"), F.lit(0.0))
     conv = mn
     for iso, factor in TO_USD.items():
         conv = F.when((currency == F.lit(iso)) & (mn > 0), mn * F.lit(factor)).otherwise(conv)
-    p = float(preferred or 0)
-    return (F.when((mn == 0) & (mx == 0), F.lit(0.5))
+    return conv
+
+
+def salary_tier(min_salary: Column, max_salary: Column, currency: Column, preferred: float | Column) -> Column:
+    """Neutral 0.5 without figures, else tiers of the converted minimum."""
+    mn = F.coalesce(min_salary.cast("double"), F.lit(0.0))
+    mx = F.coalesce(max_salary.cast("double"), F.lit(0.0))
+    return tier_of((mn != 0) | (mx != 0), converted_minimum(min_salary, currency), preferred)
+
+
+def tier_of(has_figures: Column, conv: Column, preferred: float | Column) -> Column:
+    """The tier of a converted minimum against the wanted one (a number, or a column of a profile table)."""
+    p = F.coalesce(preferred.cast("double"), F.lit(0.0)) if isinstance(preferred, Column) else float(preferred or 0)
+    return (F.when(~has_figures, F.lit(0.5))
             .when(conv >= p * 1.5, F.lit(1.0))
             .when(conv >= p * 1.2, F.lit(0.9))
             .when(conv >= p, F.lit(0.8))

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.functions import dates, fmt, salary, skills, text
-from hirelens.operators import dedup, load, normalize, pages, rank, report, scoring, search, validate
+from hirelens.operators import dedup, load, normalize, pages, profiles, rank, report, scoring, search, validate
 from hirelens.plans import pipelines
 from hirelens.session import scratch_path
 from hirelens.sources import postings as src
-from hirelens.sources.tables import doc_postings, order_postings, table
+from hirelens.sources.tables import doc_postings, doc_profiles, order_postings, table
 
 # ------------------------------------------------------------------ bindings
 # Profiles whose terms occur in the driver tables (the shipped profile's terms do not).
@@ -392,6 +392,12 @@ def q_j5_profiles(spark, sf):
     return rounded(rank.top_k_per_group(scored, 10, "profile").select("profile", "input_seq", "rank", "match_score"))
 
 
+def q_j5_profile_table(spark, sf):
+    """J5 for a table of profiles (one a document): the ten best postings of each."""
+    best = profiles.top_postings(doc_cleaned(spark, sf), doc_profiles(spark, sf), 10)
+    return rounded(best.select("profile", "input_seq", "rank", "match_score"))
+
+
 def q_f6_rejects(spark, sf):
     """Rejects of the clean stage over the documents: validation reasons and unparsable salaries."""
     _, bad = pipelines.clean(doc_postings(spark, sf), near_dedup=False, dictionary=DOC_DICTIONARY)
@@ -457,6 +463,7 @@ QUERIES = {
     "S4_raw_landing": q_s4_raw_landing,
     "S5_fresh": q_s5_fresh,
     "J5_profiles": q_j5_profiles,
+    "J5_profile_table": q_j5_profile_table,
     "F6_rejects": q_f6_rejects,
     "A6_stage_metrics": q_a6_stage_metrics,
     "S13_listing_ids": q_s13_listing_ids,

@@ -189,6 +189,46 @@ scored AS (SELECT *, {orders.MATCH} AS match_score FROM parts)
 SELECT input_seq, source, {orders.R} FROM (SELECT * FROM scored ORDER BY match_score DESC, input_seq LIMIT 20)"""
 
 
+def profile_table_sql() -> str:
+    """Every profile against every posting, by comparing all."""
+    hits = doc_skills_sql("description", DOC_DICTIONARY).replace("array_to_string(", "").rsplit(", ',')", 1)[0]
+    stop = "[" + ", ".join(q(w) for w in config.STOP_WORDS) + "]"
+    text = f"regexp_replace(lower({clean_sql('title')} || ' ' || {clean_sql('description')}), {q('[^' + WORD[1:-1] + WS[1:-1] + ']')}, ' ', 'g')"
+    tokens = lambda x: f"list_filter(regexp_extract_all({x}, {q(WORD + '{2,}')}), lambda t: NOT list_contains({stop}, t))"
+    grams = lambda tk: f"list_concat({tk}, list_transform(range(1, len({tk})), lambda i: {tk}[i] || ' ' || {tk}[i + 1]))"
+    part = lambda terms, test: f"CAST(len(list_filter({terms}, lambda t: {test})) AS DOUBLE)"
+    share = lambda terms, test: f"CASE WHEN len({terms}) = 0 THEN 1.0::DOUBLE ELSE {part(terms, test)} / len({terms}) END"
+    skill = "len(list_filter(skills, lambda s: contains(s, t))) > 0"
+    p = "min_salary"
+    weights = [("skill_score", 0.4, 0.0, 0.3), ("location_score", 0.2, 0.0, 0.1), ("salary_score", 0.2, 1.0, 0.2), ("company_score", 0.1, 0.0, 0.1), ("description_score", 0.1, 0.0, 0.3)]
+    match = " + ".join(f"{c} * CASE pid % 5 WHEN 0 THEN {a}::DOUBLE WHEN 1 THEN {b}::DOUBLE ELSE {o}::DOUBLE END" for c, a, b, o in weights)
+    return f"""WITH {doc_rejects_cte()},
+rows_ AS MATERIALIZED (SELECT input_seq, {text} AS clean, {hits} AS skills, salary_min, salary_max,
+  coalesce(salary_min, 0) * CASE salary_currency WHEN '€' THEN 1.1::DOUBLE WHEN 'EUR' THEN 1.1::DOUBLE WHEN '£' THEN 1.3::DOUBLE WHEN 'GBP' THEN 1.3::DOUBLE ELSE 1.0::DOUBLE END AS conv
+  FROM valid v LEFT JOIN sal USING (input_seq) WHERE failed IS NOT TRUE),
+w AS (SELECT doc_id AS pid, regexp_extract_all(lower(text), '[a-z]{{8,}}') AS w FROM documents),
+prof AS MATERIALIZED (SELECT pid, CASE WHEN pid % 50 = 0 THEN ['de', 'la'] ELSE w[1:2] END AS must, CASE WHEN pid % 50 = 0 THEN ['und', 'tion'] ELSE w[3:4] END AS nice,
+  w[5:7] AS kw, w[8:8] AS ex, (pid % 7) * 1000::DOUBLE AS min_salary FROM w),
+voc AS (SELECT pid, {tokens("array_to_string(list_concat(must, nice, kw), ' ')")} AS tk FROM prof),
+vc AS (SELECT pid, g, count(*) AS c FROM (SELECT pid, unnest({grams('tk')}) AS g FROM voc) GROUP BY ALL),
+vec AS MATERIALIZED (SELECT pid, g, c / sqrt(sum(c * c) OVER (PARTITION BY pid)) AS wt FROM vc),
+ptk AS (SELECT input_seq, {tokens('clean')} AS tk FROM rows_),
+tf AS (SELECT input_seq, g, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT input_seq, unnest({grams('tk')}) AS g FROM ptk) WHERE g IN (SELECT g FROM vec) GROUP BY ALL),
+dots AS (SELECT pid, input_seq, list(tf * wt ORDER BY g) AS d, list(tf * tf ORDER BY g) AS n FROM tf JOIN vec USING (g) GROUP BY ALL),
+cos AS (SELECT pid, input_seq, list_reduce(list_concat([0.0::DOUBLE], d), lambda a, x: a + x) / sqrt(list_reduce(list_concat([0.0::DOUBLE], n), lambda a, x: a + x)) AS cosine FROM dots),
+parts AS (SELECT pid, input_seq, {share('must', skill)} * 0.7::DOUBLE + {share('nice', skill)} * 0.3::DOUBLE AS skill_score,
+  CASE WHEN pid % 2 = 0 THEN 1.0 WHEN pid % 8 = 1 THEN 0.0 WHEN pid % 4 = 0 THEN 0.8 ELSE 0.5 END::DOUBLE AS location_score,
+  CASE WHEN coalesce(salary_min, 0) = 0 AND coalesce(salary_max, 0) = 0 THEN 0.5 WHEN conv >= {p} * 1.5::DOUBLE THEN 1.0 WHEN conv >= {p} * 1.2::DOUBLE THEN 0.9
+    WHEN conv >= {p} THEN 0.8 WHEN conv >= {p} * 0.8::DOUBLE THEN 0.6 WHEN conv > 0 THEN 0.4 ELSE 0.5 END::DOUBLE AS salary_score,
+  CASE pid % 3 WHEN 0 THEN 0.7 ELSE 0.5 END::DOUBLE AS company_score,
+  greatest(0.0::DOUBLE, least(1.0::DOUBLE, (coalesce(cosine, 0.0) * 0.6::DOUBLE + {part('kw', 'contains(clean, t)')} / greatest(len(kw), 1) * 0.4::DOUBLE)
+    * (1.0::DOUBLE - {part('ex', 'contains(clean, t)')} / greatest(len(ex), 1) * 0.7::DOUBLE))) AS description_score
+  FROM prof CROSS JOIN rows_ LEFT JOIN cos USING (pid, input_seq)),
+scored AS (SELECT pid, input_seq, {match} AS match_score FROM parts)
+SELECT CAST(pid AS VARCHAR) AS profile, input_seq, rank, round(match_score, 6) AS match_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY pid ORDER BY match_score DESC, input_seq) AS rank FROM scored) WHERE rank <= 10"""
+
+
 def order_skills_cte() -> str:
     """Cleaned skills of the orders adapter: part words for Upwork-shaped rows (status O)
     plus dictionary words found in the description (the sorted part names)."""
@@ -228,6 +268,7 @@ def oracle_sql() -> dict[str, str]:
         "M2_text_cosine": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[0]}, 6) AS cosine FROM postings",
         "M4_description_score": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[1]}, 6) AS description_score FROM postings",
         "flagship_doc_top20": flagship_sql,
+        "J5_profile_table": profile_table_sql,
         "F6_rejects": lambda: f"""WITH {doc_rejects_cte()} SELECT input_seq, reject_reason FROM tagged WHERE reject_reason IS NOT NULL
             UNION ALL SELECT input_seq, 'salary_unparsable' FROM sal WHERE failed""",
         "A6_stage_metrics": lambda: f"""WITH {doc_rejects_cte()}, n AS (SELECT (SELECT count(*) FROM tagged) AS a, (SELECT count(*) FROM tagged WHERE reject_reason IS NULL) AS b,

@@ -35,6 +35,27 @@ def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doc_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile table from ``documents``, one profile a document: its terms are the text's first words of
+    eight plain letters or more (every 50th takes frequent ones), the rest follows from the id."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{8,}"), F.lit(0)).alias("w"))
+    i, w = F.col("doc_id"), F.col("w")
+    some = lambda *x: F.array(*map(F.lit, x)) if x else F.array().cast("array<string>")
+    usual, salary = i % 5 == 0, i % 5 == 1
+    weight = lambda only, other: F.when(usual, F.lit(None).cast("double")).when(salary, F.lit(only)).otherwise(F.lit(other))
+    return d.select(
+        i.cast("string").alias("profile"),
+        F.when(i % 50 == 0, some("de", "la")).otherwise(F.slice(w, 1, 2)).alias("must_have"),
+        F.when(i % 50 == 0, some("und", "tion")).otherwise(F.slice(w, 3, 2)).alias("nice_to_have"),
+        F.slice(w, 5, 3).alias("keywords"), F.slice(w, 8, 1).alias("excluded"),
+        F.when(i % 4 == 0, some("Remote")).otherwise(some("Nowhere")).alias("countries"),
+        F.when(i % 8 == 1, some("remot")).otherwise(some()).alias("exclude_regions"),
+        F.when(i % 3 == 0, some()).when(i % 3 == 1, some("startup")).otherwise(some("startup", "tech", "established")).alias("company_types"),
+        (i % 2 == 0).alias("remote"), ((i % 7) * 1000).cast("double").alias("min_salary"),
+        weight(0.0, 0.3).alias("skill_match_weight"), weight(0.0, 0.1).alias("location_weight"), weight(1.0, 0.2).alias("salary_weight"),
+        weight(0.0, 0.1).alias("company_weight"), weight(0.0, 0.3).alias("job_description_weight"))
+
+
 def order_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: sorted distinct words of its parts' names, and the names as text.
 

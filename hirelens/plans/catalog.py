@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.functions import dates, fmt, salary, skills, text
-from hirelens.operators import dedup, load, normalize, pages, profiles, rank, report, scoring, search, validate
+from hirelens.operators import dedup, load, normalize, pages, profiles, rank, report, scoring, search, text_index, validate
 from hirelens.plans import pipelines
 from hirelens.session import scratch_path
 from hirelens.sources import postings as src
@@ -288,6 +288,18 @@ def q_s2_search(spark, sf):
     return r.select("criterion", "result_pos", "input_seq")
 
 
+def q_s2_indexed_search(spark, sf):
+    """S2 for a table of criteria (every title type with every country) over the q-gram index."""
+    c = order_cleaned(spark, sf).select("input_seq", "title", "location", "description")
+    path = _scratch(spark, "text-index")
+    text_index.write_index(c, path)
+    kinds = table(spark, sf, "orders").select(F.concat(F.lit("order "), F.lower("o_orderpriority")).alias("title")).distinct()
+    places = table(spark, sf, "nation").select(F.col("n_name").alias("location"))  # 25 rows by definition
+    grid = kinds.join(F.broadcast(places.groupBy().agg(F.collect_list("location").alias("p"))), how="cross").select("title", F.explode("p").alias("location"))
+    grid = grid.withColumns({"criterion": F.concat_ws(" @ ", "title", "location"), "keywords": F.array(*map(F.lit, SEARCH["keywords"]))})
+    return text_index.search_index(spark, path, grid, SEARCH["max_results"]).withColumnRenamed("seq", "input_seq")
+
+
 def q_j6_not_notified(spark, sf):
     """Rows qualifying for notification that were not in yesterday's mail (its top 10)."""
     scored = order_scored(spark, sf)
@@ -455,6 +467,7 @@ QUERIES = {
     "S11_job_skills": q_s11_job_skills,
     "S12_client_details": q_s12_client_details,
     "S2_search": q_s2_search,
+    "S2_indexed_search": q_s2_indexed_search,
     "J6_not_notified": q_j6_not_notified,
     "S6_S7_csv_roundtrip": q_s6_s7_csv_roundtrip,
     "S8_top_csv": q_s8_top_csv,

@@ -190,6 +190,11 @@ ORACLE = {
     "S12_client_details": f"""WITH {_listed} SELECT id AS job_id, client_jobs_posted AS client_total_jobs_posted, client_rating, location AS client_country,
         engagement_duration, weekly_hours, job_type AS project_type FROM listed WHERE source = 'upwork'""",
     "S2_search": f"WITH {CLEANED} {_search}",
+    "S2_indexed_search": f"""WITH {CLEANED}, kinds AS (SELECT DISTINCT 'order ' || lower(o_orderpriority) AS t FROM orders)
+        SELECT t || ' @ ' || n_name AS criterion, row_number() OVER (PARTITION BY t, n_name ORDER BY input_seq) AS result_pos, input_seq
+        FROM cleaned JOIN kinds ON contains(lower(title), t) JOIN nation ON contains(lower(location), lower(n_name))
+        WHERE {any_of('lower(title)', ['ring', 'widget'])} OR {any_of('lower(description)', ['ring', 'widget'])}
+        QUALIFY row_number() OVER (PARTITION BY t, n_name ORDER BY input_seq) <= 100""",
     "S1_json_ingest": f"""WITH {CLEANED} SELECT input_seq, source, company, location, remote, posted_date, array_to_string(skills, ',') AS skills, {SAL} FROM cleaned""",
     "S6_S7_csv_roundtrip": f"WITH {CLEANED} SELECT input_seq, id, title, source, remote, array_to_string(skills, ',') AS skills, {SAL} FROM cleaned",
     "S6_cleaned_parquet": f"WITH {CLEANED} SELECT input_seq, id, source, title, remote, posted_date, array_to_string(skills, ',') AS skills, {SAL} FROM cleaned",

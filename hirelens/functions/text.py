@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]"
 NON_WORD = r"[^\p{L}\p{N}_]"
+# The same class for look-behind: Java looks back by a whole character, not by half a surrogate pair,
+# only if the pattern itself holds a character beyond U+FFFF (here a letter, so the class is the same).
+WORD_BEFORE = "[\\p{L}\\p{N}_\U0001D4B3]"
 # Python's str.isspace(): Java's white-space set plus the ASCII separators 0x1C-0x1F.
 SPACE_CHARS = r"\t\n\x{0b}\f\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = f"[{SPACE_CHARS}]"
@@ -67,7 +70,7 @@ def word_regex(term: str) -> str:
     body = re.escape(term)  # escapes only non-alphanumerics: valid Java as well
     first_word = bool(re.match(r"\w", term[:1]))
     last_word = bool(re.match(r"\w", term[-1:]))
-    head = f"(?<!{WORD})" if first_word else f"(?<={WORD})"
+    head = f"(?<!{WORD_BEFORE})" if first_word else f"(?<={WORD_BEFORE})"
     tail = f"(?!{WORD})" if last_word else f"(?={WORD})"
     return head + body + tail
 

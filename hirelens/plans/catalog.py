@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.functions import dates, fmt, salary, skills, text
-from hirelens.operators import dedup, load, normalize, pages, profiles, rank, report, scoring, search, text_index, validate
+from hirelens.operators import dedup, dictionary, load, normalize, pages, profiles, rank, report, scoring, search, text_index, validate
 from hirelens.plans import pipelines
 from hirelens.session import scratch_path
 from hirelens.sources import postings as src
@@ -130,6 +130,17 @@ def q_p8_doc_skills(spark, sf):
     return p.select("input_seq", F.array_join(sk, ",").alias("skills"))
 
 
+def q_p8_dictionary_table(spark, sf):
+    """P8 for a dictionary table: the words and two-word phrases of all benchmark items and the terms of P8_doc_skills."""
+    words = F.split(F.lower("text"), " ")
+    listed = table(spark, sf, "benchmark").select(F.explode(F.array(words)).alias("w"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    phrases = F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.concat_ws(" ", a, b))
+    terms = listed.select(F.explode(F.concat("w", phrases)).alias("term")).unionByName(spark.createDataFrame([(t,) for t in DOC_DICTIONARY], "term string"))
+    out = dictionary.extract_skills_table(doc_postings(spark, sf).select("input_seq", "description"), terms)
+    return out.select("input_seq", F.size("skills").alias("n_skills"), F.md5(F.array_join("skills", ",").cast("binary")).alias("skills_md5"))
+
+
 def q_p11_doc_salary(spark, sf):
     p = doc_postings(spark, sf).select("input_seq", salary.parse_salary_text(F.col("description")).alias("salary"))
     return p.filter(F.col("salary").isNotNull()).select(
@@ -440,6 +451,7 @@ QUERIES = {
     "D3_dedup_near": q_d3_dedup_near,
     "P2_clean_text": q_p2_clean_text,
     "P8_doc_skills": q_p8_doc_skills,
+    "P8_dictionary_table": q_p8_dictionary_table,
     "P11_doc_salary": q_p11_doc_salary,
     "M2_text_cosine": q_m2_text_cosine,
     "M4_description_score": q_m4_description_score,

@@ -189,6 +189,28 @@ scored AS (SELECT *, {orders.MATCH} AS match_score FROM parts)
 SELECT input_seq, source, {orders.R} FROM (SELECT * FROM scored ORDER BY match_score DESC, input_seq LIMIT 20)"""
 
 
+def dictionary_table_sql() -> str:
+    """Terms that end at word boundaries: every stretch of the text from a boundary to a boundary with one or two words is
+    compared with the terms as text; the listed ones by their patterns."""
+    padded = "(' ' || lower(coalesce(text, '')) || ' ')"
+    hits = ", ".join(f"CASE WHEN regexp_matches({padded}, {q(_word_pattern(t))}) THEN {q(t)} END" for t in DOC_DICTIONARY)
+    ahead = ", ".join(["x"] + [f"lead(x, {k}) OVER o" for k in range(1, 13)])  # terms have fewer words and marks
+    return f"""WITH w AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark),
+terms AS MATERIALIZED (SELECT DISTINCT term FROM (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w) WHERE term <> ''),
+parts AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), {q(WORD + '+|' + NON_WORD)}) AS p FROM documents),
+flat AS (SELECT doc_id, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM parts),
+spots AS (SELECT doc_id, i, x, regexp_matches(x, {q('^' + WORD)}) AS word, lag(regexp_matches(x, {q('^' + WORD)})) OVER o AS before, [{ahead}] AS p FROM flat WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+-- a term may begin at a word, or at another character after a word; it ends at a word, or at another character before one
+tl AS (SELECT term, regexp_extract_all(term, {q(WORD + '+|' + NON_WORD)}) AS p FROM terms),
+cand AS (SELECT a.doc_id, tl.term, len(tl.p) AS n, a.p FROM spots a JOIN tl ON tl.p[1] = a.x AND (a.word OR a.before)),
+found AS (SELECT DISTINCT doc_id, term FROM cand WHERE array_to_string(p[1:n], '') = term
+  AND (regexp_matches(p[n], {q('^' + WORD)}) OR coalesce(regexp_matches(p[n + 1], {q('^' + WORD)}), false))),
+usual AS (SELECT doc_id, unnest(list_filter([{hits}], lambda x: x IS NOT NULL)) AS term FROM documents),
+both_ AS (SELECT * FROM found UNION SELECT * FROM usual),
+l AS (SELECT doc_id, list(term ORDER BY term) AS t FROM both_ GROUP BY doc_id)
+SELECT doc_id AS input_seq, CAST(coalesce(len(t), 0) AS INT) AS n_skills, md5(coalesce(array_to_string(t, ','), '')) AS skills_md5 FROM documents LEFT JOIN l USING (doc_id)"""
+
+
 def profile_table_sql() -> str:
     """Every profile against every posting, by comparing all."""
     hits = doc_skills_sql("description", DOC_DICTIONARY).replace("array_to_string(", "").rsplit(", ',')", 1)[0]
@@ -269,6 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "M4_description_score": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[1]}, 6) AS description_score FROM postings",
         "flagship_doc_top20": flagship_sql,
         "J5_profile_table": profile_table_sql,
+        "P8_dictionary_table": dictionary_table_sql,
         "F6_rejects": lambda: f"""WITH {doc_rejects_cte()} SELECT input_seq, reject_reason FROM tagged WHERE reject_reason IS NOT NULL
             UNION ALL SELECT input_seq, 'salary_unparsable' FROM sal WHERE failed""",
         "A6_stage_metrics": lambda: f"""WITH {doc_rejects_cte()}, n AS (SELECT (SELECT count(*) FROM tagged) AS a, (SELECT count(*) FROM tagged WHERE reject_reason IS NULL) AS b,

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import Scratch, join_keyed, table
+from hirelens.llm.common import Scratch, claim, join_keyed, table
 
 PARTS = 4
 ENTRIES = 256
@@ -156,6 +156,7 @@ CODES = "vec_id {id}, no_label boolean, label_key string, code string, error lon
 def sums_of(kept: DataFrame, books, width: int) -> DataFrame:
     """part, entry, at (place in the part), total, n: sums of the parts at each entry, by Orchard's search in each task."""
     def run(batches):
+        claim("codes")
         lists = [Book(b) for b in books.value]
         step = width // PARTS
         total = [np.zeros((len(b.entries), step), dtype=object) for b in lists]
@@ -199,6 +200,7 @@ def encode(kept: DataFrame, books: list[np.ndarray], width: int) -> DataFrame:
     sent = kept.sparkSession.sparkContext.broadcast(books)
 
     def run(batches):
+        claim("codes")
         lists = [Book(b) for b in sent.value]
         for batch, v in blocks(batches, width):
             pairs = [lists[p].nearest(v[:, s]) for p, s in enumerate(split(width))]

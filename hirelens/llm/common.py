@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +15,29 @@ from hirelens.operators.joins import join_keyed
 from hirelens.session import checkpoint_dir, ship_package
 from hirelens.sources.tables import table
 
-__all__ = ["Scratch", "components", "fold_of", "join_keyed", "ready", "table", "text_key"]
+__all__ = ["Scratch", "claim", "components", "fold_of", "join_keyed", "ready", "table", "text_key"]
 
-#: Rows of one Arrow batch: bounds the memory of a Python worker on long texts.
+#: Rows and bytes of one Arrow batch: bound the memory of a Python worker, on long texts too.
 ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
+
+#: The operator whose caches this Python worker holds, and what frees them.
+_HOLDER: list = [None, None]
+
+
+def claim(operator: str, free: Callable[[], None] | None = None) -> None:
+    """Called in a worker before an operator computes: what another operator keeps there between its
+    tasks is freed first, so that a reused worker never holds the caches of two."""
+    if _HOLDER[0] == operator:
+        return
+    if _HOLDER[1] is not None:
+        _HOLDER[1]()
+    _HOLDER[:] = [operator, free]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+    if trim is not None:
+        trim(0)
 
 
 def ready(spark: SparkSession) -> None:
@@ -22,6 +45,7 @@ def ready(spark: SparkSession) -> None:
     checkpoint_dir(spark)
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 class Scratch:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.llm.common import ready, table
+from hirelens.llm.common import claim, ready, table
 
 RATE = 0.2
 MIN_PIECE = 3
@@ -243,6 +243,7 @@ _FINDERS: dict[int, Finder] = {}
 
 
 def _finder(bc) -> Finder:
+    claim("decontam", _FINDERS.clear)
     key = bc.value[0]
     if key not in _FINDERS:
         _FINDERS.clear()

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import Scratch, fold_of, table
+from hirelens.llm.common import Scratch, claim, fold_of, table
 
 SINGLES = 11
 GROUPS = 20
@@ -81,6 +81,7 @@ def group_of(word: bytes) -> int:
 def word_counts(texts: DataFrame) -> DataFrame:
     """(key, grp, n) of all words; each task's table is emitted when it is full."""
     def run(batches):
+        claim("maxent", _READERS.clear)
         counts: Counter = Counter()
 
         def table_():
@@ -264,6 +265,7 @@ _READERS: dict = {}
 
 
 def _reader(bc) -> Reader:
+    claim("maxent", _READERS.clear)
     counts = bc.value
     if _READERS.get("counts") is not counts:
         _READERS.clear()

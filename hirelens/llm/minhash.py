@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.llm.common import Scratch, components, table, text_key
+from hirelens.llm.common import Scratch, claim, components, table, text_key
 
 SHINGLE = 5
 MINIMA = 128
@@ -106,6 +106,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                            T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches):
+        claim("minhash")
         for b in batches:
             cls, n, bands = [], [], []
             for t in b.column(2).to_pylist():
@@ -124,6 +125,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 def shingle_sets(texts: DataFrame) -> DataFrame:
     """(cls, text) -> (cls, n, shingles: sorted hash array, packed)."""
     def run(batches):
+        claim("minhash")
         longs = pa.list_(pa.int64())
         for b in batches:
             sets = [shingle_hashes(words_of(t)) for t in b.column(1).to_pylist()]

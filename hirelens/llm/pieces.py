@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import ready, table
+from hirelens.llm.common import claim, ready, table
 
 SPACE = "▁"
 #: The model file is sent to the workers whole; a larger one is refused.
@@ -150,6 +150,7 @@ _LOADED: dict[int, Pieces] = {}
 
 
 def _by_proto(proto: bytes) -> Pieces:
+    claim("pieces", _LOADED.clear)
     key = hash(proto)
     if key not in _LOADED:
         _LOADED.clear()

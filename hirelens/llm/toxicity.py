@@ -31,7 +31,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import Scratch, fold_of, ready, table
+from hirelens.llm.common import Scratch, claim, fold_of, ready, table
 
 MAX_LABELLED = 20_000
 MAX_LEXICON = 5_000
@@ -128,6 +128,7 @@ def entries_of(text: str) -> set[str]:
 def mine_lexicon(rows: DataFrame) -> list[str]:
     """Entries of (text, toxic) whose documents are toxic nearly always."""
     def count(batches):
+        claim("toxicity", _forget)
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for b in batches:
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -154,8 +155,13 @@ def mine_lexicon(rows: DataFrame) -> list[str]:
 _LOADED: list = [None, None]
 
 
+def _forget() -> None:
+    _LOADED[:] = [None, None]
+
+
 def _loaded(entries: list[str]) -> Lexicon:
     """The worker's lexicon, kept between tasks with the tokens it knows."""
+    claim("toxicity", _forget)
     if _LOADED[0] is not entries:
         _LOADED[:] = [entries, Lexicon(entries)]
     return _LOADED[1]

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import Scratch, table
+from hirelens.llm.common import Scratch, claim, table
 
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 #: Runs of one piece.
@@ -255,6 +255,12 @@ def direct(runs) -> tuple[str, int]:
 short = functools.lru_cache(maxsize=100_000)(direct)
 
 
+def forget() -> None:
+    """Free what a worker remembers of runs and conversations."""
+    for cache in (power, _before, _unroll, short):
+        cache.cache_clear()
+
+
 def as_batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [[]] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -272,6 +278,7 @@ def pieces(sets: DataFrame, most: int = PIECE) -> DataFrame:
     schema = pa.schema([(c.split()[0], arrow_type(c.split()[1].replace("long", "bigint"))) for c in ddl.split(", ")])
 
     def run(batches):
+        claim("turns", forget)
         place, pending, out = TaskContext.get().partitionId() << 40, [], []
         # conversations at either end of the task may go on in the next one
         outer, now = True, None
@@ -324,6 +331,7 @@ def linked(parts: DataFrame, scratch: Scratch) -> DataFrame:
         return pd.DataFrame({"place": g["place"], "after": out[::-1], "cost": end[0], "illegal": illegal, "final": [False] * (len(g) - 1) + [True]})
 
     def ways(batches):
+        claim("turns", forget)
         for batch in batches:
             rows = []
             for place, symbols, lengths, after in zip(*[batch.column(c).to_pylist() for c in ("place", "symbols", "lengths", "after")]):

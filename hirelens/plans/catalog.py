@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.functions import dates, fmt, salary, skills, text
-from hirelens.operators import dedup, dictionary, load, normalize, pages, profiles, rank, report, scoring, search, text_index, validate
+from hirelens.operators import dedup, dictionary, load, normalize, notify_log, pages, profiles, rank, report, scoring, search, text_index, validate
 from hirelens.plans import pipelines
 from hirelens.session import scratch_path
 from hirelens.sources import postings as src
 from hirelens.sources.tables import doc_postings, doc_profiles, order_postings, table
+from hirelens.streaming import ingest
 
 # ------------------------------------------------------------------ bindings
 # Profiles whose terms occur in the driver tables (the shipped profile's terms do not).
@@ -431,6 +432,80 @@ def q_a6_stage_metrics(spark, sf):
     return pipelines.clean_metrics(doc_postings(spark, sf), near_dedup=False, dictionary=DOC_DICTIONARY)
 
 
+def q_a6_observed(spark, sf):
+    """A6 for the documents' clean stage and the load of the text export, observed while the stages are written."""
+    _, _, steps = pipelines.clean_observed(doc_postings(spark, sf), _scratch(spark, "observed"), dictionary=DOC_DICTIONARY)
+    _, _, loaded = pipelines.load_observed(_text_export(spark, sf), _scratch(spark, "loaded"), RUN_DATE)
+    return spark.createDataFrame(steps + loaded, "stage string, n_in long, n_out long, n_dropped long")
+
+
+def _text_export(spark, sf) -> DataFrame:
+    """The scored orders as a CSV export read back as text, some cells of it spoilt."""
+    s = order_scored(spark, sf)
+    n, text = F.col("input_seq"), lambda c: F.col(c).cast("string")
+    spoilt = {"match_score": F.when(n % 11 == 0, "n/a").when(n % 19 == 0, "").otherwise(text("match_score")),
+              "salary_score": F.when(n % 13 == 0, "1e20").otherwise(text("salary_score")),
+              "posted_date": F.when(n % 17 == 0, "soon").otherwise(text("posted_date")),
+              "salary": F.to_json("salary"), "skills": F.array_join("skills", ","), "remote": text("remote")}
+    kept = ["input_seq", "id", "title", "description", "source", "url", "location", "city", "company", "job_type", "employment_type", *scoring.SCORES]
+    path = _scratch(spark, "text-export")
+    (s.select(*[c for c in kept if c not in spoilt], *[v.alias(c) for c, v in spoilt.items()])
+     .write.option("header", True).option("escape", '"').csv(path))
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return back.withColumn("input_seq", F.col("input_seq").cast("bigint"))
+
+
+def q_s9_load_rejects(spark, sf):
+    """S9/X12 from text: the rows that load, with exact figures, and those that do not, with the reason."""
+    listings, bad = load.load_text(_text_export(spark, sf), RUN_DATE)
+    exact = order_scored(spark, sf).select("input_seq", F.col("match_score").alias("s"))
+    ok = listings.join(exact, "input_seq").select("input_seq", F.lit("loaded").alias("status"), F.lit(None).cast("string").alias("reject_value"), "posted_date",
+                                                  (F.abs(F.col("match_score") - F.col("s")) < 0.000051).alias("exact"))
+    return ok.unionByName(bad.select("input_seq", F.concat_ws(": ", "reject_column", "reject_reason").alias("status"), "reject_value",
+                                     F.lit(None).cast("date").alias("posted_date"), F.lit(None).cast("boolean").alias("exact")))
+
+
+def q_j6_once_per_profile(spark, sf):
+    """J6 for two profiles over three epochs, the second one run twice: what each epoch sent."""
+    salary_only = {**ORDER_PROFILE, "scoring": {**dict.fromkeys(ORDER_PROFILE["scoring"], 0.0), "salary_weight": 1.0}}
+    scored = scoring.score_profiles(order_cleaned(spark, sf), {"full": ORDER_PROFILE, "salary": salary_only}, company_terms=ORDER_COMPANY_TERMS)
+    scored = src.write_table(scored.select("profile", "id", "input_seq", "match_score"), _scratch(spark, "scored"))
+    log, out = _scratch(spark, "notified"), None
+    for turn, (epoch, day) in enumerate([(1, "2025-01-01"), (2, "2025-01-02"), (2, "2025-01-02"), (3, "2025-01-03")]):
+        sent = notify_log.notify_once(scored, log, epoch, day).select(F.lit(turn).alias("turn"), "profile", "id", "rank", "notified_on")
+        out = sent if out is None else out.unionByName(sent)
+    return out
+
+
+#: Ends of the event times of the landings of S4_stream_dedup.
+LANDINGS = ["1997-01-01", "1999-01-01", "2001-01-01", "2003-01-01", "2100-01-01"]
+
+
+def q_s4_stream_dedup(spark, sf):
+    """Streaming S4/D1 with bounded state: five landings of the orders by event time, each run when it has landed.  A
+    third of the orders come again a day later (dropped), some of the early ones 1,600 days later (new postings), and
+    in the last landing changed ones from before 2000 (late, dropped)."""
+    landing, out, state = (_scratch(spark, f"stream-{x}") for x in ("landing", "out", "state"))
+    p = order_postings(spark, sf)
+    days = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("date").alias("day"))
+    p = src.write_table(p.join(days, p["input_seq"] == days["k"]).select(p["*"], "day"), _scratch(spark, "stream-source"))
+    n = F.col("input_seq")
+    copies = [(p, 0), (p.filter(n % 3 == 0), 1), (p.filter((n % 7 == 0) & (F.col("day") < "1999-01-01")), 1600)]
+    rows, late = None, p.filter((n % 10 == 1) & (F.col("day") < "2000-01-01")).withColumn("title", F.concat(F.lit("Changed "), "title"))
+    for df, shift in copies:
+        c = df.withColumn("collected_on", F.date_add("day", shift)).withColumn("landing", F.col("collected_on"))
+        rows = c if rows is None else rows.unionByName(c)
+    rows = rows.unionByName(late.withColumn("collected_on", F.col("day")).withColumn("landing", F.lit("2099-01-01").cast("date")))
+    rows = rows.withColumn("collected_at", F.concat(F.col("collected_on").cast("string"), F.lit("T00:00:00Z"))).drop("day", "collected_on")
+    low = "0001-01-01"
+    for high in LANDINGS:
+        part = rows.filter((F.col("landing") >= low) & (F.col("landing") < high)).drop("landing")
+        part.select(_as_json(part).alias("value")).write.mode("append").text(landing)
+        ingest.run_available(spark, landing, out, state, lambda b: b.select("input_seq", "title", F.col("event_time").cast("date").alias("collected_on")))
+        low = high
+    return spark.read.schema("input_seq long, title string, collected_on date, batch int").parquet(out).select("input_seq", "title", "collected_on")
+
+
 def q_s13_listing_ids(spark, sf):
     return pages.extract_listing_ids(table(spark, sf, "pages"), **PAGE_LINKS)
 
@@ -491,6 +566,10 @@ QUERIES = {
     "J5_profile_table": q_j5_profile_table,
     "F6_rejects": q_f6_rejects,
     "A6_stage_metrics": q_a6_stage_metrics,
+    "A6_observed": q_a6_observed,
+    "S9_load_rejects": q_s9_load_rejects,
+    "J6_once_per_profile": q_j6_once_per_profile,
+    "S4_stream_dedup": q_s4_stream_dedup,
     "S13_listing_ids": q_s13_listing_ids,
     "S14_page_fields": q_s14_page_fields,
     "S14_details_parser": q_s14_details_parser,

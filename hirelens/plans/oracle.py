@@ -298,6 +298,11 @@ def oracle_sql() -> dict[str, str]:
             (SELECT count(*) FROM valid) AS c, (SELECT count(*) FROM sal WHERE failed) AS d)
             SELECT 'validate' AS stage, a AS n_in, b AS n_out, a - b AS n_dropped FROM n UNION ALL SELECT 'dedup', b, c, b - c FROM n
             UNION ALL SELECT 'normalize', c, c - d, d FROM n""",
+        "A6_observed": lambda: f"""WITH {doc_rejects_cte()}, n AS (SELECT (SELECT count(*) FROM tagged) AS a, (SELECT count(*) FROM tagged WHERE reject_reason IS NULL) AS b,
+            (SELECT count(*) FROM valid) AS c, (SELECT count(*) FROM sal WHERE failed) AS d, (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey) AS o,
+            (SELECT count(*) FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0) AS r)
+            SELECT 'validate' AS stage, a AS n_in, b AS n_out, a - b AS n_dropped FROM n UNION ALL SELECT 'dedup', b, c, b - c FROM n
+            UNION ALL SELECT 'normalize', c, c - d, d FROM n UNION ALL SELECT 'convert', o, o - r, r FROM n UNION ALL SELECT 'load', o - r, o - r, 0 FROM n""",
         # Only LinkedIn-shaped rows (status F) carry 'linkedin' (url, linkedin_* fields);
         # Upwork-shaped rows (status O) have a client and an upwork.com url.
         "P1_source": "SELECT o_orderkey AS input_seq, CASE o_orderstatus WHEN 'F' THEN 'linkedin' "

@@ -204,6 +204,19 @@ ORACLE = {
     "S4_raw_landing": f"WITH {CLEANED} SELECT id, CASE source WHEN 'unknown' THEN 'indeed' ELSE source END AS source, CAST(d AS DATE) AS load_date, title, url FROM cleaned, "
                       f"(SELECT unnest(['2025-01-01', '2025-01-02']) AS d)",
     "S5_fresh": f"WITH {CLEANED}, w AS (SELECT unnest(['fresh', 'stale', 'forced']) AS what) SELECT what, CASE what WHEN 'fresh' THEN (SELECT count(*) FROM cleaned) ELSE 0 END AS n_rows FROM w",
+    "S9_load_rejects": f"""WITH {SCORED}, f AS (SELECT input_seq, posted_date, CASE WHEN input_seq % 11 = 0 THEN 'match_score: not a number' WHEN input_seq % 19 = 0 THEN 'match_score: not a number'
+        WHEN input_seq % 13 = 0 THEN 'salary_score: out of range' WHEN input_seq % 17 = 0 THEN 'posted_date: not a date' END AS fault FROM scored)
+        SELECT input_seq, coalesce(fault, 'loaded') AS status, CASE WHEN fault IS NULL THEN NULL WHEN input_seq % 11 = 0 THEN 'n/a' WHEN input_seq % 19 = 0 THEN ''
+        WHEN input_seq % 13 = 0 THEN '1e20' ELSE 'soon' END AS reject_value, CASE WHEN fault IS NULL THEN coalesce(posted_date, DATE '{RUN_DATE}') END AS posted_date,
+        CASE WHEN fault IS NULL THEN true END AS exact FROM f""",
+    "J6_once_per_profile": f"""WITH {SCORED}, two AS (SELECT 'full' AS profile, input_seq, id, match_score FROM scored UNION ALL
+        SELECT 'salary', input_seq, id, skill_score * 0.0::DOUBLE + location_score * 0.0::DOUBLE + salary_score * 1.0::DOUBLE + company_score * 0.0::DOUBLE + description_score * 0.0::DOUBLE FROM scored),
+        r AS (SELECT *, row_number() OVER (PARTITION BY profile ORDER BY match_score DESC, input_seq) - 1 AS n FROM two WHERE match_score >= 0.5)
+        SELECT CASE WHEN n < 10 THEN 0 WHEN n < 20 THEN 1 ELSE 3 END AS turn, profile, id, CAST(n % 10 + 1 AS INT) AS rank,
+        DATE '2025-01-01' + CAST(n // 10 AS INT) AS notified_on FROM r WHERE n < 30""",
+    "S4_stream_dedup": f"""WITH {CLEANED}, o AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders), p AS (SELECT input_seq, title, d FROM cleaned JOIN o ON k = input_seq)
+        SELECT input_seq, title, d AS collected_on FROM p UNION ALL
+        SELECT input_seq, title, d + 1600 FROM p WHERE input_seq % 7 = 0 AND d < DATE '1999-01-01'""",
     "J5_profiles": f"""WITH {SCORED} SELECT 'full' AS profile, input_seq, rank, round(match_score, 6) AS match_score FROM (
         SELECT *, row_number() OVER (ORDER BY {ORDER}) AS rank FROM scored) WHERE rank <= 10
         UNION ALL SELECT 'salary', input_seq, rank, round(m, 6) FROM (SELECT *, row_number() OVER (ORDER BY m DESC, input_seq) AS rank FROM

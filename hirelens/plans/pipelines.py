@@ -8,7 +8,7 @@ Each stage is a function of DataFrames; callers persist or write where they fan
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hirelens.functions.skills import TECH_SKILLS
@@ -47,6 +47,51 @@ def clean_metrics(raw: DataFrame, near_dedup: bool = True, dictionary: list[str]
     return counts.join(before, "i").select("stage", "n_in", F.col("n").alias("n_out"), (F.col("n_in") - F.col("n")).alias("n_dropped"))
 
 
+def clean_observed(raw: DataFrame, path: str, near_dedup: bool = False, dictionary: list[str] = TECH_SKILLS,
+                   threshold: float = 0.9) -> tuple[DataFrame, DataFrame, list[dict]]:
+    """A6 by observation: the clean stage written below ``path``, its counts collected while it is written.
+
+    Returns (cleaned, rejects, steps); a step has stage, n_in, n_out, n_dropped.  ``raw`` is read once: the first
+    write takes the accepted rows and the rejects apart, the second goes on from the accepted ones.  Both counts
+    are taken in the last stage of their write, whose tasks count once even when they are tried again.
+    """
+    spark = raw.sparkSession
+    kw = {"record_ok": F.col("record_ok")} if "record_ok" in raw.columns else {}
+    counted = lambda df, name, **m: (o := Observation(name), df.observe(o, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in m.items()]))
+    first, tagged = counted(validate.with_reject_reason(raw, **kw), "validate", ok=F.count(F.when(F.col("reject_reason").isNull(), 1)))
+    tagged.withColumn("accepted", F.col("reject_reason").isNull()).write.partitionBy("accepted").parquet(f"{path}/validated")
+    both = spark.read.schema(tagged.schema.add("accepted", "boolean")).parquet(f"{path}/validated")
+    accepted = both.filter("accepted").drop("accepted", "reject_reason")
+    kept = dedup.dedup_near(accepted, threshold) if near_dedup else dedup.dedup_exact(accepted)
+    norm = normalize.normalize(kept, dictionary)
+    second, norm = counted(norm, "normalize", ok=F.count(F.when(F.col("reject_reason").isNull(), 1)))
+    norm.withColumn("accepted", F.col("reject_reason").isNull()).write.partitionBy("accepted").parquet(f"{path}/normalized")
+    done = spark.read.schema(norm.schema.add("accepted", "boolean")).parquet(f"{path}/normalized")
+    cleaned = done.filter("accepted").drop("accepted", "reject_reason")
+    rejects = (both.filter("not accepted").select("input_seq", "reject_reason")
+               .unionByName(done.filter("not accepted").select("input_seq", "reject_reason")))
+    a, b = first.get, second.get
+    sizes = [("validate", a["n"], a["ok"]), ("dedup", a["ok"], b["n"]), ("normalize", b["n"], b["ok"])]
+    return cleaned, rejects, [{"stage": s, "n_in": i, "n_out": o, "n_dropped": i - o} for s, i, o in sizes]
+
+
+def load_observed(rows: DataFrame, path: str, run_date: str, first_id: int = 1, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[dict]]:
+    """The load from text rows written below ``path``: (listings, rejects, steps): rows converted, and rows loaded
+    (fewer if ``existing`` has some)."""
+    spark = rows.sparkSession
+    read, written = Observation("convert"), Observation("load")
+    text = load.convert_text(rows)
+    text = text.observe(read, F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("fault").isNull(), 1)).alias("ok"))
+    text.write.parquet(f"{path}/converted")
+    ok, bad = load.split_converted(spark.read.schema(text.schema).parquet(f"{path}/converted"))
+    listings = load.exact_figures(load.load_listings(ok, run_date, first_id, existing))
+    listings.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/listings")
+    a, b = read.get, written.get
+    steps = [("convert", a["n"], a["ok"]), ("load", a["ok"], b["n"])]
+    return (spark.read.schema(listings.schema).parquet(f"{path}/listings"), bad,
+            [{"stage": s, "n_in": i, "n_out": o, "n_dropped": i - o} for s, i, o in steps])
+
+
 def match(cleaned: DataFrame, profile: dict, model: str = "full", **kw) -> DataFrame:
     """Score every posting (unsorted; rank lazily where a consumer needs order)."""
     return scoring.score(cleaned, profile, model, **kw)

@@ -6,16 +6,18 @@ log P(word | history) = log P(class | history) + log P(word | class)
   one of ``GROUPS`` by its last two bytes.
 * P(class | history) is a softmax over hashed features of the history: the previous word
   (bigram), the previous two classes (trigram), and two skip features (the classes two and three
-  back; the word two back).  Weights: ``BUCKETS`` x classes.
+  back; the word two back).  Weights: buckets x classes.
 * P(word | class) is the closed-form optimum of a softmax with word features only, smoothed:
   (c + 0.5) / (n + 0.5 (v + 1)) with the class's tokens n and distinct words v; words that were
   never seen share the class's extra 0.5.
 
-Training runs over all tokens of all training texts: ``workers`` tasks each make one pass of
-mini-batch gradient steps over their part of the corpus (step sizes fall with the square root of
-a bucket's use), and the parts' weights are averaged by use, in two levels of about the square
-root of the number of parts.  The number of parts, and so what is gathered, grows with the corpus
-(one part for ``TOKENS_PER_WORKER`` tokens).  The averaged weights have a fixed size.
+Training takes all tokens of all training texts once, in ``ROUNDS`` rounds.  A round's texts are dealt to
+parts by a hash of id and text; each part makes mini-batch gradient steps from the weights of the round
+before (step sizes fall with the square root of a bucket's use), and the parts' weights are averaged by
+use, in two levels, and sent out again.  The number of parts follows from the tokens alone (one for
+``TOKENS_PER_PART``), texts are taken in hash order and sums in part order, so neither the number of cores
+nor the files' layout changes a score.  The buckets double with the corpus, from 2^LEAST_BITS up to
+2^MAX_BITS (the weights must fit into a worker), the counts grow with it without bound.
 
 Word counts are exact over all training texts.  Those of the most frequent words (as many as fit
 into ``HEAD_WORDS`` by a count threshold) are broadcast; every other word of a text is joined to the
@@ -48,10 +50,14 @@ SINGLES = 11
 GROUPS = 20
 CLASSES = SINGLES + 1 + GROUPS
 END = SINGLES
-BUCKETS = 1 << 16
+#: Bits of a bucket number up to TOKENS_PER_TABLE tokens, and at most.
+LEAST_BITS = 16
+MAX_BITS = 20
+TOKENS_PER_TABLE = 200_000_000
+ROUNDS = 3
 BATCH = 8192
 RATE = 0.5
-TOKENS_PER_WORKER = 4_000_000
+TOKENS_PER_PART = 2_000_000
 HEAD_WORDS = 500_000
 MAX_KNOWN = 500_000
 MAX_COUNTED = 400_000
@@ -206,7 +212,7 @@ def pieces(texts: list[str | None]):
         yield first, len(texts)
 
 
-def features(sizes: np.ndarray, cls: np.ndarray, key: np.ndarray) -> np.ndarray:
+def features(sizes: np.ndarray, cls: np.ndarray, key: np.ndarray, bits: int) -> np.ndarray:
     """Bucket numbers (4 x tokens) of the history within each text (``sizes`` without the ends)."""
     texts = len(sizes)
     at = np.arange(len(cls)) + 3 * (np.repeat(np.arange(texts), sizes + 1) + 1)
@@ -216,7 +222,7 @@ def features(sizes: np.ndarray, cls: np.ndarray, key: np.ndarray) -> np.ndarray:
     one, two, three = c[at - 1], c[at - 2], c[at - 3]
     h = np.stack([k[at - 1] + _U(1), (one * _U(64) + two) * _U(4) + _U(2), (two * _U(64) + three) * _U(4) + _U(3), k[at - 2] + _U(4)])
     h = (h ^ (h >> _U(29))) * _U(0x9E3779B97F4A7C15)
-    return (h >> _U(48)).astype(np.uint16)
+    return (h >> _U(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
@@ -238,11 +244,13 @@ def log_p(weights: np.ndarray, bias: np.ndarray, f: np.ndarray, y: np.ndarray) -
 
 
 class Trainer:
-    def __init__(self):
-        self.w = np.zeros((BUCKETS, CLASSES), np.float32)
-        self.use = np.zeros(BUCKETS, np.float32)
-        self.bias = np.zeros(CLASSES, np.float32)
-        self.steps = 0
+    """Gradient steps from given weights, uses of the buckets, bias and number of steps."""
+
+    def __init__(self, w=None, use=None, bias=None, steps: float = 0.0):
+        self.w = np.zeros((1 << LEAST_BITS, CLASSES), np.float32) if w is None else w.copy()
+        self.use = np.zeros(len(self.w), np.float32) if use is None else use.copy()
+        self.bias = np.zeros(CLASSES, np.float32) if bias is None else bias.copy()
+        self.steps = steps
 
     def step(self, f: np.ndarray, y: np.ndarray) -> None:
         g = logits(self.w, self.bias, f)
@@ -273,48 +281,84 @@ def _reader(bc) -> Reader:
     return _READERS["reader"]
 
 
-def train(texts: DataFrame, bc, tokens: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, bias) averaged over the workers' passes."""
-    spark = texts.sparkSession
-    workers = max(spark.sparkContext.defaultParallelism, -(-tokens // TOKENS_PER_WORKER))
-    groups = max(1, int(workers ** 0.5))
-    size = BUCKETS // BLOCKS
-
-    def run(batches):
-        t, reader = Trainer(), _reader(bc)
-        for b in batches:
-            texts_ = b.column(0).to_pylist()
-            for first, last in pieces(texts_):
-                _, sizes, cls, key = reader.read(texts_[first:last])
-                f = features(sizes, cls, key)
-                for i in range(0, len(cls), BATCH):
-                    t.step(f[:, i:i + BATCH], cls[i:i + BATCH])
-        if not t.steps:
-            return
-        part = TaskContext.get().partitionId()
-        t.w *= t.use[:, None]
-        blocks = [(i, part % groups, t.w[i * size:(i + 1) * size].tobytes(), t.use[i * size:(i + 1) * size].tobytes()) for i in range(BLOCKS)]
-        blocks.append((BLOCKS, part % groups, (t.bias * t.steps).tobytes(), np.float32([t.steps]).tobytes()))
-        for row in blocks:
-            yield pa.RecordBatch.from_pydict({"block": [row[0]], "grp": [row[1]], "w": [row[2]], "use": [row[3]]},
-                                             schema=pa.schema([("block", pa.int32()), ("grp", pa.int32()), ("w", pa.binary()), ("use", pa.binary())]))
-
-    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, use = (sum(np.frombuffer(x, np.float32) for x in pdf[c]) for c in ("w", "use"))
-        return pd.DataFrame({"block": [pdf["block"].iloc[0]], "grp": [0], "w": [w.tobytes()], "use": [use.tobytes()]})
-
-    schema = "block int, grp int, w binary, use binary"
-    parts = texts.select("text").coalesce(workers).mapInArrow(run, schema)
-    parts = parts.groupBy("block", "grp").applyInPandas(merged, schema)
-    parts = scratch.write(parts.groupBy("block").applyInPandas(merged, schema), "weights")
-    weights, bias = np.zeros((BUCKETS, CLASSES), np.float32), np.zeros(CLASSES, np.float32)
-    for r in parts.toLocalIterator():  # BLOCKS + 1 rows of fixed size
-        w, use = np.frombuffer(r.w, np.float32), np.maximum(np.frombuffer(r.use, np.float32), 1)
-        if r.block == BLOCKS:
-            bias = w / use[0]
-        else:
-            weights[r.block * size:(r.block + 1) * size] = w.reshape(size, CLASSES) / use[:, None]
-    return weights, bias
+def bits_of(tokens: int) -> int:
+    """Bits of a bucket number: a bit more for each doubling of the corpus beyond TOKENS_PER_TABLE."""
+    return min(MAX_BITS, LEAST_BITS + max(0, (-(-max(tokens, 1) // TOKENS_PER_TABLE) - 1).bit_length()))
+
+
+def parts_of(tokens: int) -> int:
+    """Parts of the corpus that are trained side by side; depends on the corpus alone."""
+    return max(1, -(-tokens // TOKENS_PER_PART))
+
+
+def train(rows: DataFrame, bc, tokens: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, bias) after ROUNDS rounds over ``rows`` (doc_id, text).  A round takes a share of the texts by hash;
+    each of its parts, also by hash, makes its steps from the last average on its texts in hash order."""
+    spark = rows.sparkSession
+    parts, bits = parts_of(tokens), bits_of(tokens)
+    groups, size = max(1, int(parts ** 0.5)), (1 << bits) // BLOCKS
+    dealt = rows.select("text", F.xxhash64("doc_id", "text", F.lit(7)).alias("h"))
+    dealt = dealt.select("text", "h", F.pmod("h", F.lit(ROUNDS)).cast("int").alias("round"),
+                         F.pmod(F.shiftright("h", 8), F.lit(parts)).cast("int").alias("part"))
+    schema = "block int, grp int, part int, w binary, use binary"
+    arrow = pa.schema([("block", pa.int32()), ("grp", pa.int32()), ("part", pa.int32()), ("w", pa.binary()), ("use", pa.binary())])
+    model = np.zeros((1 << bits, CLASSES), np.float32), np.zeros(1 << bits, np.float32), np.zeros(CLASSES, np.float32), 0.0
+
+    def one_round(texts: DataFrame, start) -> DataFrame:
+        def trained(part: int, t: Trainer):
+            """The part's weights times what it used of them in this round, in blocks."""
+            new = t.use - start.value[1]
+            w = t.w * new[:, None]
+            rows_ = [(i, part % groups, part, w[i * size:(i + 1) * size].tobytes(), new[i * size:(i + 1) * size].tobytes()) for i in range(BLOCKS)]
+            steps = np.float32(t.steps - start.value[3])
+            rows_.append((BLOCKS, part % groups, part, (t.bias * steps).astype(np.float32).tobytes(), steps.tobytes()))
+            for row in rows_:
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
+
+        def run(batches):
+            t, now, reader = None, None, _reader(bc)
+            for b in batches:
+                own, texts_ = b.column(1).to_numpy(), b.column(0).to_pylist()
+                cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    if hi > lo and own[lo] != now:
+                        if t is not None:
+                            yield from trained(now, t)
+                        t, now = Trainer(*start.value), int(own[lo])
+                    for first, last in pieces(texts_[lo:hi]):
+                        _, sizes, cls, key = reader.read(texts_[lo + first:lo + last])
+                        f = features(sizes, cls, key, bits)
+                        for i in range(0, len(cls), BATCH):
+                            t.step(f[:, i:i + BATCH], cls[i:i + BATCH])
+            if t is not None:
+                yield from trained(now, t)
+
+        def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("part")  # sums of floats in one order
+            w, use = (sum(np.frombuffer(x, np.float32) for x in pdf[c]) for c in ("w", "use"))
+            return pd.DataFrame({"block": [pdf["block"].iloc[0]], "grp": [0], "part": [pdf["grp"].iloc[0]], "w": [w.tobytes()], "use": [use.tobytes()]})
+
+        texts = texts.repartition(parts, "part").sortWithinPartitions("part", "h").select("text", "part")
+        out = texts.mapInArrow(run, schema).groupBy("block", "grp").applyInPandas(merged, schema)
+        return out.groupBy("block").applyInPandas(merged, schema)
+
+    for r in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(model)
+        found = scratch.write(one_round(dealt.filter(F.col("round") == r), sent), f"weights-{r}")
+        w, use, bias, steps = (x.copy() if isinstance(x, np.ndarray) else x for x in model)
+        for row in found.toLocalIterator():  # BLOCKS + 1 rows of fixed size
+            got, new = np.frombuffer(row.w, np.float32), np.frombuffer(row.use, np.float32)
+            if row.block == BLOCKS:
+                bias, steps = (got / new[0], steps + float(new[0]) / parts) if new[0] else (bias, steps)
+                continue
+            at = slice(row.block * size, (row.block + 1) * size)
+            seen = new > 0
+            w[at][seen] = got.reshape(size, CLASSES)[seen] / new[seen, None]
+            use[at] += new / parts  # a part's share, so that the steps of the next round go on from it
+        model = w, use, bias, steps
+        sent.unpersist()
+        scratch.drop(f"weights-{r}")
+    return model[0], model[2]
 
 
 # ---------------------------------------------------------------- scoring
@@ -328,6 +372,7 @@ def partial_scores(rows: DataFrame, bc, model) -> DataFrame:
 
     def run(batches):
         reader, (weights, bias) = _reader(bc), model.value
+        bits = len(weights).bit_length() - 1
         counts, row = reader.counts, TaskContext.get().partitionId() << 33
         end = float(np.log10(counts.n_texts + 0.5))
         for b in batches:
@@ -336,7 +381,7 @@ def partial_scores(rows: DataFrame, bc, model) -> DataFrame:
                 num, sizes, cls, key = reader.read(texts[first:last])
                 starts = np.cumsum(sizes + 1) - (sizes + 1)
                 by_text = lambda x: np.add.reduceat(x, starts)
-                p = log_p(weights, bias, features(sizes, cls, key), cls) / np.log(10.0) - counts.log_room[cls]
+                p = log_p(weights, bias, features(sizes, cls, key, bits), cls) / np.log(10.0) - counts.log_room[cls]
                 word = cls != END
                 tail, logs = np.zeros(len(cls), dtype=bool), np.full(len(cls), end)
                 tail[word], logs[word] = reader.tail[num], reader.logs[num]
@@ -359,10 +404,10 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "maxent")
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
-    texts = rows.filter("NOT held_out").select("text")
-    counts, count_table = counts_of(texts, scratch)
+    learnt = rows.filter("NOT held_out").select("doc_id", "text")
+    counts, count_table = counts_of(learnt.select("text"), scratch)
     bc = spark.sparkContext.broadcast(counts)
-    model = spark.sparkContext.broadcast(train(texts, bc, counts.total, scratch))
+    model = spark.sparkContext.broadcast(train(learnt, bc, counts.total, scratch))
     part = scratch.write(partial_scores(rows, bc, model), "part")
     tail = part.select("row_id", F.explode(F.arrays_zip("tail_keys", "tail_times")).alias("t")).select(
         "row_id", F.col("t.tail_keys").alias("key"), F.col("t.tail_times").alias("times"))

@@ -381,8 +381,8 @@ def test_maxent_model_is_a_distribution_and_learns():
     cls[cls == maxent.END] = 0
     cls[[200, 201, 500]] = maxent.END
     key = rng.integers(0, 1 << 60, 501)
-    f = maxent.features(sizes, cls, key)
-    alone = maxent.features(sizes[2:], cls[202:], key[202:])
+    f = maxent.features(sizes, cls, key, 16)
+    alone = maxent.features(sizes[2:], cls[202:], key[202:], 16)
     assert (f[:, 202:] == alone).all()  # no history from another text
     for _ in range(20):
         t.step(f, cls)
@@ -396,6 +396,61 @@ def test_maxent_model_is_a_distribution_and_learns():
     assert counts.total == 6 + 2 + 3 and counts.distinct == 3 + 1
 
 
+def test_maxent_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    """Several parts and rounds: one file or many partitions, in any order, give the same scores; the rounds learn."""
+    monkeypatch.setattr(maxent, "TOKENS_PER_PART", 5000)
+    docs = read(spark, "documents").select("doc_id", "text")
+    held = fold_of("doc_id", 5) == 1
+    one = {r.doc_id: r for r in maxent.score(docs.coalesce(1), held).collect()}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    many = {r.doc_id: r for r in maxent.score(docs.repartition(13, F.rand(1)), held).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert maxent.parts_of(one[0].train_tokens) > 2
+    assert max(abs(one[d].score - many[d].score) / one[d].n_tokens for d in one) < 1e-6
+    gain = lambda got: sum(r.score - r.base_score for r in got.values() if r.held_out) / sum(r.n_tokens for r in got.values() if r.held_out)
+    assert gain(one) > 0.03
+    monkeypatch.setattr(maxent, "ROUNDS", 1)
+    monkeypatch.setattr(maxent, "TOKENS_PER_PART", 500)
+    assert gain({r.doc_id: r for r in maxent.score(docs, held).collect()}) < gain(one)
+
+
+def test_maxent_score_equals_a_plain_scorer(spark):
+    """Softmax and word shares over the same weights, by loops over words and classes."""
+    docs = read(spark, "documents").select("doc_id", "text")
+    held = fold_of("doc_id", 5) == 1
+    learnt = docs.filter(~held)
+    scratch = Scratch(spark, "t")
+    counts, _ = maxent.counts_of(learnt.select("text"), scratch)
+    w, bias = maxent.train(learnt, spark.sparkContext.broadcast(counts), counts.total, scratch)
+    assert len(w) == 1 << maxent.bits_of(counts.total) == 65536
+    head = {int(k): (int(c), int(n)) for k, c, n in zip(counts.keys, counts.cls, counts.n)}
+    m64 = (1 << 64) - 1
+
+    def bucket(x):
+        x &= m64
+        return ((x ^ (x >> 29)) * 0x9E3779B97F4A7C15 & m64) >> 48
+
+    def plain(text):
+        total, c1, c2, c3, k1, k2 = 0.0, maxent.CLASSES, maxent.CLASSES, maxent.CLASSES, 0, 0
+        for word in [*maxent.words_of(text), None]:
+            key = 0 if word is None else maxent.key_of(word)
+            cls, n = (maxent.END, counts.n_texts) if word is None else head.get(key, (maxent.group_of(word), 0))
+            f = [bucket(k1 + 1), bucket((c1 * 64 + c2) * 4 + 2), bucket((c2 * 64 + c3) * 4 + 3), bucket(k2 + 4)]
+            z = [sum(float(w[i][j]) for i in f) + float(bias[j]) for j in range(maxent.CLASSES)]
+            total += (z[cls] - math.log(sum(map(math.exp, z)))) / math.log(10) + math.log10(n + 0.5) - counts.log_room[cls]
+            c1, c2, c3, k1, k2 = cls, c1, c2, key & m64, k1
+        return total
+    got = {r.doc_id: r.score for r in maxent.score(docs, held).collect()}
+    for r in docs.filter("length(text) < 3000").orderBy("doc_id").limit(12).collect():
+        assert got[r.doc_id] == pytest.approx(plain(r.text), rel=1e-4)
+
+
+def test_maxent_tables_grow_with_the_corpus():
+    assert [maxent.bits_of(n) for n in (0, 10, 200_000_000, 200_000_001, 400_000_001, 10 ** 12)] == [16, 16, 16, 17, 18, 20]
+    assert [maxent.parts_of(n) for n in (0, 2_000_000, 2_000_001, 10 ** 9)] == [1, 1, 2, 500]
+
+
 def test_maxent_keeps_its_32_classes():
     words = [f"word{i}".encode() for i in range(30)]
     keys = np.array([maxent.key_of(w) for w in words])

@@ -12,8 +12,25 @@ TRUE_WORDS = ["true", "1", "yes"]
 
 
 def score_percent(c) -> Column:
-    """``'%.1f%%'`` of score*100 (Java rounds half-up on the decimal text; compare numbers in tests)."""
-    return F.format_string("%.1f%%", F.coalesce(col_(c).cast("double"), F.lit(0.0)) * 100)
+    """``'%.1f%%'`` of score*100, rounded from the double's exact binary value, ties to the even digit.
+
+    The fraction of a double is exact, and so are its products with 16 and 4; their sum, with the rounding
+    error recovered, is 20 times the fraction, whose place among the odd numbers decides the digit.
+    """
+    x = F.coalesce(col_(c).cast("double"), F.lit(0.0)) * 100
+    size = F.abs(x)
+    whole = F.floor(size)
+    f = size - whole.cast("double")
+    a, b = f * 16, f * 4
+    total = a + b
+    back = total - a
+    error = (a - (total - back)) + (b - back)
+    tenth = F.floor(total / 2)
+    rest = total - tenth.cast("double") * 2
+    up = (rest > 1) | ((rest == 1) & ((error > 0) | ((error == 0) & (tenth % 2 == 1))))
+    tenths = whole * 10 + tenth + up.cast("int")
+    sign = F.when(x < 0, "-").otherwise("")
+    return F.concat(sign, F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit("%"))
 
 
 def location_display(remote: Column, location: Column, default: str = "Not specified") -> Column:

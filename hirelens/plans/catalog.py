@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.functions import dates, fmt, salary, skills, text
-from hirelens.operators import dedup, dictionary, load, normalize, notify_log, pages, profiles, rank, report, scoring, search, text_index, validate
+from hirelens.operators import dedup, dictionary, load, load_batches, normalize, notify_log, pages, profiles, rank, report, scoring, search, text_index, validate
 from hirelens.plans import pipelines
 from hirelens.session import scratch_path
 from hirelens.sources import postings as src
@@ -465,6 +465,23 @@ def q_s9_load_rejects(spark, sf):
                                      F.lit(None).cast("date").alias("posted_date"), F.lit(None).cast("boolean").alias("exact")))
 
 
+def q_s9_batches(spark, sf):
+    """Two loads at the same time (even orders, all orders), both staged before either is written, and a replay of the first."""
+    scored = src.write_table(order_scored(spark, sf), _scratch(spark, "scored"))
+    root = _scratch(spark, "batches")
+    one = load_batches.stage(scored.filter("input_seq % 2 = 0"), root, "one", "2024-12-31")
+    two = load_batches.stage(scored, root, "two", RUN_DATE)
+    first, second = load_batches.reserve(spark, root, "one", *one), load_batches.reserve(spark, root, "two", *two)
+    load_batches.commit(spark, root, second)
+    load_batches.commit(spark, root, first)
+    load_batches.load_batch(scored.filter("input_seq % 2 = 0"), root, "one", "2024-12-31")
+    return load_batches.loaded(spark, root).select("batch", "id", "source", "external_id", "posted_date")
+
+
+def q_x1_percent_text(spark, sf):
+    return order_scored(spark, sf).select("input_seq", fmt.score_percent("match_score").alias("match_text"), fmt.score_percent("description_score").alias("description_text"))
+
+
 def q_j6_once_per_profile(spark, sf):
     """J6 for two profiles over three epochs, the second one run twice: what each epoch sent."""
     salary_only = {**ORDER_PROFILE, "scoring": {**dict.fromkeys(ORDER_PROFILE["scoring"], 0.0), "salary_weight": 1.0}}
@@ -568,6 +585,8 @@ QUERIES = {
     "A6_stage_metrics": q_a6_stage_metrics,
     "A6_observed": q_a6_observed,
     "S9_load_rejects": q_s9_load_rejects,
+    "S9_batches": q_s9_batches,
+    "X1_percent_text": q_x1_percent_text,
     "J6_once_per_profile": q_j6_once_per_profile,
     "S4_stream_dedup": q_s4_stream_dedup,
     "S13_listing_ids": q_s13_listing_ids,

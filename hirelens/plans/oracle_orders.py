@@ -172,7 +172,7 @@ ORACLE = {
     "A4_histogram": f"WITH {SCORED}, {_bins} SELECT g.bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, coalesce(n_jobs, 0) AS n_jobs FROM g LEFT JOIN n USING (bin)",
     "X7_display": f"""WITH {SCORED}, top AS (SELECT *, {_iso} AS iso FROM scored ORDER BY {ORDER} LIMIT 20),
         s AS (SELECT *, CASE iso WHEN 'USD' THEN '$' WHEN 'EUR' THEN '€' WHEN 'GBP' THEN '£' ELSE '' END AS sym FROM top)
-        SELECT input_seq, title, round(match_score * 100, 6) AS match_pct, printf('%.1f%%', round(match_score * 100, 1)) AS match_text, company,
+        SELECT input_seq, title, round(match_score * 100, 6) AS match_pct, printf('%.1f%%', match_score * 100) AS match_text, company,
         CASE WHEN remote THEN 'Remote' ELSE location END AS location, source,
         CASE WHEN coalesce(salary_min, 0) > 0 OR coalesce(salary_max, 0) > 0 THEN CASE WHEN salary_min = salary_max THEN sym || format('{{:,}}', CAST(salary_min AS BIGINT))
           ELSE sym || format('{{:,}}', CAST(salary_min AS BIGINT)) || ' - ' || sym || format('{{:,}}', CAST(salary_max AS BIGINT)) END ELSE '' END AS salary_text,
@@ -204,6 +204,11 @@ ORACLE = {
     "S4_raw_landing": f"WITH {CLEANED} SELECT id, CASE source WHEN 'unknown' THEN 'indeed' ELSE source END AS source, CAST(d AS DATE) AS load_date, title, url FROM cleaned, "
                       f"(SELECT unnest(['2025-01-01', '2025-01-02']) AS d)",
     "S5_fresh": f"WITH {CLEANED}, w AS (SELECT unnest(['fresh', 'stale', 'forced']) AS what) SELECT what, CASE what WHEN 'fresh' THEN (SELECT count(*) FROM cleaned) ELSE 0 END AS n_rows FROM w",
+    "X1_percent_text": f"WITH {SCORED} SELECT input_seq, printf('%.1f%%', match_score * 100) AS match_text, printf('%.1f%%', description_score * 100) AS description_text FROM scored",
+    "S9_batches": f"""WITH {SCORED}, e AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) AS n FROM scored WHERE input_seq % 2 = 0),
+        a AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) + (SELECT count(*) FROM e) AS n FROM scored)
+        SELECT 'one' AS batch, n AS id, source, CAST(input_seq AS VARCHAR) AS external_id, coalesce(posted_date, DATE '2024-12-31') AS posted_date FROM e
+        UNION ALL SELECT 'two', n, source, CAST(input_seq AS VARCHAR), coalesce(posted_date, DATE '{RUN_DATE}') FROM a WHERE input_seq % 2 <> 0""",
     "S9_load_rejects": f"""WITH {SCORED}, f AS (SELECT input_seq, posted_date, CASE WHEN input_seq % 11 = 0 THEN 'match_score: not a number' WHEN input_seq % 19 = 0 THEN 'match_score: not a number'
         WHEN input_seq % 13 = 0 THEN 'salary_score: out of range' WHEN input_seq % 17 = 0 THEN 'posted_date: not a date' END AS fault FROM scored)
         SELECT input_seq, coalesce(fault, 'loaded') AS status, CASE WHEN fault IS NULL THEN NULL WHEN input_seq % 11 = 0 THEN 'n/a' WHEN input_seq % 19 = 0 THEN ''

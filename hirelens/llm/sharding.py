@@ -5,11 +5,11 @@ Equal texts form a group.  What is packed are *cells*: a group that holds at lea
 are dealt over ``cells`` cells by the hash of their text.  There are at most 3 * ``cells``
 heavy groups, so the vectors that the driver packs are bounded by the parameter at any size of
 input.  The largest vector is placed first, each where its dot product with the shards' residual
-capacity (a share of all bytes, tokens and rows) is highest; a last pass moves or swaps small
-cells between shards while the byte sizes come closer.
+capacity (a share of all bytes, tokens and rows) is highest; a last pass moves cells between shards
+while the byte sizes come closer and no dimension's fullest shard gets fuller.
 
 A heavy group stays in one shard unless it is larger than a shard's fair share; then it is cut
-by the hash of doc_id.  Slots are numbered within pieces of at most about 1 / ``cells`` of the
+by row.  Slots are numbered within pieces of at most about 1 / ``cells`` of the
 rows and shifted by the rows of the shard's earlier pieces, so no window holds a hot group.
 
 Law ``bytes``: shard sizes near equal.  Defined results: a null text has size 1, no tokens, a
@@ -29,29 +29,38 @@ WORD = r"[^\x20\x09-\x0D]+"
 DIMS = ["size", "tokens", "rows"]
 
 
-def place(vectors: np.ndarray, n_shards: int, swaps: int = 20_000) -> np.ndarray:
-    """Shard of each vector (cells x dimensions, as shares of the whole)."""
+def place(vectors: np.ndarray, n_shards: int) -> np.ndarray:
+    """Shard of each vector (cells x dimensions, as shares of the whole; the first one is bytes).
+
+    Largest vector first, each where its dot product with the residual capacity is highest.  Then cells move from
+    the shards with most to those with least bytes, as long as a move brings two shards' bytes closer and raises
+    no dimension above what its fullest shard has; every move lowers the sum of squared sizes, so this ends.
+    """
+    dims = vectors.shape[1]
     shard = np.zeros(len(vectors), dtype=np.int64)
-    room = np.full((n_shards, vectors.shape[1]), 1.0 / n_shards)
+    room = np.full((n_shards, dims), 1.0 / n_shards)
     for i in np.argsort(-vectors.max(axis=1), kind="stable"):
         s = int(np.argmax(room @ vectors[i]))
         shard[i] = s
         room[s] -= vectors[i]
-    size = vectors[:, 0]
-    load = np.bincount(shard, weights=size, minlength=n_shards)
-    for _ in range(swaps):  # move the cell of the fullest shard that halves the gap best
-        hi, lo = int(load.argmax()), int(load.argmin())
-        own = np.flatnonzero(shard == hi)
-        gap = load[hi] - load[lo]
-        fits = own[size[own] < gap] if len(own) else own
-        if not len(fits):
-            break
-        best = fits[np.argmin(np.abs(size[fits] - gap / 2))]
-        if size[best] <= 0:
-            break
-        shard[best] = lo
-        load[hi] -= size[best]
-        load[lo] += size[best]
+    load = np.stack([np.bincount(shard, weights=vectors[:, d], minlength=n_shards) for d in range(dims)], axis=1)
+    members = [np.flatnonzero(shard == s) for s in range(n_shards)]
+    moved = True
+    while moved:
+        moved = False
+        top, order = load.max(axis=0) + 1e-12, np.argsort(-load[:, 0], kind="stable")
+        for hi, lo in ((h, o) for h in order for o in order[::-1] if load[h, 0] > load[o, 0]):
+            own = members[hi]
+            gap = load[hi, 0] - load[lo, 0]
+            fits = own[(vectors[own, 0] < gap * (1 - 1e-9)) & (load[lo] + vectors[own] <= top).all(axis=1)]
+            if len(fits):
+                best = fits[np.argmin(np.abs(vectors[fits, 0] - gap / 2))]
+                load[hi] -= vectors[best]
+                load[lo] += vectors[best]
+                shard[best] = lo
+                members[hi], members[lo] = own[own != best], np.append(members[lo], best)
+                moved = True
+                break
     return shard
 
 
@@ -64,7 +73,7 @@ def shards(docs: DataFrame, n_shards: int = 16, cells: int = 16384) -> DataFrame
         F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
         F.coalesce(F.unhex(F.md5(F.col("text").cast("binary"))), F.lit(b"")).alias("group_key"))
-        .withColumn("size", F.col("n_bytes") + 1), "base")
+        .withColumn("size", F.col("n_bytes") + 1).withColumn("row", F.monotonically_increasing_id()), "base")
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
     total = base.agg(*sums).first()
     if not total.rows:
@@ -81,7 +90,7 @@ def shards(docs: DataFrame, n_shards: int = 16, cells: int = 16384) -> DataFrame
     # cell: what is numbered; unit: what is placed (a whole heavy group unless it is cut)
     named = (base.join(F.broadcast(heavy), "group_key", "left")
              .withColumn("part", F.when(F.col("parts").isNotNull(),
-                                        F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(F.lit(-1)))
+                                        F.pmod(F.xxhash64("row"), F.col("parts"))).otherwise(F.lit(-1)))
              .withColumn("cell", F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("group_key"), F.lit(cells)))
                          .otherwise(F.xxhash64("group_key", "part"))))
     unit = F.when(F.col("part") < 0, F.col("cell")).when(F.col("cut"), F.col("cell")).otherwise(F.xxhash64("group_key"))
@@ -96,7 +105,7 @@ def shards(docs: DataFrame, n_shards: int = 16, cells: int = 16384) -> DataFrame
     plan = spark.createDataFrame(rows[["own", "cell", "shard", "first"]].astype(
         {"own": bool, "cell": "int64", "shard": "int32", "first": "int64"}),
         "own boolean, cell long, shard int, first long")
-    w = Window.partitionBy("own", "cell").orderBy("doc_id", "group_key")
+    w = Window.partitionBy("own", "cell").orderBy("doc_id", "group_key", "row")
     return (named.withColumn("own", F.col("part") >= 0)
             .join(F.broadcast(plan), ["own", "cell"])
             .select("doc_id", "size", "text_crc32", "tokens", "shard",

@@ -139,8 +139,10 @@ def op3(spark, sf_dir) -> DataFrame:
         "doc_id", "source", "lang", F.md5(F.coalesce(F.concat(F.lit("t"), text), F.lit("")).cast("binary")).alias("text_key"),
         count_tokens(text, "words-1").alias("n1"), count_tokens(text, "words-2").alias("n2"),
         count_tokens(without_mail_lines(text), "words-1").alias("revised")), "counted")
-    first = counted.groupBy("text_key").agg(F.min("doc_id").alias("first_id"))
-    flagged = counted.join(first, "text_key").withColumn("copy", ~F.col("doc_id").eqNullSafe(F.col("first_id")))
+    # joined by text and id, so that a text of many copies is not one task's
+    first = counted.groupBy(F.col("text_key").alias("k")).agg(F.min("doc_id").alias("first_id")).withColumn("first", F.lit(True))
+    flagged = (counted.join(first, (F.col("text_key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left")
+               .withColumn("copy", F.col("first").isNull()))
 
     def batch(df: DataFrame, op: str, tokenizer: str, n: str, old: Column | None = None) -> DataFrame:
         return df.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(op).alias("op"), F.col(n).alias("n_tokens"),

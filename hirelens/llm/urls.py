@@ -4,12 +4,11 @@
   rule's path; the longest host + path wins, then the longer host, then the smaller text.
 * What no list rule fits is judged by mined rules.  A labelled url (by default: one that a list
   rule judges; or any table of url and verdict) is a transaction of tokens -- scheme, top-level
-  domain, host labels, leading path parts with digits masked, query names, file ending, fragment
-  -- and its verdict.  FP-growth finds the frequent sets; rules ``tokens -> block`` of at most
+  domain, host labels, path parts with digits masked, query names, file ending, fragment, all of the
+  whole url -- and its verdict.  Tokens below the minimal support can be in no rule and are left out first, and
+  of tokens that stand in the same urls one is kept; both change no rule's counts.  FP-growth finds the frequent sets; rules ``tokens -> block`` of at most
   ``MAX_TOKENS`` tokens stay if support and confidence reach the minima and no shorter rule
-  within them has the same or higher confidence.  A transaction of t tokens has at most
-  C(t, 1) + ... + C(t, MAX_TOKENS) such sets, t at most MAX_ITEMS, so at most that number divided
-  by the minimal support are frequent: the rule table has a size bound and may be broadcast.
+  within them has the same or higher confidence.
 * Matching is by an inverted index: each rule is filed under its rarest token; the distinct token
   sets of the urls meet the rules of their tokens, and a rule fits if all its tokens are there.
 
@@ -28,7 +27,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import Scratch, ready, table
+from hirelens.llm.common import Scratch, join_keyed, ready, table
 
 #: The contract's rules: (verdict, host, path).
 LIST_RULES = [
@@ -41,7 +40,6 @@ LIST_RULES = [
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.8
 MAX_TOKENS = 3
-MAX_ITEMS = 16
 MAX_LABELLED = 200_000
 BLOCKED = "=block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,7 +55,7 @@ def path_of(url: Column) -> Column:
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a url, at most MAX_ITEMS; empty without ``://``."""
+    """Distinct tokens of the whole url; empty without ``://``."""
     def mask(c: Column) -> Column:
         return F.regexp_replace(F.translate(c, UPPER, LOWER), "[0-9]+", "0")
 
@@ -69,21 +67,21 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     some = lambda c, head: F.when(c != "", F.array(F.concat(F.lit(head), c))).otherwise(F.array().cast("array<string>"))
     found = F.concat(
         some(F.substring_index(host, ".", -1), "tld:"),
-        F.transform(F.slice(parts, 1, 3), lambda p, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), mask(p))),
-        F.transform(F.slice(F.filter(labels, lambda x: x != ""), 1, 5), lambda x: F.concat(F.lit("host:"), mask(x))),
+        F.transform(parts, lambda p, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), mask(p))),
+        F.transform(F.filter(labels, lambda x: x != ""), lambda x: F.concat(F.lit("host:"), mask(x))),
         some(F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1)), "scheme:"),
-        F.transform(F.slice(names, 1, 4), lambda p: F.concat(F.lit("query:"), mask(p))),
+        F.transform(names, lambda p: F.concat(F.lit("query:"), mask(p))),
         some(F.lower(ending), "ending:"),
         F.when(url.contains("#"), F.array(F.lit("fragment"))).otherwise(F.array().cast("array<string>")))
     empty = F.array().cast("array<string>")
-    return F.when(url.contains("://"), F.sort_array(F.array_distinct(F.slice(found, 1, MAX_ITEMS)))).otherwise(empty)
+    return F.when(url.contains("://"), F.sort_array(F.array_distinct(found))).otherwise(empty)
 
 
 def with_list_verdict(pages: DataFrame, rules=None) -> DataFrame:
-    """``pages`` (url, host, path, ...) with ``rule`` and ``listed`` (null where none fits).
+    """``pages`` (url, host, path, ...; written) with ``rule`` and ``listed`` (null where none fits).
 
     Each distinct host is matched to the rules of its suffixes by a join; the rules of one host
-    are few, and their paths are tested in the row.
+    are few, and their paths are tested in the row.  Frequent hosts get theirs by broadcast.
     """
     spark = pages.sparkSession
     rules = LIST_RULES if rules is None else rules
@@ -94,9 +92,24 @@ def with_list_verdict(pages: DataFrame, rules=None) -> DataFrame:
     suffixes = hosts.select("host", F.explode(F.array_distinct(tails)).alias("r_host"))
     by_host = (suffixes.join(r, "r_host").groupBy("host")
                .agg(F.sort_array(F.collect_set(F.struct(-F.length("rule"), -F.length("r_host"), "rule", "verdict", "r_path"))).alias("fits")))
+    every = pages.groupBy("host").agg(F.count("*").alias("n")).join(by_host, "host", "left")
     best = F.get(F.filter("fits", lambda x: F.startswith(F.col("path"), x["r_path"])), F.lit(0))
-    return (pages.join(by_host, "host", "left").withColumn("best", best)
-            .withColumn("rule", F.col("best.rule")).withColumn("listed", F.col("best.verdict")).drop("fits", "best"))
+    every = Scratch(spark, "hosts").write(every, "hosts")
+    return (join_keyed(pages, every, ["host"], "n").withColumn("best", best)
+            .withColumn("rule", F.col("best.rule")).withColumn("listed", F.col("best.verdict")).drop("fits", "best", "n"))
+
+
+def frequent_tokens(sample: DataFrame, min_support: float) -> Column:
+    """The tokens that can be in a rule: those of ``min_support`` urls or more (exact: no set is more frequent than its
+    members); of tokens that stand in the very same urls the first one speaks for all, since sets of them
+    say the same."""
+    n = sample.count()
+    each = sample.select(F.explode("tokens").alias("token"), F.xxhash64("sample_key", "tokens").alias("u"))
+    each = each.groupBy("token").agg(F.count("*").alias("c"), F.sum(F.col("u").cast("decimal(38,0)")).alias("x"),
+                                     F.sum(F.xxhash64("u").cast("decimal(38,0)")).alias("y"))
+    kept = each.filter(F.col("c") >= min_support * n).groupBy("c", "x", "y").agg(F.min("token").alias("token"))
+    tokens = sorted(r.token for r in kept.select("token").collect())  # at most the tokens of a url / min_support
+    return F.filter("tokens", lambda t: t.isin(tokens)) if tokens else F.array().cast("array<string>")
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -108,6 +121,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     if not counts.get("block"):
         return empty
     sample = labelled.filter(F.pmod(F.xxhash64("sample_key"), F.lit(1 << 30)) < int(min(1.0, MAX_LABELLED / total) * (1 << 30)))
+    sample = sample.withColumn("tokens", frequent_tokens(sample, min_support))
     baskets = sample.select(F.when(F.col("verdict") == "block", F.concat("tokens", F.array(F.lit(BLOCKED))))
                             .otherwise(F.col("tokens")).alias("items"))
     sets = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets).freqItemsets
@@ -134,7 +148,7 @@ def judge(sets: DataFrame, rules: DataFrame) -> DataFrame:
     filed = (rules.withColumn("rule_id", F.array_join("tokens", " ")).select("rule_id", F.col("tokens").alias("needs"), "confidence", F.explode("tokens").alias("token"))
              .join(often, "token").groupBy("rule_id")
              .agg(F.first("needs").alias("needs"), F.first("confidence").alias("confidence"), F.min_by("token", F.struct("n", "token")).alias("token")))
-    hits = own.join(F.broadcast(filed), "token").filter(F.size(F.array_except("needs", "tokens")) == 0)
+    hits = own.join(filed, "token").filter(F.size(F.array_except("needs", "tokens")) == 0)
     return (hits.groupBy("set_key").agg(F.max_by("rule_id", F.struct("confidence", "rule_id")).alias("mined_rule"),
                                         F.max("confidence").alias("confidence")))
 
@@ -150,16 +164,17 @@ def filter_urls(pages: DataFrame, rules=None, labelled: DataFrame | None = None)
         d = df.withColumn("host", host_of(url)).withColumn("path", path_of(url))
         return d.withColumn("tokens", tokens_of(url, F.col("host"), F.col("path")))
 
-    base = with_list_verdict(parsed(pages.select("page_id", "url")), rules)
-    base = scratch.write(base.withColumn("set_key", F.xxhash64("tokens")), "base")
+    base = scratch.write(parsed(pages.select("page_id", "url")).withColumn("set_key", F.xxhash64("tokens")), "parsed")
+    base = scratch.write(with_list_verdict(base, rules), "base")
+    scratch.drop("parsed")
     if labelled is None:
         learn = base.filter("listed IS NOT NULL").select("tokens", F.col("listed").alias("verdict"), F.col("url").alias("sample_key"))
     else:
         learn = parsed(labelled.select("url", "verdict")).select("tokens", "verdict", F.col("url").alias("sample_key"))
     found = scratch.write(mine(learn).coalesce(1), "rules")
-    sets = base.filter("listed IS NULL").groupBy("set_key").agg(F.first("tokens").alias("tokens"))
-    mined = judge(sets, found)
-    out = base.join(mined, "set_key", "left")
+    sets = scratch.write(base.filter("listed IS NULL").groupBy("set_key").agg(F.first("tokens").alias("tokens")), "sets")
+    every = base.groupBy("set_key").agg(F.count("*").alias("n")).join(judge(sets, found), "set_key", "left")
+    out = join_keyed(base, scratch.write(every, "judged"), ["set_key"], "n")
     hit = F.col("listed").isNull() & F.col("mined_rule").isNotNull()
     return out.select("page_id", "url", "host", "path", "rule",
                       F.coalesce("listed", F.when(hit, "block").otherwise("allow")).alias("verdict"),

@@ -470,6 +470,28 @@ def test_maxent_reads_texts_in_runs(monkeypatch):
 
 # ---------------------------------------------------------------- 8 urls
 
+def test_whole_urls_are_tokenised(spark):
+    """Deep paths, many labels and many query names; rules on them are mined and matched."""
+    url = "HTTP://a.b.c.d.e.evil.net/p1/p2/p3/p4/casino12/x.html?a=1&b=2&c=3&d=4&e=5#f"
+    d = spark.createDataFrame([(url,), ("http://x",), ("none",), (None,)], "url string")
+    rows = d.withColumn("t", urls.tokens_of(F.col("url"), urls.host_of(F.col("url")), urls.path_of(F.col("url")))).collect()
+    got = [set(r.t or []) for r in rows]
+    assert {"host:evil", "host:a", "tld:net", "path4:casino0", "query:a", "query:e", "ending:html", "fragment"} <= got[0] and got[2] == got[3] == set()
+    deep = [(i, f"http://h{i}.a.b.c.d.e.{'bad' if i % 2 else 'good'}.net/1/2/3/4/{'casino' if i % 2 else 'news'}/{i}") for i in range(60)]
+    labelled = spark.createDataFrame([(u, "block" if i % 2 else "allow") for i, u in deep], "url string, verdict string")
+    pages = spark.createDataFrame([(1, "http://other.org.net/q/w/e/r/casino/9"), (2, "http://other.net/q/w/e/r/news/9"), (3, "http://z.y.x.w.v.bad.net/")], "page_id long, url string")
+    out = {r.page_id: r.verdict for r in urls.filter_urls(pages, rules=[("allow", "nowhere.example", "/")], labelled=labelled).collect()}
+    assert out[2] == "allow" and "block" in (out[1], out[3])
+
+
+def test_frequent_tokens_change_no_rule(spark):
+    """Rare tokens and twins go; the rest stay."""
+    rows = [(f"u{i}", ["a", "b", "c"] if i % 2 else ["a"]) for i in range(40)] + [("u1", ["a", "b", "c"]), ("v", ["rare", "a"])]
+    d = spark.createDataFrame(rows, "sample_key string, tokens array<string>")
+    got = d.withColumn("t", urls.frequent_tokens(d, 0.1)).select("t").distinct().collect()
+    assert {tuple(r.t) for r in got} == {("a", "b"), ("a",)}
+
+
 def test_list_rules(spark):
     rows = ["http://a.org/x", "https://EXAMPLE.org/es/1?x=http://b.com", "http://www.example.org/en/12", "http://example.org/en/2",
             "http://x.com/fr/1#a", "http://x.com/de/", "http://com/de/x", "http://x.com/dex", "http://a.org", "http://notexample.org/es/",
@@ -565,6 +587,60 @@ def test_sharding(spark):
     assert all(len(s) == 1 for t, s in groups.items() if t != hot) and len(groups[hot]) > 1
 
 
+def slow_place(vectors, n):
+    """The same rule by plain loops."""
+    dims = len(vectors[0])
+    room, shard, load = [[1 / n] * dims for _ in range(n)], [0] * len(vectors), [[0.0] * dims for _ in range(n)]
+    for i in sorted(range(len(vectors)), key=lambda i: -max(vectors[i])):
+        s = max(range(n), key=lambda s: (sum(a * b for a, b in zip(room[s], vectors[i])), -s))
+        shard[i] = s
+        for d in range(dims):
+            room[s][d] -= vectors[i][d]
+            load[s][d] += vectors[i][d]
+
+    def step():
+        top = [max(x[d] for x in load) for d in range(dims)]
+        order = sorted(range(n), key=lambda s: -load[s][0])
+        for hi in order:
+            for lo in reversed(order):
+                gap = load[hi][0] - load[lo][0]
+                fits = [i for i in range(len(vectors)) if shard[i] == hi and gap > 0 and vectors[i][0] < gap * (1 - 1e-9)
+                        and all(load[lo][d] + vectors[i][d] <= top[d] + 1e-12 for d in range(dims))]
+                if fits:
+                    best = min(fits, key=lambda i: abs(vectors[i][0] - gap / 2))
+                    for d in range(dims):
+                        load[hi][d] -= vectors[best][d]
+                        load[lo][d] += vectors[best][d]
+                    shard[best] = lo
+                    return True
+        return False
+    while step():
+        pass
+    return load
+
+
+def test_place_equals_the_slow_placement():
+    rng = np.random.default_rng(4)
+    for k in range(6):
+        v = rng.lognormal(sigma=1.0 + k / 3, size=(120, 3))
+        v /= v.sum(axis=0)
+        shard = sharding.place(v, 5)
+        load = np.stack([np.bincount(shard, weights=v[:, d], minlength=5) for d in range(3)], axis=1)
+        assert np.allclose(np.sort(load[:, 0]), np.sort(np.array(slow_place(v.tolist(), 5))[:, 0]))
+
+
+def test_a_huge_vector_does_not_spoil_rows_and_tokens():
+    """One item above a fair share: the last pass must not empty or overfill shards in the other dimensions."""
+    rng = np.random.default_rng(6)
+    v = rng.lognormal(sigma=1.5, size=(4000, 3))
+    v[:, 2] = 1
+    v[0] = v.sum(axis=0) * [0.12, 0.12, 0]
+    v /= v.sum(axis=0)
+    shard = sharding.place(v, 16)
+    load = np.stack([np.bincount(shard, weights=v[:, d], minlength=16) for d in range(3)], axis=1) * 16
+    assert load[:, 2].max() < 1.2 and load[1:, 1].max() < 2.2
+
+
 def test_place_balances_all_dimensions():
     rng = np.random.default_rng(1)
     v = rng.gamma(0.5, size=(3000, 3))

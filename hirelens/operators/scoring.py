@@ -8,6 +8,9 @@ lists are literals.  The text cosine uses Spark ML feature transformers
 
 from __future__ import annotations
 
+from typing import Protocol
+
+import pandas as pd
 from pyspark.ml.feature import CountVectorizerModel, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -121,13 +124,47 @@ def simple_description_score(description: Column, profile: dict) -> Column:
     return F.greatest(F.lit(0.1), kw * (F.lit(1.0) - pen * 0.8))
 
 
+# ---------------------------------------------------------------- own matchers
+
+class Matcher(Protocol):
+    """A matcher of one's own for ``score(model=...)``: vectorised, run in Arrow batches on the executors.
+
+    ``columns`` names what it needs of a posting; ``score_batch`` returns the six SCORES for a batch of
+    these, row by row.  It must be picklable.
+    """
+
+    columns: list[str]
+
+    def score_batch(self, postings: pd.DataFrame, profile: dict) -> pd.DataFrame: ...
+
+
+def score_by(df: DataFrame, matcher: Matcher, profile: dict) -> DataFrame:
+    """``df`` with the scores of an own matcher; only its columns go to Python."""
+    names = list(matcher.columns)
+
+    def run(*columns: pd.Series) -> pd.DataFrame:
+        batch = pd.DataFrame(dict(zip(names, columns)))
+        out = matcher.score_batch(batch, profile)
+        if len(out) != len(batch):
+            raise ValueError("a matcher returns one row for each posting")
+        return out[SCORES].astype("float64")
+
+    # the types are given here, since annotations of a closure's names are not resolved
+    run.__annotations__ = {"columns": pd.Series, "return": pd.DataFrame}
+    scores = F.pandas_udf(run, ", ".join(f"{c} double" for c in SCORES))
+    return df.withColumn("_own", scores(*[F.col(c) for c in names])).select(*df.columns, "_own.*")
+
+
 # ---------------------------------------------------------------- entry point
 
-def score(df: DataFrame, profile: dict, model: str = "full", *, title: str = "title",
+def score(df: DataFrame, profile: dict, model: str | Matcher = "full", *, title: str = "title",
           description: str = "description", skills: str = "skills", location: str = "location",
           remote: str = "remote", salary: str = "salary", company: str = "company",
           iso_currency: bool = True, company_terms: dict | None = None, stop_words=None) -> DataFrame:
-    """Append the six scores; ``model='simple'`` is the fallback matcher."""
+    """Append the six scores; ``model='simple'`` is the fallback matcher (M10-M15), any other than a name a
+    :class:`Matcher`."""
+    if not isinstance(model, str):
+        return score_by(df, model, profile)
     s = F.col(salary)
     cur = sal.to_iso(s["currency"]) if iso_currency else s["currency"]
     sal_score = sal.salary_tier(s["min"], s["max"], cur, config.get(profile, "min_salary", default=0))

@@ -17,7 +17,7 @@ from hirelens.functions import dates, fmt, salary, skills, text
 from hirelens.operators import dedup, dictionary, load, load_batches, normalize, notify_log, pages, profiles, rank, report, scoring, search, text_index, validate
 from hirelens.plans import pipelines
 from hirelens.session import scratch_path
-from hirelens.sources import postings as src
+from hirelens.sources import boards, postings as src
 from hirelens.sources.tables import doc_postings, doc_profiles, order_postings, table
 from hirelens.streaming import ingest
 
@@ -478,6 +478,33 @@ def q_s9_batches(spark, sf):
     return load_batches.loaded(spark, root).select("batch", "id", "source", "external_id", "posted_date")
 
 
+class KeywordMatcher:
+    """An own matcher: the share of the profile's keywords and of its must-have terms in the description."""
+
+    columns = ["description", "remote"]
+
+    def score_batch(self, postings, profile):
+        text = postings["description"].fillna("").str.lower()
+        share = lambda terms: sum(text.str.contains(t.lower(), regex=False).astype(float) for t in terms) / max(1, len(terms))
+        out = {"skill_score": share(profile["skills"]["must_have"]), "location_score": postings["remote"].fillna(False).astype(float), "salary_score": 0.0 * text.str.len(),
+               "company_score": 0.0 * text.str.len(), "description_score": share(profile["keywords"])}
+        frame = text.to_frame("t").assign(**out)
+        return frame.assign(match_score=frame["skill_score"] * 0.5 + frame["description_score"] * 0.5)
+
+
+def q_m9_own_matcher(spark, sf):
+    """Extension point: the orders scored by a matcher of one's own."""
+    return rounded(scoring.score(order_cleaned(spark, sf), ORDER_PROFILE, KeywordMatcher()).select("input_seq", *scoring.SCORES))
+
+
+def q_s2_job_board(spark, sf):
+    """Extension point: the search of S2_search through a job board as a data source, with a filter that the board takes."""
+    path = _scratch(spark, "board")
+    order_cleaned(spark, sf).select("input_seq", "title", "location", "description").write.parquet(path)
+    found = boards.read_board(spark, "hirelens.sources.boards:TableBoard", {"path": path}, SEARCH["job_types"], SEARCH["locations"], SEARCH["keywords"], SEARCH["max_results"])
+    return found.filter(F.col("title").contains("building")).select("criterion", "input_seq")
+
+
 def q_x1_percent_text(spark, sf):
     return order_scored(spark, sf).select("input_seq", fmt.score_percent("match_score").alias("match_text"), fmt.score_percent("description_score").alias("description_text"))
 
@@ -586,6 +613,8 @@ QUERIES = {
     "A6_observed": q_a6_observed,
     "S9_load_rejects": q_s9_load_rejects,
     "S9_batches": q_s9_batches,
+    "M9_own_matcher": q_m9_own_matcher,
+    "S2_job_board": q_s2_job_board,
     "X1_percent_text": q_x1_percent_text,
     "J6_once_per_profile": q_j6_once_per_profile,
     "S4_stream_dedup": q_s4_stream_dedup,

@@ -204,6 +204,13 @@ ORACLE = {
     "S4_raw_landing": f"WITH {CLEANED} SELECT id, CASE source WHEN 'unknown' THEN 'indeed' ELSE source END AS source, CAST(d AS DATE) AS load_date, title, url FROM cleaned, "
                       f"(SELECT unnest(['2025-01-01', '2025-01-02']) AS d)",
     "S5_fresh": f"WITH {CLEANED}, w AS (SELECT unnest(['fresh', 'stale', 'forced']) AS what) SELECT what, CASE what WHEN 'fresh' THEN (SELECT count(*) FROM cleaned) ELSE 0 END AS n_rows FROM w",
+    "M9_own_matcher": f"""WITH {CLEANED}, s AS (SELECT input_seq, {share('lower(description)', MUST)} AS a, {share('lower(description)', KEYWORDS)} AS b, CAST(remote AS DOUBLE) AS r FROM cleaned)
+        SELECT input_seq, round(a * 0.5::DOUBLE + b * 0.5::DOUBLE, 6) AS match_score, round(a, 6) AS skill_score, r AS location_score, 0.0::DOUBLE AS salary_score, 0.0::DOUBLE AS company_score,
+        round(b, 6) AS description_score FROM s""",
+    "S2_job_board": " UNION ALL ".join(
+        f"SELECT criterion, input_seq FROM (WITH {CLEANED} SELECT {q(f'{t} @ {c}')} AS criterion, input_seq, title FROM cleaned WHERE contains(lower(title), {q(t)}) "
+        f"AND contains(lower(location), {q(c.lower())}) AND ({any_of('lower(title)', ['ring', 'widget'])} OR {any_of('lower(description)', ['ring', 'widget'])}) "
+        f"ORDER BY input_seq LIMIT 100) WHERE contains(title, 'building')" for t, c in _criteria),
     "X1_percent_text": f"WITH {SCORED} SELECT input_seq, printf('%.1f%%', match_score * 100) AS match_text, printf('%.1f%%', description_score * 100) AS description_text FROM scored",
     "S9_batches": f"""WITH {SCORED}, e AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) AS n FROM scored WHERE input_seq % 2 = 0),
         a AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) + (SELECT count(*) FROM e) AS n FROM scored)

@@ -64,11 +64,13 @@ def detect_source(df: DataFrame) -> Column:
     return F.when(is_li, "linkedin").when(is_up, "upwork").otherwise("unknown")
 
 
-def raw_location() -> Column:
-    """P4 before cleaning: first 3 derived locations, client country, location, 'Remote'."""
+def raw_location(country_there: Column | None = None) -> Column:
+    """P4 before cleaning: first 3 derived locations, client country, location, 'Remote'.  A client country that is
+    there as a null (``country_there``) is an empty location."""
     ld = F.col("locations_derived")
+    country_there = F.col("client_country").isNotNull() if country_there is None else country_there
     return (F.when(F.coalesce(F.size(ld), F.lit(0)) > 0, F.array_join(F.slice(ld, 1, 3), ", "))
-            .when(F.col("client_country").isNotNull(), F.col("client_country"))
+            .when(country_there, F.coalesce("client_country", F.lit("")))
             .otherwise(F.coalesce(F.col("location"), F.lit("Remote"))))
 
 
@@ -98,15 +100,16 @@ def normalize(df: DataFrame, dictionary: list[str] = skills.TECH_SKILLS, prefer_
     Shared inputs first (source, location, description; then the salary), each once per
     row, then the rules.  JSON input carries presence flags, because a key with a null
     value is not an absent key: such a ``remote_derived`` is false, such an hourly
-    maximum a reject, such a ``project_type`` null.
+    maximum a reject, such a ``project_type`` null, such a ``client_country`` an empty location.
     """
     df = conform(df)
     remote_there = flag(df, "remote_present", F.col("remote_derived").isNotNull())
     client_object = flag(df, "client_is_object", F.col("client_name").isNotNull())
     max_null = flag(df, "hourly_max_null", F.lit(False))
     type_there = flag(df, "project_type_present", F.col("project_type").isNotNull())
+    country_there = flag(df, "client_country_present", F.col("client_country").isNotNull())
     category_there = flag(df, "category_present", F.col("category").isNotNull())
-    df = once(df, _src=detect_source(df), _desc=raw_description(), _loc=raw_location())
+    df = once(df, _src=detect_source(df), _desc=raw_description(), _loc=raw_location(country_there))
     li, up = F.col("_src") == "linkedin", F.col("_src") == "upwork"
     # The salary text is salary_raw when it parses, else the description.
     raw, text_sal = (F.when(li, salary.parse_salary_text(F.col(c), prefer_iso)) for c in ("salary_raw", "_desc"))

@@ -1,19 +1,15 @@
 """Page extraction (S13, S14), re-aimed from live scraping to a table of page HTML.
 
-S13 is pure Spark regex work.  S14 parses HTML with the standard library's
-``html.parser`` inside an Arrow UDF (batches of pages per task); Spark
-partitions the pages, and each page is parsed once, whole.
+Both are column expressions over the markup: items, first elements of a tag and class, and their
+texts.  A page is one row.
 """
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -54,123 +50,51 @@ def page_fields_regex(pages: DataFrame, html: str = "html", key: str = "page_id"
                         first("p").alias("first_p"))
 
 
-# ---------------------------------------------------------------- S14 parser form
-
-DETAIL_FIELDS = ["job_id", "company", "job_title", "level", "location", "description", "posted_at", "updated_at",
-                 "crawled_at", "job_function", "employment_type", "applicants", "industries",
-                 "page_title", "h1", "first_p"]
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
-
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, dict(attrs), [], parent
-
-    def classes(self):
-        return (self.attrs.get("class") or "").split()
-
-    def iter(self):
-        for ch in self.children:
-            if isinstance(ch, _Node):
-                yield ch
-                yield from ch.iter()
-
-    def find(self, tag, classes=None):
-        want = set((classes or "").split())
-        for n in self.iter():
-            if n.tag == tag and want.issubset(n.classes()):
-                return n
-        return None
-
-    def text(self, sep="", strip=False):
-        parts = []
-
-        def walk(n):
-            for ch in n.children:
-                if isinstance(ch, _Node):
-                    if ch.tag not in ("script", "style"):
-                        walk(ch)
-                else:
-                    parts.append(ch.strip() if strip else ch)
-        walk(self)
-        if strip:
-            parts = [p for p in parts if p]
-        return sep.join(parts)
-
-
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-
-def _parse(html: str) -> _Node:
-    from html.parser import HTMLParser
-
-    root = _Node("[document]", [], None)
-
-    class P(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.cur = root
-
-        def handle_starttag(self, tag, attrs):
-            n = _Node(tag, attrs, self.cur)
-            self.cur.children.append(n)
-            if tag not in _VOID:
-                self.cur = n
-
-        def handle_startendtag(self, tag, attrs):
-            self.cur.children.append(_Node(tag, attrs, self.cur))
-
-        def handle_endtag(self, tag):
-            n = self.cur
-            while n is not None and n.tag != tag:
-                n = n.parent
-            if n is not None and n.parent is not None:
-                self.cur = n.parent
-
-        def handle_data(self, data):
-            self.cur.children.append(data)
-
-    p = P()
-    p.feed(html or "")
-    p.close()
-    return root
-
-
-def _details(job_id, html) -> dict:
-    """The detail-page fields; each is None when its element is missing."""
-    out = dict.fromkeys(DETAIL_FIELDS)
-    out["job_id"] = None if job_id is None else str(job_id)
-    root = _parse(html)
-    card = root.find("div", "top-card-layout__card")
-    a = card.find("a") if card else None
-    img = a.find("img") if a else None
-    out["company"] = img.attrs.get("alt") if img else None
-    info = root.find("div", "top-card-layout__entity-info")
-    a = info.find("a") if info else None
-    out["job_title"] = a.text().strip() if a else None
-    crit = root.find("ul", "description__job-criteria-list")
-    li = crit.find("li") if crit else None
-    out["level"] = li.text().replace("Seniority level", "").strip() if li else None
-    span = root.find("span", "topcard__flavor topcard__flavor--bullet")
-    out["location"] = span.text(strip=True) if span else None
-    sec = root.find("section", "core-section-container my-3 description")
-    rich = sec.find("div", "description__text description__text--rich") if sec else None
-    out["description"] = rich.text(sep="\n", strip=True) if rich else None
-    for tag, name in (("title", "page_title"), ("h1", "h1"), ("p", "first_p")):
-        n = root.find(tag)
-        out[name] = n.text(strip=True, sep=" ") if n else None
-    return out
-
-
-_DETAIL_TYPE = T.StructType([T.StructField(f, T.StringType()) for f in DETAIL_FIELDS])
-
-
-@pandas_udf(_DETAIL_TYPE)
-def _details_udf(job_id: pd.Series, html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_details(j, h) for j, h in zip(job_id, html)], columns=DETAIL_FIELDS)
-
-
-def extract_details(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
-    """The 13 detail fields (null on failure) plus title / h1 / first paragraph."""
-    return pages.select(_details_udf(F.col(key).cast("string"), F.col(html)).alias("d")).select("d.*")
+# ---------------------------------------------------------------- S14 details
+
+# Where the detail page keeps a field: tag, classes, and what is taken of it.
+DETAILS = {
+    "job_title": [("div", "top-card-layout__entity-info"), ("a", "")],
+    "level": [("ul", "description__job-criteria-list"), ("li", "")],
+    "location": [("span", "topcard__flavor topcard__flavor--bullet")],
+    "description": [("section", "core-section-container my-3 description"), ("div", "description__text description__text--rich")],
+    "page_title": [("title", "")], "h1": [("h1", "")], "first_p": [("p", "")],
+}
+# The character references that are resolved, the ampersand last.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
+def element(markup: Column, tag: str, classes: str) -> Column:
+    """Inner markup of the first ``tag`` that has all the classes, up to its next closing tag; null if there is none."""
+    names = "".join(rf"""(?=[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{re.escape(c)}[\s"'])""" for c in classes.split())
+    found = F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}(?=[\s>]){names}[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    return F.get(found, F.lit(0))
+
+
+def inner_text(markup: Column) -> Column:
+    """The text of a stretch of markup: tags are gaps, white space collapsed, common character references resolved."""
+    text = F.trim(F.regexp_replace(F.regexp_replace(markup, "<[^>]*>", " "), r"[ \t\r\n\f]+", " "))
+    for name, char in ENTITIES.items():
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def page_details(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
+    """S14 by column expressions: job_id, company, the fields of DETAILS and, as the reference leaves them, null
+    fields.  A field is null where the page lacks its element.  Elements end at their next closing tag, so of an
+    element that holds another one of its tag the part before that one's end is taken."""
+    bare = F.regexp_replace(F.col(html), r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", "")
+    d = pages.select(F.col(key), F.explode(F.array(bare)).alias("_m"))
+
+    def taken(path):
+        inner = F.col("_m")
+        for tag, classes in path:
+            inner = element(inner, tag, classes)
+        return inner_text(inner)
+    # the logo of the card's first link; its text is the company
+    card = element(F.col("_m"), "div", "top-card-layout__card")
+    logo = F.regexp_extract(element(card, "a", ""), r"(?is)<img(?=[\s>])[^>]*>", 0)
+    fields = {n: taken(p) for n, p in DETAILS.items()}
+    fields["level"] = F.trim(F.replace(fields["level"], F.lit("Seniority level"), F.lit("")))
+    missing = {n: F.lit(None).cast("string") for n in ("posted_at", "updated_at", "crawled_at", "job_function", "employment_type", "applicants", "industries")}
+    return d.select(F.col(key), F.col(key).cast("string").alias("job_id"), attribute(logo, "alt").alias("company"), *[c.alias(n) for n, c in {**fields, **missing}.items()])

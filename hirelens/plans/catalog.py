@@ -558,8 +558,8 @@ def q_s14_page_fields(spark, sf):
     return pages.page_fields_regex(table(spark, sf, "pages"))
 
 
-def q_s14_details_parser(spark, sf):
-    return pages.extract_details(table(spark, sf, "pages"))
+def q_s14_page_details(spark, sf):
+    return pages.page_details(table(spark, sf, "pages"))
 
 
 QUERIES = {
@@ -620,5 +620,5 @@ QUERIES = {
     "S4_stream_dedup": q_s4_stream_dedup,
     "S13_listing_ids": q_s13_listing_ids,
     "S14_page_fields": q_s14_page_fields,
-    "S14_details_parser": q_s14_details_parser,
+    "S14_page_details": q_s14_page_details,
 }

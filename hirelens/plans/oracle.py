@@ -19,6 +19,10 @@ DOC_KEYWORDS, DOC_EXCLUDED = ["de la", "der", "thatin", "ononst", "que"], ["und"
 DOC_MIN_SALARY = 5000
 DOC_DICTIONARY = ["that", "with", "this", "from", "de", "und", "la", "c++", "go", "ai", "java", "ed", "tion"]
 ORDER_DICTIONARY = orders.DICTIONARY
+# The validation rules' values, restated; only the 318 stop words are read from the configuration (a fixed published list).
+SPAM = ["test job", "sample job", "fake job", "placeholder", "[job description]"]
+SOURCES = ["linkedin", "upwork", "indeed"]
+SHORTEST_TITLE = 10
 PAGE_LINKS = {"tag": "a", "attr": "href", "sep": "/", "part": 1}
 
 # The three salary ranges of the rules, tried in this order.
@@ -52,9 +56,9 @@ DOC_POSTINGS = """postings AS (
 
 def reject_reason_sql() -> str:
     spam = " OR ".join(f"contains(lower(coalesce(title, '')), {q(p)}) OR contains(lower(coalesce(description, '')), {q(p)})"
-                       for p in config.SPAM_PHRASES)
-    srcs = ", ".join(q(s) for s in config.VALID_SOURCES)
-    return (f"CASE WHEN title IS NULL OR length({strip('title')}) < {config.MIN_TITLE_CHARS} THEN 'short_title' "
+                       for p in SPAM)
+    srcs = ", ".join(q(s) for s in SOURCES)
+    return (f"CASE WHEN title IS NULL OR length({strip('title')}) < {SHORTEST_TITLE} THEN 'short_title' "
             f"WHEN source IS NOT NULL AND lower(source) NOT IN ({srcs}) THEN 'bad_source' "
             f"WHEN {spam} THEN 'spam' END")
 
@@ -134,6 +138,21 @@ def page_fields_sql() -> str:
     return f"SELECT page_id, {first('title')} AS page_title, {first('h1')} AS h1, {first('p')} AS first_p FROM pages"
 
 
+def page_details_sql() -> str:
+    """Texts of the first title, h1 and paragraph outside scripts, styles and comments; the given pages have no other field."""
+    bare = f"regexp_replace(html, {q(r'(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->')}, '', 'g')"
+
+    def first(tag):
+        inner = f"regexp_extract(m, {q(rf'(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>')}, 1)"
+        text = f"trim(regexp_replace(regexp_replace({inner}, '<[^>]*>', ' ', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g'), ' ')"
+        for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")):
+            text = f"replace({text}, {q(name)}, {q(char)})"
+        return f"CASE WHEN regexp_matches(m, {q(rf'(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>')}) THEN {text} END AS {'page_title' if tag == 'title' else 'first_p' if tag == 'p' else tag}"
+    none = ", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in ("company", "job_title", "level", "location", "description", "posted_at", "updated_at", "crawled_at",
+                                                               "job_function", "employment_type", "applicants", "industries"))
+    return f"SELECT page_id, CAST(page_id AS VARCHAR) AS job_id, {none}, {first('title')}, {first('h1')}, {first('p')} FROM (SELECT page_id, {bare} AS m FROM pages)"
+
+
 def posted_date_sql() -> str:
     pr = "substr(o_orderpriority, 1, 1)"
     txt = (f"CASE {pr} WHEN '1' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') "
@@ -286,6 +305,7 @@ def oracle_sql() -> dict[str, str]:
                            "false) AS is_record, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
         "S13_listing_ids": listing_ids_sql,
         "S14_page_fields": page_fields_sql,
+        "S14_page_details": page_details_sql,
         "P7_posted_date": posted_date_sql,
         "M2_text_cosine": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[0]}, 6) AS cosine FROM postings",
         "M4_description_score": lambda: f"WITH {DOC_POSTINGS} SELECT input_seq, round({doc_text_scores('title', 'description')[1]}, 6) AS description_score FROM postings",

@@ -28,6 +28,27 @@ def test_remote_is_the_truth_of_a_present_key(spark):
     assert cleaned(spark).remote is True  # a missing location reads "Remote"
 
 
+def test_null_client_country_is_an_empty_location(spark):
+    r = cleaned(spark, client_country=None, location="Paris")
+    assert r.location == "" and r.remote is False
+    assert cleaned(spark, client_country="Norway", location="Paris").location == "Norway"
+    assert cleaned(spark, client_country=None, locations_derived=["Oslo"]).location == "Oslo" and cleaned(spark, location="Paris").location == "Paris"
+
+
+def test_page_details_by_expressions(spark):
+    html = """<html><head><title>A &amp; B</title><script>var x = "<h1>no</h1>"</script></head><body><!-- <p>no</p> -->
+      <div class="x top-card-layout__card y"><a href="/c"><img src="l.png" alt="Acme &amp; Co"></a></div>
+      <div class='top-card-layout__entity-info'><a>Data <b>engineer</b></a></div><span class="topcard__flavor">no</span>
+      <span class="topcard__flavor topcard__flavor--bullet"> Oslo,\n Norway </span>
+      <ul class="description__job-criteria-list"><li><h3>Seniority level</h3><span>Mid</span></li><li>no</li></ul>
+      <section class="core-section-container my-3 description"><div class="description__text description__text--rich">Line <br>two &lt;3</div></section>
+      <h1 id="1">Head</h1><p>First</p></body></html>"""
+    r = pages.page_details(spark.createDataFrame([(7, html), (8, "<p>only"), (9, None)], "page_id long, html string")).orderBy("page_id").collect()
+    assert (r[0].job_id, r[0].job_title, r[0].level, r[0].location, r[0].description) == ("7", "Data engineer", "Mid", "Oslo, Norway", "Line two <3")
+    assert (r[0].page_title, r[0].h1, r[0].first_p, r[0].applicants) == ("A & B", "Head", "First", None) and r[0].company == "Acme &amp; Co"
+    assert [x.first_p for x in r[1:]] == [None, None]
+
+
 def test_null_hourly_maximum_is_a_reject(spark):
     bad = cleaned(spark, project_budget_hourly_min=10, project_budget_hourly_max=None)
     assert bad.reject_reason == "salary_unparsable"

@@ -110,3 +110,27 @@ def test_embeddings_edges(spark):
     got = sorted((str(r.vec_id), r.n_links, r.component_id) for r in nndescent.near_duplicates(df).collect())
     assert got == [("1", 3, 1), ("1", 3, 1), ("2", 3, 1), ("3", 0, 3), ("None", 3, 1)]
     assert nndescent.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_token_count_query_on_awkward_rows(spark, docs, tmp_path):
+    """op3 over nulls, empty, very long and repeated texts, clashing names, and an empty table, as its SQL says."""
+    import duckdb
+
+    from hirelens.llm import token_counts
+
+    for name, df in (("some", docs), ("none", docs.limit(0))):
+        root = str(tmp_path / name)
+        df.coalesce(1).write.parquet(f"{root}/documents.parquet")
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{root}/documents.parquet/*.parquet'")
+        want = con.execute(token_counts.ORACLE)
+        names = [c[0] for c in want.description]
+        want = sorted(map(str, want.fetchall()))
+        got = token_counts.op3(spark, root)
+        assert sorted(str(tuple(r)) for r in got.select(*names).collect()) == want
+        assert (len(want) == 0) == (name == "none")
+
+
+def test_matches_on_an_empty_table(spark, docs, sf):
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    assert decontam.matches(docs.limit(0), bench).count() == 0 and decontam.matches(docs, bench.limit(0)).count() == 0

@@ -2,6 +2,13 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next one's docs.  All but the last return the columns of ``documents``.
+
+Defined results, stage by stage: null texts count as empty for a score, stay null through the line
+stage, link with nothing, hold no passage, and are encoded as the empty text (its end id alone); empty and
+blank texts likewise.  Rows without doc_id are scored, never held out, and count as one document in the line
+stage, later than all others.  Repeated rows get equal decisions; of a group of near copies the row with
+the smallest doc_id stays, once.  Very long texts are read whole in every stage.  An empty table gives no rows.  Columns
+beside those of ``documents``, whatever their names, pass through all stages but the last.
 """
 
 from __future__ import annotations

@@ -88,3 +88,29 @@ def test_lsh_candidates_find_close_copies(spark):
     df = spark.createDataFrame(rows, "input_seq bigint, title string, description string")
     got = sorted(r[0] for r in dedup.dedup_near(df, candidates="lsh").select("input_seq").collect())
     assert got == greedy(rows) == list(range(0, 120, 2))
+
+
+def test_common_subsequence_bounds_the_ratio():
+    import random
+    from difflib import SequenceMatcher
+
+    from hirelens.operators.dedup import ratio_bound
+
+    rng = random.Random(12)
+
+    def lcs(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j], row[j + 1])
+        return row[-1]
+    for k in range(120):
+        a = "".join(rng.choice("abcdé 𝒳") for _ in range(rng.randrange(0, 90)))
+        b = a if k % 5 == 0 else "".join(rng.choice("abcdé 𝒳") if rng.random() < 0.3 else c for c in a) + a[: rng.randrange(1, 30)]
+        total = len(a) + len(b)
+        assert ratio_bound(a, b) == (2.0 * lcs(a, b) / total if total else 1.0) >= SequenceMatcher(None, a, b).ratio()
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(2)]
+    exact = ratio_bound(*long)
+    assert exact <= ratio_bound(*long, 0.9) <= 0.9 and ratio_bound(*long, 0.1) == exact >= SequenceMatcher(None, *long).ratio()
+    assert ratio_bound("", "") == 1.0 and ratio_bound("", "a") == 0.0

@@ -13,8 +13,7 @@ of the smallest doc_id that has it, so that of a passage that many documents sha
 copies of documents) one instance stays.
 
 Only leaves that two documents share are looked into.  All statistics are sums, minima and
-maxima, which combine before the shuffle, so a line that a third of all documents have is a few
-rows per task.  A document's text is rebuilt from its own line numbers, without sorting lines.
+maxima, which combine before the shuffle; the join that finds the shared leaves' lines is before it.  A document's text is rebuilt from its own line numbers, without sorting lines.
 
 Defined results: null texts stay null; empty lines and lines without tokens are never dropped;
 rows without doc_id count as one document, later than all others; repeated rows get the same
@@ -26,13 +25,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import Scratch, table, text_key
+from hirelens.llm.common import Scratch, join_keyed, table, text_key
 
 DEPTH = 3
 MIN_GENERAL = 8
 SIMILARITY = 0.75
 MIN_TOKENS = 5
 MIN_SHORT = 10
+#: Words of a shingle, by which near copies are proven.
+SHINGLE = 5
 MASK = "<*>"
 LAST_ID = (1 << 63) - 1
 
@@ -87,35 +88,53 @@ def recurring(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return lines, templates.join(found, ["leaf", "template"]).select("leaf", "line_key", "first")
 
 
-def unless_copied(hits, found: DataFrame, copies: DataFrame) -> DataFrame:
-    """``hits(found)`` (doc, text_key, ...) without the lines whose kept instance is in a near copy."""
-    last = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(LAST_ID))
-    many = copies.filter(~F.col("kept")).select(last("component_id").alias("comp")).distinct()
-    of = copies.select(last("doc_id").alias("doc"), "text_key", last("component_id").alias("comp")).distinct().join(many, "comp", "left_semi")
-    firsts = of.filter(F.col("doc") != LAST_ID).groupBy(F.col("doc").alias("first")).agg(F.collect_set("comp").alias("near"))
-    return (hits(found.join(firsts, "first", "left")).join(of, ["doc", "text_key"], "left")
-            .filter(~F.coalesce(F.array_contains("near", F.col("comp")), F.lit(False))))
-
-
-def drop_recurring(docs: DataFrame, count_col: str | None = None, max_share: float = 1.0, copies: DataFrame | None = None) -> DataFrame:
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(doc, text_key, text) -> (doc, text_key, n, shingles): hashes of the distinct sequences of SHINGLE words (the whole
+    text, if it has fewer); texts without words are left out."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # the explode keeps the words from being split again for each sequence
+    d = texts.select("doc", "text_key", F.explode(F.array(words)).alias("w")).filter(F.size("w") > 0)
+    each = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, SHINGLE)))
+    d = d.select("doc", "text_key", F.explode(F.array(F.array_distinct(each))).alias("shingles"))
+    return d.select("doc", "text_key", F.size("shingles").alias("n"), "shingles")
+
+
+def near_firsts(docs: DataFrame, hits: DataFrame, scratch: Scratch, percent: int = 75) -> DataFrame:
+    """(doc, text_key, first): of the ``hits``, the documents that are near copies (five-word shingles, ``percent``) of
+    the document that keeps their line, by comparing the whole sets of each such pair."""
+    pairs = scratch.write(hits.select("doc", "text_key", "first").distinct(), "pairs")
+    wanted = pairs.select("doc").unionByName(pairs.select(F.col("first").alias("doc"))).distinct()
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), text_key("text").alias("text_key"), "text")
+    sets = scratch.write(shingle_sets(texts.filter("text is not null").join(wanted, "doc", "left_semi").dropDuplicates(["doc", "text_key"])), "sets")
+    sizes = sets.select("doc", "text_key", "n")
+    other = sizes.select(F.col("doc").alias("first"), F.col("text_key").alias("first_key"), F.col("n").alias("m"))
+    # a set's size rules most pairs out; what is left carries its sets
+    like = pairs.join(sizes, ["doc", "text_key"]).join(other, "first").filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+    like = scratch.write(like, "like")
+    used = like.groupBy("first", "first_key").agg(F.count("*").alias("rows"))
+    kept = sets.select(F.col("doc").alias("first"), F.col("text_key").alias("first_key"), F.col("shingles").alias("others")).join(used, ["first", "first_key"])
+    met = join_keyed(like, scratch.write(kept, "kept"), ["first", "first_key"], "rows").join(sets.select("doc", "text_key", "shingles"), ["doc", "text_key"])
+    same = F.size(F.array_intersect("shingles", "others"))
+    return met.filter(same * 100 >= (F.col("n") + F.col("m") - same) * percent).select("doc", "text_key", "first").distinct()
+
+
+def drop_recurring(docs: DataFrame, count_col: str | None = None, spare_copies: bool = False) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``; ``count_col`` gets their number.
 
-    A document that would lose more than ``max_share`` of its words is a copy of others rather
-    than a text with recurring lines; it is left whole, for a near-duplicate operator to judge.
-    With ``copies`` (near copies as of ``minhash.near_duplicates``) a line whose kept instance is in
-    a near copy of the document stays: near copies lose the same lines, so that they stay near copies.
+    With ``spare_copies`` a line stays where the document is a near copy of the one that keeps the line: near
+    copies go as wholes in a near-duplicate stage, which finds them only if they still are near copies.
     """
     scratch = Scratch(docs.sparkSession, "lines")
     lines, found = recurring(docs, scratch)
-    hits = lambda found: lines.join(found, ["leaf", "line_key"]).filter(F.col("doc") != F.col("first"))
-    gone = ((hits(found) if copies is None else unless_copied(hits, found, copies))
-            .groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pos", "n")).alias("__gone")))
+    hits = lines.join(found, ["leaf", "line_key"]).filter(F.col("doc") != F.col("first"))
+    if spare_copies:
+        hits = scratch.write(hits.select("doc", "text_key", "pos", "n", "first"), "hits")
+        hits = hits.join(near_firsts(docs, hits, scratch), ["doc", "text_key", "first"], "left_anti")
+    gone = (hits.groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pos", "n")).alias("__gone")))
     joined = docs.join(gone, (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)) == F.col("__doc"))
                        & (text_key(docs["text"]) == F.col("__key")), "left")
     drop = F.col("__gone").isNotNull()
-    if max_share < 1:
-        lost = F.aggregate("__gone", F.lit(0), lambda s, x: s + x["n"])
-        drop = drop & (lost <= max_share * F.regexp_count(docs["text"], F.lit("[^ \n\t\r\f\x0B]+")))
     parts = F.split(docs["text"], "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.transform("__gone", lambda x: x["pos"]))
     text = F.when(drop, F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(parts, i)), "\n")).otherwise(docs["text"])

@@ -269,8 +269,6 @@ def test_lines_templates(spark):
     assert got[10] == rows[4][1] and got[11] == "" and got[12] == rows[6][1]  # ten / zehn: one field of a template
     assert got[13] is None and got[14] == "" and got[15] == "\n\n"
     assert all(got[20 + i] == rows[10 + i][1] for i in range(9))  # a short line in nine documents stays
-    part = {r.doc_id: r.text for r in lines.drop_recurring(spark.createDataFrame(rows, DOC), max_share=0.5).collect()}
-    assert part[11] == rows[5][1]  # would lose all: left to document-level dedup
 
 
 def test_pipeline_drops_a_passage_from_short_texts(spark):
@@ -290,6 +288,30 @@ def test_pipeline_drops_a_passage_from_short_texts(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(6), 10]
 
 
+def test_near_copies_are_proven_by_whole_sets(spark):
+    """Pairs of a document and the one that keeps its line: exactly those of similarity 0.75 or more, without Python."""
+    rng = random.Random(21)
+    shared_line = words(rng, 12, 5000)
+    rows = []
+    for g in range(6):
+        base = words(rng, 80, 5000).split()
+        for k in range(6):
+            w = list(base)
+            for at in rng.sample(range(80), k):
+                w[at] = f"new{g}x{k}y{at}"
+            rows.append((10 * g + k, shared_line + "\n" + " ".join(w).replace(" ", "\t", 1) + ("" if k % 2 else "\n" + " ".join(base[:3]).upper())))
+    rows += [(100, shared_line), (101, shared_line + "\n" + shared_line), (102, None), (103, "")]
+    docs = spark.createDataFrame(rows, DOC)
+    hits = spark.createDataFrame([(a, b) for a, t in rows for b, _ in rows if a != b and t is not None and b not in (102, 103)], "doc long, first long")
+    keys = docs.selectExpr("doc_id AS doc", "xxhash64(text, text IS NULL) AS text_key")
+    out = lines.near_firsts(docs, hits.join(keys, "doc"), Scratch(spark, "t"))
+    sets = {i: shingles(t) for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a != b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {(r.doc, r.first) for r in out.collect()} == want and 20 < len(want) < 36 * 35
+    plan = lines.drop_recurring(docs, spare_copies=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInArrow" not in plan
+
+
 def test_long_passage_stays_once(spark):
     rng = random.Random(8)
     passage = words(rng, 60, 5000)

@@ -30,10 +30,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates; n_chars follows the text.  Lines that a
-    document shares with the first of its own near copies are left to the near-duplicate stage."""
+    document shares with a near copy that keeps them are left to the near-duplicate stage.  DataFrame functions only."""
     ready(spark)
-    copies = Scratch(spark, "copies").write(minhash.near_duplicates(docs).select("doc_id", "text_key", "component_id", "kept"), "copies")
-    out = lines.drop_recurring(docs, copies=copies)
+    out = lines.drop_recurring(docs, spare_copies=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

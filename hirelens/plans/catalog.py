@@ -306,8 +306,8 @@ def q_s2_indexed_search(spark, sf):
     path = _scratch(spark, "text-index")
     text_index.write_index(c, path)
     kinds = table(spark, sf, "orders").select(F.concat(F.lit("order "), F.lower("o_orderpriority")).alias("title")).distinct()
-    places = table(spark, sf, "nation").select(F.col("n_name").alias("location"))  # 25 rows by definition
-    grid = kinds.join(F.broadcast(places.groupBy().agg(F.collect_list("location").alias("p"))), how="cross").select("title", F.explode("p").alias("location"))
+    places = [r[0] for r in table(spark, sf, "nation").select("n_name").collect()]  # 25 rows by definition
+    grid = kinds.select("title", F.explode(F.array(*map(F.lit, places))).alias("location"))
     grid = grid.withColumns({"criterion": F.concat_ws(" @ ", "title", "location"), "keywords": F.array(*map(F.lit, SEARCH["keywords"]))})
     return text_index.search_index(spark, path, grid, SEARCH["max_results"]).withColumnRenamed("seq", "input_seq")
 

@@ -102,21 +102,24 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 
 def near_firsts(docs: DataFrame, hits: DataFrame, scratch: Scratch, percent: int = 75) -> DataFrame:
     """(doc, text_key, first): of the ``hits``, the documents that are near copies (five-word shingles, ``percent``) of
-    the document that keeps their line, by comparing the whole sets of each such pair."""
+    the document that keeps their line, by comparing the whole sets of each such pair.  Sizes of sets rule out most
+    pairs before any set is kept."""
     pairs = scratch.write(hits.select("doc", "text_key", "first").distinct(), "pairs")
-    wanted = pairs.select("doc").unionByName(pairs.select(F.col("first").alias("doc"))).distinct()
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), text_key("text").alias("text_key"), "text")
-    sets = scratch.write(shingle_sets(texts.filter("text is not null").join(wanted, "doc", "left_semi").dropDuplicates(["doc", "text_key"])), "sets")
-    sizes = sets.select("doc", "text_key", "n")
+    texts = docs.filter("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), text_key("text").alias("text_key"), "text")
+    sizes = scratch.write(shingle_sets(texts).select("doc", "text_key", "n").dropDuplicates(["doc", "text_key"]), "sizes")
     other = sizes.select(F.col("doc").alias("first"), F.col("text_key").alias("first_key"), F.col("n").alias("m"))
-    # a set's size rules most pairs out; what is left carries its sets
     like = pairs.join(sizes, ["doc", "text_key"]).join(other, "first").filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
     like = scratch.write(like, "like")
+    scratch.drop("sizes", "pairs")
+    wanted = like.select("doc", "text_key").unionByName(like.select(F.col("first").alias("doc"), F.col("first_key").alias("text_key"))).distinct()
+    sets = scratch.write(shingle_sets(texts.join(wanted, ["doc", "text_key"], "left_semi").dropDuplicates(["doc", "text_key"])).drop("n"), "sets")
     used = like.groupBy("first", "first_key").agg(F.count("*").alias("rows"))
     kept = sets.select(F.col("doc").alias("first"), F.col("text_key").alias("first_key"), F.col("shingles").alias("others")).join(used, ["first", "first_key"])
-    met = join_keyed(like, scratch.write(kept, "kept"), ["first", "first_key"], "rows").join(sets.select("doc", "text_key", "shingles"), ["doc", "text_key"])
+    met = join_keyed(like, scratch.write(kept, "kept"), ["first", "first_key"], "rows").join(sets, ["doc", "text_key"])
     same = F.size(F.array_intersect("shingles", "others"))
-    return met.filter(same * 100 >= (F.col("n") + F.col("m") - same) * percent).select("doc", "text_key", "first").distinct()
+    near = scratch.write(met.filter(same * 100 >= (F.col("n") + F.col("m") - same) * percent).select("doc", "text_key", "first").distinct(), "near")
+    scratch.drop("sets", "kept", "like")
+    return near
 
 
 def drop_recurring(docs: DataFrame, count_col: str | None = None, spare_copies: bool = False) -> DataFrame:
@@ -130,6 +133,7 @@ def drop_recurring(docs: DataFrame, count_col: str | None = None, spare_copies:
     hits = lines.join(found, ["leaf", "line_key"]).filter(F.col("doc") != F.col("first"))
     if spare_copies:
         hits = scratch.write(hits.select("doc", "text_key", "pos", "n", "first"), "hits")
+        scratch.drop("lines", "leaves", "own", "templates")  # the hits are all that is needed of them
         hits = hits.join(near_firsts(docs, hits, scratch), ["doc", "text_key", "first"], "left_anti")
     gone = (hits.groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pos", "n")).alias("__gone")))
     joined = docs.join(gone, (F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)) == F.col("__doc"))

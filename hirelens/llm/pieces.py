@@ -45,9 +45,11 @@ class Pieces:
     """Encoder and decoder of one SentencePiece BPE model (byte fallback, identity
     normalisation, a space mark put first)."""
 
-    def __init__(self, proto: bytes):
+    def __init__(self, proto: bytes, remembered: int = MAX_CHUNKS):
         import sentencepiece
 
+        self.max_chunks, self.max_pairs = remembered, min(MAX_PAIRS, 2 * remembered)
+
         m = sentencepiece.SentencePieceProcessor(model_proto=proto)
         n = m.get_piece_size()
         special = [m.is_control(i) or m.is_unknown(i) or m.is_unused(i) for i in range(n)]
@@ -97,7 +99,7 @@ class Pieces:
         else:
             a, b = self.name[left], self.name[right]
             ok = self.merged(a + b) == [a, b]
-        if len(self.pairs) >= MAX_PAIRS:
+        if len(self.pairs) >= self.max_pairs:
             self.pairs.clear()
         self.pairs[(left << 20) + right] = ok
         return ok
@@ -134,7 +136,7 @@ class Pieces:
                 if ids is None:
                     ids = self.chunk(c)
                 if len(c) <= MAX_CHUNK_CHARS:
-                    if len(new) >= MAX_CHUNKS:
+                    if len(new) >= self.max_chunks:
                         self.older, self.chunks = new, {}
                         new = self.chunks
                     new[c] = ids
@@ -149,12 +151,12 @@ class Pieces:
 _LOADED: dict[int, Pieces] = {}
 
 
-def _by_proto(proto: bytes) -> Pieces:
+def _by_proto(sent: tuple[bytes, int]) -> Pieces:
     claim("pieces", _LOADED.clear)
-    key = hash(proto)
+    key = hash(sent)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Pieces(proto)
+        _LOADED[key] = Pieces(*sent)
     return _LOADED[key]
 
 
@@ -196,19 +198,20 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with ``ids_col``: the text's ids and the end id."""
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", remembered: int = MAX_CHUNKS) -> DataFrame:
+    """``docs`` with ``ids_col``: the text's ids and the end id.  ``remembered`` bounds what a worker keeps (chunks; about
+    250 bytes each, two periods)."""
     spark = docs.sparkSession
     ready(spark)
-    bc = spark.sparkContext.broadcast(model_bytes(model_path))
+    bc = spark.sparkContext.broadcast((model_bytes(model_path), remembered))
     return docs.withColumn(ids_col, _encoder(bc)(F.col(text_col)))
 
 
-def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", out_col: str = "decoded", remembered: int = MAX_CHUNKS) -> DataFrame:
     """``docs`` with ``out_col``: the text of the ids (control ids have none)."""
     spark = docs.sparkSession
     ready(spark)
-    bc = spark.sparkContext.broadcast(model_bytes(model_path))
+    bc = spark.sparkContext.broadcast((model_bytes(model_path), remembered))
     return docs.withColumn(out_col, _decoder(bc)(F.col(ids_col)))
 
 

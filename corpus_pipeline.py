@@ -20,6 +20,10 @@ from hirelens.llm import decontam, lines, minhash, pieces, toxicity
 from hirelens.llm.common import Scratch, ready, table
 
 
+#: Chunks that a worker of the encoding stage remembers, about 25 MB a period.
+REMEMBERED = 100_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity is below the threshold."""
     ready(spark)
@@ -53,7 +57,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
     path = pieces.default_model()
     d = docs.select(*[c for c in ("doc_id", "source", "lang") if c in docs.columns], F.coalesce("text", F.lit("")).alias("text"))
-    d = pieces.decode(pieces.encode(d, path), path)
+    # after four stages an executor's heap is at its full size: the workers keep fewer chunks than in a run of their own
+    d = pieces.decode(pieces.encode(d, path, remembered=REMEMBERED), path, remembered=REMEMBERED)
     return d.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("text", "decoded")
 
 

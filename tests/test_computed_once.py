@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from hirelens.functions import dates, salary
 from hirelens.operators import dedup, rank, report, scoring
+from hirelens.plans import catalog
 
 PROFILE = {"skills": {"must_have": ["java"], "nice_to_have": []}, "keywords": ["java", "spring"], "excluded_terms": ["php"], "min_salary": 10,
            "company_types": ["tech"], "locations": {"remote": True, "countries": ["x"], "exclude_regions": []}}
@@ -63,6 +64,15 @@ def test_edges_bring_their_similarity(spark):
     assert plan.count("similar(") == 1
 
 
+def test_repeated_ids_pair_every_row(spark, tmp_path):
+    text = "A first line of a text\n" + "".join(chr(97 + i * i % 23) for i in range(300))
+    rows = [(1, text), (1, text), (2, text + "x"), (5, text + "yy")]
+    spark.createDataFrame([(i, x, "en") for i, x in rows], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.l_seq, r.e_seq) for r in catalog.q_d2_pair_similarity(spark, str(tmp_path)).collect())
+    # a candidate for each of the two rows, each joined with both rows twice
+    assert got == [(2, 1)] * 8 + [(5, 1)] * 8 + [(5, 2)]
+
+
 def test_guards_lose_no_date_and_no_salary(spark):
     days = ["2024-1-5", "2024-1-5T1:2:3.5", "2024-1-5t1:2:3.123456", "2024-01-05 10:11:12+00:00", "2024-01-05T10:11:12", "2024-01-05 ", "", None]
     d = spark.createDataFrame([(x,) for x in days], "x string").select(dates.parse_posted_date("x").cast("string").alias("d"))

@@ -40,3 +40,13 @@ def test_equals_the_thirty_terms_and_takes_a_hundred_thousand(spark, tmp_path):
     assert {r.input_seq: r.skills for r in big.collect()} == {**want, 950: ["term3 of art", "term4"]}
     size = lambda d: len(d._jdf.queryExecution().optimizedPlan().toString())
     assert size(big) < 1.2 * size(out)
+
+
+def test_only_long_terms_need_an_expression(spark, tmp_path):
+    """Phrases of two words and terms that end in marks are decided by the join: no text is joined back for them."""
+    texts = written(spark.createDataFrame([(1, "one two, three"), (2, "one  two"), (3, "a.b (c) x"), (4, ".b one two")], "id long, text string"), tmp_path / "t")
+    terms = [("one two",), ("two, three",), ("a.",), (".b",), (".",), (" (c",), ("b (c) x",)]
+    root = str(tmp_path / "s")
+    got = {(r.id, r.term) for r in dictionary.dictionary_matches(texts, spark.createDataFrame(terms, "term string"), root).collect()}
+    assert got == {(1, "one two"), (1, "two, three"), (3, "a."), (3, ".b"), (3, "."), (3, " (c"), (3, "b (c) x"), (4, "one two")}
+    assert {r.term for r in spark.read.parquet(f"{root}/met").filter("not single").collect()} == {"b (c) x"}

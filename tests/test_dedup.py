@@ -114,3 +114,16 @@ def test_common_subsequence_bounds_the_ratio():
     exact = ratio_bound(*long)
     assert exact <= ratio_bound(*long, 0.9) <= 0.9 and ratio_bound(*long, 0.1) == exact >= SequenceMatcher(None, *long).ratio()
     assert ratio_bound("", "") == 1.0 and ratio_bound("", "a") == 0.0
+
+
+def test_written_bytes_grow_with_rows_not_with_pairs(spark, tmp_path, monkeypatch):
+    """Rows of one length cell in many blocks: each is written once, however many blocks it meets."""
+    rng = random.Random(3)
+    rows = [(i, "Same title", "".join(rng.choices("abcdefgh ", k=300))) for i in range(240)]
+    df = spark.createDataFrame(rows, "input_seq bigint, title string, description string")
+    monkeypatch.setattr(dedup, "scratch_path", lambda s, name: str(tmp_path / "scratch"))
+    edges = dedup.similar_edges(df, 0.9, block_rows=4)
+    assert edges.count() == 0
+    blocks = spark.read.parquet(str(tmp_path / "scratch" / "blocks"))
+    assert blocks.count() > 40 and blocks.select(F.sum(F.size("seq"))).first()[0] == 240
+    assert "FlatMapGroupsInPandas" not in edges._jdf.queryExecution().executedPlan().toString()

@@ -69,3 +69,23 @@ def test_salary_tiers(spark):
     df = spark.createDataFrame(rows, "mn double, mx double, cur string")
     got = [r[0] for r in df.select(salary.salary_tier(F.col("mn"), F.col("mx"), F.col("cur"), 60000)).collect()]
     assert got == [0.5, 1.0, 0.9, 0.8, 0.6, 0.4, 0.5, 0.8, 0.8]
+
+
+def test_word_rule_tries_its_classes_only_at_the_term(spark):
+    """The literal stands first in the expression, and equals Python's rule wherever the term stands."""
+    import random
+    import re
+
+    from hirelens.functions import skills, text
+
+    rng = random.Random(4)
+    terms = ["de", "c++", "++", ".net", "a b", "é", "𝒳", "_x", "aa"]
+    texts = ["".join(rng.choice(["de", "c++", "+", ".net", "a", "b", " ", "é", "𝒳", "_", "x", "-", "\n"]) for _ in range(rng.randrange(0, 9))) for _ in range(400)]
+    assert all(text.word_regex(t).startswith(re.escape(t)) for t in terms)
+    df = spark.createDataFrame(list(enumerate(texts)) + [(900, None)], "i long, d string")
+    sk = skills.extract_skills([], F.col("d"), terms)
+    got = {r.i: r.s for r in df.select("i", sk.alias("s")).collect()}
+    order = {i: sorted(t for t in terms if re.search(r"\b" + re.escape(t) + r"\b", x)) for i, x in enumerate(texts)}
+    assert {i: sorted(v) for i, v in got.items()} == {**order, 900: []} and sum(map(len, got.values())) > 150
+    plan = df.select(sk.alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1

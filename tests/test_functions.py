@@ -89,3 +89,12 @@ def test_word_rule_tries_its_classes_only_at_the_term(spark):
     assert {i: sorted(v) for i, v in got.items()} == {**order, 900: []} and sum(map(len, got.values())) > 150
     plan = df.select(sk.alias("s"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lower(") == 1
+
+
+def test_strip_runs_its_expression_only_at_white_ends(spark):
+    spaces = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and chr(c).isspace()]
+    assert sorted(text.SPACE_LIST) == spaces
+    values = ["", "a", "a b", None, "\n", " \r\n", "a \r\n", "a\n \n", "\u200ba"] + [f"{s}a{s}b{s}{s}" for s in spaces] + [f"a{s}" for s in spaces] + [f"{s}𝒳" for s in spaces]
+    assert one(spark, values, text.py_strip) == [v if v is None else v.strip() for v in values]
+    plan = spark.createDataFrame([("a",)], "x string").select(text.py_strip("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and plan.index("CASE WHEN") < plan.index("regexp_replace(")

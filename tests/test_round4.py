@@ -34,6 +34,47 @@ def scored_rows(spark, calls):
     return df.withColumns({c: F.lit(0.25) for c in scoring.SCORES if c != "match_score"})
 
 
+def test_shared_columns_are_compiled(spark):
+    df = once(spark.range(3), a=F.transform(F.array("id"), lambda x: x + 1), b=F.upper(F.col("id").cast("string")))
+    node = [line for line in plan(df).split("\n") if "Generate" in line]
+    assert len(node) == 1 and "upper" not in node[0] and [(r.a, r.b) for r in df.orderBy("id").collect()] == [([1], "0"), ([2], "1"), ([3], "2")]
+
+
+def test_skills_keep_a_null_last_without_interpreted_sort(spark):
+    df = spark.createDataFrame([(["B", None, "a", "B", None], "go java"), (None, None), ([], "java")], "s array<string>, d string")
+    out = df.select(skills.extract_skills([F.col("s")], F.col("d"), ["java", "go", "go"]).alias("k"), skills.extract_skills([F.col("s")], F.lower(F.coalesce("d", F.lit(""))),
+                                                                                                                  ["java", "go", "go"], lowered=True).alias("l"))
+    want = [["a", "b", "go", "java", None], [], ["java"]]
+    rows = out.collect()
+    assert [r.k for r in rows] == want and [r.l for r in rows] == want and "array_sort" not in plan(out)
+
+
+def test_text_rules_on_plain_and_other_characters(spark):
+    df = spark.createDataFrame([("a\tb\nc  d   e ",), ("\u00e9\u00a0x\u200b\U0001F600 -_",), ("Plain text",), (None,)], "x string")
+    got = [tuple(r) for r in df.select(text.clean_text("x"), text.match_text(F.col("x"))).collect()]
+    assert got == [("abc d e", "a\tb\nc  d   e "), ("\u00e9x\U0001F600 -_", "\u00e9\u00a0x    _"), ("Plain text", "plain text"), ("", "")]
+
+
+def test_cosine_counts_repeats_and_pairs(spark):
+    profile = {"skills": {"must_have": ["spring"], "nice_to_have": ["boot"]}, "keywords": ["java"]}
+    df = spark.createDataFrame([("spring boot the spring",), ("nothing here",), ("",)], "x string")
+    out = scoring.text_cosine(df, F.col("x"), profile, "c")
+    # spring twice, boot, "spring boot" and (the stop word left out) "boot spring", which the profile lacks; weights 1/sqrt(5)
+    assert [round(r.c, 9) for r in out.collect()] == [round((2 + 1 + 1) / 5 ** 0.5 / 6 ** 0.5, 9), 0.0, 0.0] and out.columns == ["x", "c"]
+
+
+def test_order_words_share_one_list(spark, tmp_path):
+    spark.createDataFrame([(1, 1, 1), (1, 2, 2), (1, 2, 3), (2, 3, 1), (3, 4, 1)], "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "red ring"), (2, "blue ring"), (3, None), (4, "")], "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    sk = order_skills(spark, str(tmp_path))
+    got = {r.l_orderkey: (r.skills, r.part_text, r.n_lines) for r in sk.collect()}
+    assert got == {1: (["blue", "red", "ring"], "blue ring blue ring red ring", 3), 2: ([], "", 1), 3: ([""], "", 1)}
+    assert sk.columns == ["l_orderkey", "skills", "part_text", "n_lines"] and sk.schema["n_lines"].dataType.typeName() == "long"
+    both = sk.join(sk.select("l_orderkey", F.col("part_text").alias("t")), "l_orderkey")
+    both.collect()
+    assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
+
+
 def test_ratio_equals_difflib():
     rnd = random.Random(5)
     for i in range(300):

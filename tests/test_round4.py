@@ -34,6 +34,25 @@ def scored_rows(spark, calls):
     return df.withColumns({c: F.lit(0.25) for c in scoring.SCORES if c != "match_score"})
 
 
+def test_two_loads_score_once(spark, monkeypatch):
+    calls = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(catalog, "order_scored", lambda *a: scored_rows(spark, calls))
+    rows = catalog.q_s9_second_load(spark, "").collect()
+    assert calls.value == 20 and sorted(r.id for r in rows) == list(range(1, 21))
+    assert {r.external_id for r in rows if r.id <= 10} == {f"k{i}" for i in range(0, 20, 2)}
+
+
+def test_wide_ranking_reads_what_is_asked(spark):
+    df = spark.range(0, 300, 1, 5).select(F.col("id").alias("input_seq"), (F.col("id") % 7).cast("double").alias("match_score"), F.repeat(F.lit("x"), 50).alias("description"))
+    df = df.unionByName(df.limit(3))  # rows and ids may repeat
+    both = [rank.with_dense_rank(df, rank.ranking_order(), wide=w) for w in (False, True)]
+    assert both[0].columns == both[1].columns
+    kept = [sorted((r["rank"], r.input_seq, r.match_score) for r in b.collect()) for b in both]
+    assert kept[0] == kept[1] and len(kept[0]) == 303
+    narrow = both[1].select("rank", "input_seq")._jdf.queryExecution().executedPlan().toString()
+    assert "description" not in narrow.split("Initial Plan")[-1].split("Location")[0]
+
+
 def test_shared_columns_are_compiled(spark):
     df = once(spark.range(3), a=F.transform(F.array("id"), lambda x: x + 1), b=F.upper(F.col("id").cast("string")))
     node = [line for line in plan(df).split("\n") if "Generate" in line]

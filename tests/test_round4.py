@@ -53,6 +53,14 @@ def test_wide_ranking_reads_what_is_asked(spark):
     assert "description" not in narrow.split("Initial Plan")[-1].split("Location")[0]
 
 
+def test_staged_rows_are_numbered_by_rank(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+    path, n, _ = load_batches.stage(scored_rows(spark, calls), str(tmp_path), "b", "2025-01-01")
+    got = spark.read.parquet(path).orderBy("number").collect()
+    assert n == 20 and [r.number for r in got] == list(range(20)) and [r.input_seq for r in got] == sorted(range(20), key=lambda i: (-(i % 7), i))
+    assert "_row" not in got[0].asDict()
+
+
 def test_shared_columns_are_compiled(spark):
     df = once(spark.range(3), a=F.transform(F.array("id"), lambda x: x + 1), b=F.upper(F.col("id").cast("string")))
     node = [line for line in plan(df).split("\n") if "Generate" in line]

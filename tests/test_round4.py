@@ -102,6 +102,12 @@ def test_order_words_share_one_list(spark, tmp_path):
     assert "ReusedExchange" in both._jdf.queryExecution().executedPlan().toString()
 
 
+def test_lines_are_parsed_once(spark):
+    lines = spark.createDataFrame([('{"input_seq": 1, "title": "t"}',), ("{broken",), ('{"title": "no number"}',), (None,)], "value string")
+    raw = postings.lines_to_raw(lines)
+    assert plan(raw).count("parse_json(") + plan(raw).count("parseJson") <= 1 and [(r.input_seq, r.title) for r in raw.collect()] == [(1, "t")]
+
+
 def test_ratio_equals_difflib():
     rnd = random.Random(5)
     for i in range(300):

@@ -42,6 +42,18 @@ def test_two_loads_score_once(spark, monkeypatch):
     assert {r.external_id for r in rows if r.id <= 10} == {f"k{i}" for i in range(0, 20, 2)}
 
 
+def test_load_rejects_scores_once_and_packs_its_export(spark, monkeypatch, tmp_path):
+    calls, dropped = spark.sparkContext.accumulator(0), []
+    monkeypatch.setattr(catalog, "order_scored", lambda *a: scored_rows(spark, calls))
+    monkeypatch.setattr(catalog, "_scratch", lambda s, name: str(tmp_path / name))
+    rows = {r.input_seq: r for r in catalog.q_s9_load_rejects(spark, "").collect()}
+    assert calls.value == 20 and len(rows) == 20 and not (tmp_path / "scored").exists()
+    assert rows[0].status == "match_score: not a number" and rows[13].status == "salary_score: out of range" and rows[17].status == "posted_date: not a date"
+    assert all(r.exact for r in rows.values() if r.status == "loaded")
+    files = list((tmp_path / "text-export").glob("part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
+
+
 def test_wide_ranking_reads_what_is_asked(spark):
     df = spark.range(0, 300, 1, 5).select(F.col("id").alias("input_seq"), (F.col("id") % 7).cast("double").alias("match_score"), F.repeat(F.lit("x"), 50).alias("description"))
     df = df.unionByName(df.limit(3))  # rows and ids may repeat

@@ -120,6 +120,21 @@ def test_lines_are_parsed_once(spark):
     assert plan(raw).count("parse_json(") + plan(raw).count("parseJson") <= 1 and [(r.input_seq, r.title) for r in raw.collect()] == [(1, "t")]
 
 
+def test_stream_shuffles_the_columns_that_are_read(spark, tmp_path):
+    lines = ['{"input_seq": %d, "title": "t%d", "url": "u", "collected_at": "2025-01-0%dT00:00:00Z"}' % (i, i % 3, 1 + i) for i in range(6)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.option("compression", "gzip").text(str(tmp_path / "in"))
+    seen, got = [], {}
+
+    def clean(batch):
+        seen.append(set(batch.columns))
+        return batch.select("input_seq", "title")
+    for name, columns in (("all", None), ("few", ["input_seq", "title"])):
+        ingest.run_available(spark, str(tmp_path / "in"), str(tmp_path / name), str(tmp_path / f"{name}-state"), clean, columns=columns)
+        got[name] = [r.title for r in spark.read.schema("input_seq long, title string, batch int").parquet(str(tmp_path / name)).collect()]
+    assert sorted(got["all"]) == sorted(got["few"]) == ["t0", "t1", "t2"]
+    assert seen[-1] == {"input_seq", "title", "event_time"} and "record_text" in seen[0]
+
+
 def test_ratio_equals_difflib():
     rnd = random.Random(5)
     for i in range(300):

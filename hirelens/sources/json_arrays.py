@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from hirelens.operators.normalize import once
 from hirelens.session import drop_path, scratch_path
 
 #: A segment beyond this many bytes is no record (a row's value ends at 2 GB): the file counts as corrupt from there.
@@ -84,8 +85,8 @@ def _ranges(scanned: DataFrame) -> DataFrame:
     return last.filter("is_array").select(*RANGE, "state", "depth", "start", F.when(F.col("final"), F.col("last_row")).alias("final_row"))
 
 
-def _elements(text: Column, first: Column, final: Column) -> Column:
-    """The elements of a segment as a variant array; null if it is no part of an array."""
+def _elements(segments: DataFrame, text: Column, first: Column, final: Column) -> DataFrame:
+    """``segments`` with ``items``, the elements of each as a variant array; null if it is no part of an array."""
     ok = F.when(first, text.rlike(rf"^{SPACE}*\[")).otherwise(text.rlike(rf"^{SPACE}*[,\]]"))
     tail = F.regexp_replace(text, rf"\]{SPACE}*\z", "")
     ok = ok & (~final | text.rlike(rf"\]{SPACE}*\z"))
@@ -93,7 +94,8 @@ def _elements(text: Column, first: Column, final: Column) -> Column:
     bare = F.when(final, tail).otherwise(text).rlike(rf"\A{SPACE}*\[?{SPACE}*\z")
     parsed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), body, F.lit("]"))), "$", "array<variant>")
     none = F.array().cast("array<variant>")
-    return F.when(ok & bare & final, none).when(ok & (F.size(parsed) > 0), parsed)
+    d = once(segments, _ok=ok, _end=ok & bare & final, _parsed=parsed)
+    return d.withColumn("items", F.when(F.col("_end"), none).when(F.col("_ok") & (F.size("_parsed") > 0), F.col("_parsed"))).drop("_ok", "_end", "_parsed")
 
 
 def read_arrays(spark: SparkSession, sources: list[tuple[int, str]], corrupt: str = "file") -> DataFrame:
@@ -155,7 +157,7 @@ def read_arrays(spark: SparkSession, sources: list[tuple[int, str]], corrupt: st
     # an end is a closing bracket, which the separator took away; a last stretch after one may hold nothing
     text = F.concat("text", F.when(F.col("ends"), F.lit("}")).otherwise(F.lit("")))
     last = ~F.col("ends")
-    parsed = segments.select("source_ord", "path", "segment", _elements(text, F.col("segment") == 0, last).alias("items"))
+    parsed = _elements(segments, text, F.col("segment") == 0, last).select("source_ord", "path", "segment", "items")
     parsed.write.parquet(f"{base}/parsed")
     drop_path(spark, f"{base}/pieces")
     parsed = spark.read.parquet(f"{base}/parsed")

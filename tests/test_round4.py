@@ -149,6 +149,23 @@ def test_ratio_equals_difflib():
         assert dedup.ratio_bound(a, b, 0.0, dedup.char_masks(a)) == dedup.ratio_bound(b, a, 0.0, dedup.char_masks(b)) == bound
 
 
+def test_copies_are_compared_once_a_block(monkeypatch):
+    import pandas as pd
+
+    texts = [("one line", "x" * 90 + "abcdefghij"), ("one line", "x" * 90 + "abcdefghik"), ("One line", "X" * 90 + "abcdefghij")]
+    rows = [(10 * i + k, *texts[k]) for i in range(5) for k in range(3)]
+    side = {"bt": 0, "bd": 0, "seq": [r[0] for r in rows], "lt": [8] * 15, "ld": [100] * 15, "twice": [False] * 15, "title": [r[1] for r in rows], "description": [r[2] for r in rows],
+            "bag": [b"".join(dedup._counts(x).tobytes() for x in r[1:]) for r in rows]}
+    block = pd.DataFrame([{**{f"a_{k}": v for k, v in side.items()}, **{f"b_{k}": v for k, v in side.items()}, "a_i": 0, "b_i": 0}])
+    calls, real = [], dedup.similarity_above
+    monkeypatch.setattr(dedup, "similarity_above", lambda *x: calls.append(1) or real(*x))
+    out = pd.concat(list(dedup._block_edges(0.9)([block])))
+    want = {(a[0], b[0]): real(a[1].lower(), b[1].lower(), a[2].lower(), b[2].lower(), 0.9) for a in rows for b in rows if a[0] > b[0]}
+    assert {(r.l_seq, r.e_seq): r.similarity for r in out.itertuples()} == {k: v for k, v in want.items() if v is not None} and len(out) == 105
+    # two different texts, in either order
+    assert len(calls) <= 4
+
+
 def test_long_near_copies_take_no_minutes():
     import time
 
